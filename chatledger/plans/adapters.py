@@ -64,3 +64,216 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("raw_chats/WhatsApp - u"), uid, F.lit(".csv")).alias("file_path"),
         eid.alias("file_row"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Mart tables from customer / orders / lineitem
+# ---------------------------------------------------------------------------
+RUN_TS = "2025-01-01 00:00:00"  # fixed load time so outputs repeat (no wall clock)
+CITIES = ["Medellín", "Bogotá", "Envigado", "Itagüí"]
+PAYMENTS = ["Nequi", "Daviplata", "efectivo", "transferencia"]
+
+
+def run_ts() -> Column:
+    return F.lit(RUN_TS).cast("timestamp_ntz")
+
+
+def source_client_id(custkey: Column) -> Column:
+    k = custkey.cast("string")
+    return F.when(custkey % 2 == 0, F.concat(F.lit("+57300"), F.lpad(k, 7, "0"))).otherwise(
+        F.concat(F.lit("WhatsApp - Cliente "), k)
+    )
+
+
+def client_uuid(source_id: Column) -> Column:
+    from chatledger.functions.text import uuid_from
+
+    return uuid_from(F.concat(F.lit("client:"), source_id))
+
+
+def order_uuid(session_id: Column) -> Column:
+    from chatledger.functions.text import uuid_from
+
+    return uuid_from(F.concat(F.lit("order:"), session_id))
+
+
+def product_uuid(name: Column, variant: Column) -> Column:
+    from chatledger.functions.text import uuid_from
+
+    return uuid_from(F.concat(F.lit("product:"), name, F.lit(":"), F.coalesce(variant, F.lit(""))))
+
+
+def mart_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_name")
+    k = F.col("c_custkey")
+    src = source_client_id(k)
+    created = F.expr("timestampadd(MINUTE, c_custkey % 1000, TIMESTAMP_NTZ'2023-01-01 00:00:00')")
+    return c.select(
+        client_uuid(src).alias("id"),
+        F.when(k % 4 == 3, F.lit(None).cast("string")).otherwise(F.concat(F.lit("+57300"), F.lpad(k.cast("string"), 7, "0"))).alias("phone"),
+        F.col("c_name").alias("name"),
+        src.alias("source_client_id"),
+        created.alias("created_at"),
+        created.alias("updated_at"),
+    )
+
+
+def mart_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    ok, ck = F.col("o_orderkey"), F.col("o_custkey")
+    sess = F.concat(F.lit("o"), ok.cast("string"))
+    return o.filter(ck % 10 != 0).select(
+        order_uuid(sess).alias("id"),
+        F.when(ok % 19 == 0, F.lit(None).cast("string")).otherwise(client_uuid(source_client_id(ck))).alias("client_id"),
+        F.when(ok % 17 == 0, F.lit(None).cast("date")).otherwise(F.to_date("o_orderdate")).alias("order_date"),
+        F.when(ok % 7 == 0, F.lit(None).cast("string")).otherwise(_pick(CITIES, ck % 4)).alias("city"),
+        F.concat(F.lit("Calle "), (ck % 100).cast("string"), F.lit(" # "), (ok % 50).cast("string")).alias("address"),
+        _pick(PAYMENTS, ok % 4).alias("payment_method"),
+        F.when(ok % 13 == 0, F.lit(None).cast("decimal(12,2)")).otherwise(F.col("o_totalprice").cast("decimal(12,2)")).alias("total"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("delivered"))
+        .when(F.col("o_orderstatus") == "O", F.lit("pending"))
+        .otherwise(F.lit("confirmed"))
+        .alias("status"),
+        sess.alias("source_session_id"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("created_at"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("updated_at"),
+    )
+
+
+def catalogue_name(partkey: Column) -> Column:
+    names = [n for n, _ in S.CATALOGUE]
+    blank = partkey % 97 == 0
+    return F.when(blank, F.lit("")).otherwise(_pick(names, partkey % len(names)))
+
+
+def catalogue_variant(partkey: Column) -> Column:
+    variants = [v for _, v in S.CATALOGUE]
+    return _pick(variants, partkey % len(variants))
+
+
+def mart_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
+    from chatledger.functions.text import uuid_from
+
+    key = F.concat_ws(":", F.lit("item:o"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    pk = F.col("l_partkey")
+    return li.select(
+        uuid_from(key).alias("id"),
+        order_uuid(F.concat(F.lit("o"), F.col("l_orderkey").cast("string"))).alias("order_id"),
+        F.lit(None).cast("string").alias("product_id"),
+        catalogue_name(pk).alias("product_name"),
+        catalogue_variant(pk).alias("variant"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.lit(S.BOT_ITEM_UNIT).alias("unit"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("unit_price"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("created_at"),
+    )
+
+
+def mart_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct non-blank (name, variant) of the items (the loader's products table)."""
+    items = mart_items(spark, sf_dir).filter(F.coalesce(F.col("product_name"), F.lit("")) != "")
+    d = items.select(F.col("product_name").alias("name"), "variant").distinct()
+    return d.select(product_uuid(F.col("name"), F.col("variant")).alias("id"), "name", "variant", run_ts().alias("created_at"))
+
+
+# ---------------------------------------------------------------------------
+# Incoming batches for the upsert operators (derived from the same tables)
+# ---------------------------------------------------------------------------
+def batch_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third customer re-sent: phone missing for even keys (old phone kept), new name;
+    keys divisible by 5 arrive under a new source id (inserts)."""
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_name").filter(F.col("c_custkey") % 3 == 0)
+    k = F.col("c_custkey")
+    src = F.when(k % 5 == 0, F.concat(F.lit("nuevo-"), source_client_id(k))).otherwise(source_client_id(k))
+    return c.select(
+        client_uuid(src).alias("id"),
+        F.when(k % 2 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("+57301"), F.lpad(k.cast("string"), 7, "0"))).alias("phone"),
+        F.upper("c_name").alias("name"),
+        src.alias("source_client_id"),
+        F.lit(None).cast("timestamp_ntz").alias("created_at"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    )
+
+
+def batch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fourth order re-sent (city dropped, status cancelled or missing); orders of
+    customers missing from the mart arrive as inserts."""
+    base = mart_orders_all(spark, sf_dir).filter(F.col("_ok") % 4 == 0)
+    return base.select(
+        "id",
+        "client_id",
+        "order_date",
+        F.lit(None).cast("string").alias("city"),
+        "address",
+        "payment_method",
+        "total",
+        F.when(F.col("_ok") % 8 == 0, F.lit("cancelled")).otherwise(F.lit(None).cast("string")).alias("status"),
+        "source_session_id",
+        F.lit(None).cast("timestamp_ntz").alias("created_at"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    )
+
+
+def mart_orders_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """mart_orders without the customer filter, keeping the order key as ``_ok``."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    ok, ck = F.col("o_orderkey"), F.col("o_custkey")
+    sess = F.concat(F.lit("o"), ok.cast("string"))
+    return o.select(
+        ok.alias("_ok"),
+        order_uuid(sess).alias("id"),
+        client_uuid(source_client_id(ck)).alias("client_id"),
+        F.to_date("o_orderdate").alias("order_date"),
+        F.concat(F.lit("Calle "), (ck % 100).cast("string"), F.lit(" # "), (ok % 50).cast("string")).alias("address"),
+        _pick(PAYMENTS, ok % 4).alias("payment_method"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("total"),
+        sess.alias("source_session_id"),
+    )
+
+
+def batch_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Muffin rows re-sent with their variant upper-cased (same ids: updates)."""
+    p = mart_products(spark, sf_dir).filter(F.col("name") == "Muffin")
+    return p.select("id", "name", F.upper("variant").alias("variant"), F.lit(None).cast("timestamp_ntz").alias("created_at"))
+
+
+def batch_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First lines re-sent: quantity missing for every third order (-> 1); orders divisible
+    by 5 arrive under new ids (inserts); blank names are skipped by the loader."""
+    from chatledger.functions.text import uuid_from
+
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    li = li.filter(F.col("l_linenumber") == 1)
+    ok = F.col("l_orderkey")
+    parts = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    key = F.when(ok % 5 == 0, F.concat_ws(":", F.lit("item:new:o"), *parts)).otherwise(F.concat_ws(":", F.lit("item:o"), *parts))
+    pk = F.col("l_partkey")
+    return li.select(
+        uuid_from(key).alias("id"),
+        order_uuid(F.concat(F.lit("o"), ok.cast("string"))).alias("order_id"),
+        F.lit(None).cast("string").alias("product_id"),
+        catalogue_name(pk).alias("product_name"),
+        catalogue_variant(pk).alias("variant"),
+        F.when(ok % 3 == 0, F.lit(None).cast("int")).otherwise(F.col("l_quantity").cast("int")).alias("quantity"),
+        F.lit("paquete").alias("unit"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("unit_price"),
+        F.lit(None).cast("timestamp_ntz").alias("created_at"),
+    )
+
+
+def deletions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Delete lists: every 50th customer, every 50th order (key % 50 = 2), Banano products."""
+    c = table(spark, sf_dir, "customer", "c_custkey").filter(F.col("c_custkey") % 50 == 1)
+    dc = c.select(client_uuid(source_client_id(F.col("c_custkey"))).alias("id"))
+    o = table(spark, sf_dir, "orders", "o_orderkey").filter(F.col("o_orderkey") % 50 == 2)
+    do = o.select(order_uuid(F.concat(F.lit("o"), F.col("o_orderkey").cast("string"))).alias("id"))
+    dp = mart_products(spark, sf_dir).filter(F.col("variant") == "Banano").select("id")
+    return dc, do, dp
+
+
+def phone_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phones typed into the bot: one per customer, spaced, without '+'."""
+    c = table(spark, sf_dir, "customer", "c_custkey")
+    k = F.col("c_custkey").cast("string")
+    return c.select(F.concat(F.lit("57 300 "), F.lpad(k, 7, "0")).alias("phone_input"))

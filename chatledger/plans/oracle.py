@@ -164,3 +164,319 @@ sql(
         count(*) AS n_messages
       FROM ex GROUP BY conversation_id, session_id ORDER BY conversation_id, session_id LIMIT 5""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Mart tables and reports
+# ---------------------------------------------------------------------------
+def uuid(key: str) -> str:
+    h = f"md5({key})"
+    return (
+        f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' "
+        f"|| substr({h}, 17, 4) || '-' || substr({h}, 21, 12))"
+    )
+
+
+def lst(values) -> str:
+    def q(v):
+        return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
+    return "[" + ", ".join(q(v) for v in values) + "]"
+
+
+def src_id(k: str) -> str:
+    return f"(CASE WHEN {k} % 2 = 0 THEN '+57300' || lpad(CAST({k} AS VARCHAR), 7, '0') ELSE 'WhatsApp - Cliente ' || {k} END)"
+
+
+def _catalogue():
+    from chatledger import schemas as S
+
+    return [n for n, _ in S.CATALOGUE], [v for _, v in S.CATALOGUE]
+
+
+_NAMES, _VARIANTS = _catalogue()
+CITIES_SQL = lst(["Medellín", "Bogotá", "Envigado", "Itagüí"])
+PAYMENTS_SQL = lst(["Nequi", "Daviplata", "efectivo", "transferencia"])
+RUN_TS_SQL = "TIMESTAMP '2025-01-01 00:00:00'"
+
+
+def cat_name(pk: str) -> str:
+    return f"(CASE WHEN {pk} % 97 = 0 THEN '' ELSE {lst(_NAMES)}[{pk} % {len(_NAMES)} + 1] END)"
+
+
+def cat_variant(pk: str) -> str:
+    return f"({lst(_VARIANTS)}[{pk} % {len(_VARIANTS)} + 1])"
+
+
+def order_id(ok: str) -> str:
+    return uuid(f"'order:o' || {ok}")
+
+
+MART = f"""
+mc AS (
+  SELECT {uuid(f"'client:' || {src_id('c_custkey')}")} AS id,
+         CASE WHEN c_custkey % 4 = 3 THEN NULL ELSE '+57300' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') END AS phone,
+         c_name AS name, {src_id('c_custkey')} AS source_client_id,
+         TIMESTAMP '2023-01-01 00:00:00' + to_minutes(CAST(c_custkey % 1000 AS BIGINT)) AS created_at,
+         TIMESTAMP '2023-01-01 00:00:00' + to_minutes(CAST(c_custkey % 1000 AS BIGINT)) AS updated_at
+  FROM customer
+),
+mo AS (
+  SELECT {order_id('o_orderkey')} AS id,
+         CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE {uuid(f"'client:' || {src_id('o_custkey')}")} END AS client_id,
+         CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS order_date,
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE {CITIES_SQL}[o_custkey % 4 + 1] END AS city,
+         'Calle ' || (o_custkey % 100) || ' # ' || (o_orderkey % 50) AS address,
+         {PAYMENTS_SQL}[o_orderkey % 4 + 1] AS payment_method,
+         CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS total,
+         CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'pending' ELSE 'confirmed' END AS status,
+         'o' || o_orderkey AS source_session_id,
+         o_orderdate AS created_at, o_orderdate AS updated_at
+  FROM orders WHERE o_custkey % 10 <> 0
+),
+mi_all AS (
+  SELECT {uuid("'item:o:' || l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey")} AS id,
+         {order_id('l_orderkey')} AS order_id,
+         CAST(NULL AS VARCHAR) AS product_id,
+         {cat_name('l_partkey')} AS product_name, {cat_variant('l_partkey')} AS variant,
+         CAST(l_quantity AS INTEGER) AS quantity, 'caja' AS unit,
+         CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price, l_shipdate AS created_at
+  FROM lineitem
+),
+mp AS (
+  SELECT {uuid("'product:' || name || ':' || coalesce(variant, '')")} AS id, name, variant, {RUN_TS_SQL} AS created_at
+  FROM (SELECT DISTINCT product_name AS name, variant FROM mi_all WHERE coalesce(product_name, '') <> '')
+),
+mi AS (
+  SELECT i.id, i.order_id, p.pid AS product_id, i.product_name, i.variant, i.quantity, i.unit, i.unit_price, i.created_at
+  FROM mi_all i LEFT JOIN (SELECT name, variant, min(id) AS pid FROM mp GROUP BY name, variant) p
+    ON i.product_name = p.name AND i.variant IS NOT DISTINCT FROM p.variant
+  WHERE coalesce(i.product_name, '') <> ''
+)"""
+
+W = f"WITH {MART}"
+
+
+def d(x: str) -> str:
+    return f"strftime({x}, '%Y-%m-%d')"
+
+
+sql(
+    "client_summary",
+    f"""{W} SELECT c.id, c.name, c.phone, count(o.id) AS total_orders,
+        CAST(coalesce(sum(o.total), 0) AS DOUBLE) AS total_spent, {d('max(o.order_date)')} AS last_order_date
+      FROM mc c LEFT JOIN mo o ON c.id = o.client_id GROUP BY c.id, c.name, c.phone""",
+)
+sql(
+    "orders_with_client",
+    f"""{W} SELECT o.id AS order_id, {d('o.order_date')} AS order_date, o.city, o.address, o.payment_method,
+        CAST(o.total AS DOUBLE) AS total, o.status, c.name AS client_name, c.phone AS client_phone
+      FROM mo o LEFT JOIN mc c ON o.client_id = c.id""",
+)
+sql(
+    "sales_by_month",
+    f"""{W} SELECT {d("date_trunc('month', order_date)")} AS month, count(*) AS total_orders,
+        CAST(coalesce(sum(total), 0) AS DOUBLE) AS total_revenue
+      FROM mo WHERE order_date IS NOT NULL GROUP BY date_trunc('month', order_date) ORDER BY month DESC""",
+)
+sql(
+    "top_products",
+    f"""{W} SELECT product_name, variant, sum(quantity) AS total_quantity, count(DISTINCT order_id) AS order_count
+      FROM mi_all WHERE product_name IS NOT NULL AND product_name <> '' GROUP BY product_name, variant
+      ORDER BY total_quantity DESC""",
+)
+sql(
+    "mart_counts",
+    f"""{W} SELECT 'clients' AS table_name, count(*) AS rows FROM mc
+      UNION ALL SELECT 'orders', count(*) FROM mo
+      UNION ALL SELECT 'products', count(*) FROM mp
+      UNION ALL SELECT 'order_items', count(*) FROM mi""",
+)
+sql("total_sales", f"{W} SELECT CAST(coalesce(sum(total), 0) AS DOUBLE) AS total_sales FROM mo WHERE total IS NOT NULL")
+sql(
+    "best_product",
+    f"""{W} SELECT product_name, sum(quantity) AS total_qty FROM mi_all WHERE product_name <> ''
+      GROUP BY product_name ORDER BY total_qty DESC NULLS FIRST, product_name LIMIT 1""",
+)
+sql(
+    "daily_summary",
+    f"""{W} SELECT {d('order_date')} AS order_date, count(*) AS orders, CAST(coalesce(sum(total), 0) AS DOUBLE) AS revenue
+      FROM mo WHERE order_date IS NOT NULL GROUP BY order_date""",
+)
+sql(
+    "recent_clients",
+    f"""{W} SELECT id, name, phone, {iso('created_at')} AS created_at FROM mc
+      ORDER BY created_at DESC NULLS LAST, id LIMIT 10""",
+)
+sql(
+    "client_month",
+    f"""{W} SELECT client_id, strftime(order_date, '%Y-%m') AS month, count(*) AS orders,
+        CAST(coalesce(sum(total), 0) AS DOUBLE) AS total
+      FROM mo WHERE client_id IS NOT NULL AND order_date IS NOT NULL GROUP BY client_id, strftime(order_date, '%Y-%m')""",
+)
+sql(
+    "mark_delivered",
+    f"""{W}, latest AS (
+          SELECT client_id, arg_max(id, (coalesce(order_date, DATE '0001-01-01'), created_at, id)) AS oid
+          FROM mo WHERE client_id IS NOT NULL AND status IN ('pending', 'confirmed') GROUP BY client_id)
+        SELECT o.id, o.client_id, CASE WHEN l.oid IS NOT NULL THEN 'delivered' ELSE o.status END AS status,
+               {iso(f"CASE WHEN l.oid IS NOT NULL THEN {RUN_TS_SQL} ELSE o.updated_at END")} AS updated_at
+        FROM mo o LEFT JOIN latest l ON o.id = l.oid""",
+)
+sql(
+    "items_valid",
+    f"{W} SELECT id, order_id, product_name, variant, quantity FROM mi_all WHERE coalesce(product_name, '') <> ''",
+)
+sql("item_product_id", f"{W} SELECT id, product_name, variant, product_id FROM mi")
+sql(
+    "client_by_phone",
+    f"""{W}, one AS (
+          SELECT regexp_replace(phone, '[^0-9]', '', 'g') AS k, arg_min(id, (created_at, id)) AS id,
+                 arg_min(name, (created_at, id)) AS name
+          FROM mc WHERE phone IS NOT NULL GROUP BY 1),
+        lk AS (SELECT '57 300 ' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS phone_input FROM customer)
+        SELECT lk.phone_input, one.id AS client_id, one.name AS client_name, one.id IS NOT NULL AS found
+        FROM lk LEFT JOIN one ON regexp_replace(lk.phone_input, '[^0-9]', '', 'g') = one.k""",
+)
+
+BATCH_CLIENTS = f"""
+bc AS (
+  SELECT {uuid("'client:' || src")} AS id,
+         CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE '+57301' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') END AS phone,
+         upper(c_name) AS name, src AS source_client_id, CAST(NULL AS TIMESTAMP) AS created_at
+  FROM (SELECT *, CASE WHEN c_custkey % 5 = 0 THEN 'nuevo-' || {src_id('c_custkey')} ELSE {src_id('c_custkey')} END AS src
+        FROM customer WHERE c_custkey % 3 = 0)
+)"""
+sql(
+    "upsert_clients",
+    f"""{W}, {BATCH_CLIENTS}
+      SELECT coalesce(s.id, t.id) AS id,
+        CASE WHEN s.id IS NOT NULL AND t.id IS NOT NULL THEN coalesce(s.phone, t.phone) WHEN s.id IS NOT NULL THEN s.phone ELSE t.phone END AS phone,
+        CASE WHEN s.id IS NOT NULL AND t.id IS NOT NULL THEN coalesce(s.name, t.name) WHEN s.id IS NOT NULL THEN s.name ELSE t.name END AS name,
+        CASE WHEN s.id IS NOT NULL THEN s.source_client_id ELSE t.source_client_id END AS source_client_id,
+        {iso("CASE WHEN t.id IS NOT NULL THEN t.created_at ELSE s.created_at END")} AS created_at,
+        {iso(f"CASE WHEN s.id IS NOT NULL THEN {RUN_TS_SQL} ELSE t.updated_at END")} AS updated_at
+      FROM mc t FULL OUTER JOIN bc s ON t.id = s.id""",
+)
+BATCH_ORDERS = f"""
+bo AS (
+  SELECT {order_id('o_orderkey')} AS id, {uuid(f"'client:' || {src_id('o_custkey')}")} AS client_id,
+         CAST(o_orderdate AS DATE) AS order_date, CAST(NULL AS VARCHAR) AS city,
+         'Calle ' || (o_custkey % 100) || ' # ' || (o_orderkey % 50) AS address,
+         {PAYMENTS_SQL}[o_orderkey % 4 + 1] AS payment_method, CAST(o_totalprice AS DECIMAL(12,2)) AS total,
+         CASE WHEN o_orderkey % 8 = 0 THEN 'cancelled' ELSE 'pending' END AS status,
+         'o' || o_orderkey AS source_session_id, CAST(NULL AS TIMESTAMP) AS created_at
+  FROM orders WHERE o_orderkey % 4 = 0
+)"""
+
+
+def _pick_s(c: str) -> str:
+    return f"CASE WHEN s.id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
+
+
+sql(
+    "upsert_orders",
+    f"""{W}, {BATCH_ORDERS}
+      SELECT coalesce(s.id, t.id) AS id, {_pick_s('client_id')},
+        {d("CASE WHEN s.id IS NOT NULL THEN s.order_date ELSE t.order_date END")} AS order_date,
+        {_pick_s('city')}, {_pick_s('address')}, {_pick_s('payment_method')},
+        CAST(CASE WHEN s.id IS NOT NULL THEN s.total ELSE t.total END AS DOUBLE) AS total,
+        {_pick_s('status')}, {_pick_s('source_session_id')},
+        {iso("CASE WHEN t.id IS NOT NULL THEN t.created_at ELSE s.created_at END")} AS created_at,
+        {iso(f"CASE WHEN s.id IS NOT NULL THEN {RUN_TS_SQL} ELSE t.updated_at END")} AS updated_at
+      FROM mo t FULL OUTER JOIN bo s ON t.id = s.id""",
+)
+sql(
+    "upsert_products",
+    f"""{W}, bp AS (SELECT id, name, upper(variant) AS variant FROM mp WHERE name = 'Muffin')
+      SELECT coalesce(s.id, t.id) AS id, {_pick_s('name')}, {_pick_s('variant')},
+        {iso(f"CASE WHEN t.id IS NOT NULL THEN t.created_at ELSE {RUN_TS_SQL} END")} AS created_at
+      FROM mp t FULL OUTER JOIN bp s ON t.id = s.id""",
+)
+BATCH_ITEMS = f"""
+bi AS (
+  SELECT * FROM (
+    SELECT {uuid("CASE WHEN l_orderkey % 5 = 0 THEN 'item:new:o' ELSE 'item:o' END || ':' || l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey")} AS id,
+           {order_id('l_orderkey')} AS order_id,
+           {cat_name('l_partkey')} AS product_name, {cat_variant('l_partkey')} AS variant,
+           coalesce(CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE CAST(l_quantity AS INTEGER) END, 1) AS quantity,
+           'paquete' AS unit, CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price
+    FROM lineitem WHERE l_linenumber = 1)
+  WHERE coalesce(product_name, '') <> ''
+)"""
+sql(
+    "upsert_items",
+    f"""{W}, {BATCH_ITEMS}
+      SELECT coalesce(s.id, t.id) AS id, {_pick_s('order_id')},
+        CASE WHEN t.id IS NOT NULL THEN t.product_id ELSE NULL END AS product_id,
+        {_pick_s('product_name')}, {_pick_s('variant')}, {_pick_s('quantity')}, {_pick_s('unit')},
+        CAST(CASE WHEN s.id IS NOT NULL THEN s.unit_price ELSE t.unit_price END AS DOUBLE) AS unit_price,
+        {iso(f"CASE WHEN t.id IS NOT NULL THEN t.created_at ELSE {RUN_TS_SQL} END")} AS created_at
+      FROM mi t FULL OUTER JOIN bi s ON t.id = s.id""",
+)
+sql(
+    "delete_propagation",
+    f"""{W},
+      dc AS (SELECT DISTINCT {uuid(f"'client:' || {src_id('c_custkey')}")} AS id FROM customer WHERE c_custkey % 50 = 1),
+      dor AS (SELECT DISTINCT {order_id('o_orderkey')} AS id FROM orders WHERE o_orderkey % 50 = 2),
+      dp AS (SELECT DISTINCT id FROM mp WHERE variant = 'Banano'),
+      o2 AS (SELECT CASE WHEN client_id IN (SELECT id FROM dc) THEN NULL ELSE client_id END AS client_id
+             FROM mo WHERE id NOT IN (SELECT id FROM dor)),
+      i2 AS (SELECT CASE WHEN product_id IN (SELECT id FROM dp) THEN NULL ELSE product_id END AS product_id
+             FROM mi WHERE order_id NOT IN (SELECT id FROM dor))
+      SELECT 'clients' AS table_name, count(*) AS remaining, CAST(0 AS BIGINT) AS nulled FROM mc WHERE id NOT IN (SELECT id FROM dc)
+      UNION ALL SELECT 'orders', count(*), count(*) FILTER (WHERE client_id IS NULL) FROM o2
+      UNION ALL SELECT 'products', count(*), 0 FROM mp WHERE id NOT IN (SELECT id FROM dp)
+      UNION ALL SELECT 'order_items', count(*), count(*) FILTER (WHERE product_id IS NULL) FROM i2""",
+)
+
+
+def _quality_sql() -> str:
+    from chatledger import schemas as S
+
+    lim = S.MART_STRING_LIMITS
+    parts = []
+
+    def rules(table, src, checks):
+        for k, cond in checks.items():
+            parts.append(f"SELECT '{table}.{k}' AS rule, count(*) FILTER (WHERE {cond}) AS violations FROM {src}")
+
+    statuses = ", ".join(f"'{s}'" for s in S.ORDER_STATUSES)
+    rules("clients", "mc", {"source_client_id_null": "source_client_id IS NULL", "id_null": "id IS NULL"}
+          | {f"{c}_too_long": f"length({c}) > {n}" for c, n in lim["clients"].items()})
+    rules("orders", "mo", {"id_null": "id IS NULL", "status_domain": f"status NOT IN ({statuses})"}
+          | {f"{c}_too_long": f"length({c}) > {n}" for c, n in lim["orders"].items()}
+          | {"total_out_of_range": "abs(total) >= 10000000000"})
+    rules("products", "mp", {"name_null": "name IS NULL"} | {f"{c}_too_long": f"length({c}) > {n}" for c, n in lim["products"].items()})
+    rules("order_items", "mi_q", {"product_name_null": "product_name IS NULL"}
+          | {f"{c}_too_long": f"length({c}) > {n}" for c, n in lim["order_items"].items()})
+
+    def dup(src, keys, rule):
+        nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        parts.append(
+            f"SELECT '{rule}', count(*) FROM (SELECT {', '.join(keys)} FROM {src} WHERE {nn} GROUP BY {', '.join(keys)} HAVING count(*) > 1)"
+        )
+
+    dup("mc", ["id"], "clients.id_duplicate")
+    dup("mc", ["source_client_id"], "clients.source_client_id_duplicate")
+    dup("mo", ["id"], "orders.id_duplicate")
+    dup("mp", ["id"], "products.id_duplicate")
+    dup("mp", ["name", "variant"], "products.name_variant_duplicate")
+    dup("mi_q", ["id"], "order_items.id_duplicate")
+
+    def orphan(child, fk, parent, rule):
+        parts.append(
+            f"SELECT '{rule}', count(*) FROM {child} WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT id FROM {parent} WHERE id IS NOT NULL)"
+        )
+
+    orphan("mo", "client_id", "mc", "orders.client_id_orphan")
+    orphan("mi_q", "order_id", "mo", "order_items.order_id_orphan")
+    orphan("mi_q", "product_id", "mp", "order_items.product_id_orphan")
+    mi_q = """mi_q AS (
+      SELECT i.*, p.pid AS product_id FROM (SELECT * EXCLUDE (product_id) FROM mi_all) i
+      LEFT JOIN (SELECT name, variant, min(id) AS pid FROM mp GROUP BY name, variant) p
+        ON i.product_name = p.name AND i.variant IS NOT DISTINCT FROM p.variant)"""
+    return f"{W}, {mi_q} SELECT rule, CAST(violations AS BIGINT) AS violations FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+sql("quality_report", _quality_sql())

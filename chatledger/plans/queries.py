@@ -11,17 +11,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from chatledger.functions import text as X
+from chatledger.operators import mart as MT
 from chatledger.operators import messages as M
+from chatledger.operators import reports as R
 from chatledger.operators import sessions as SS
 from chatledger.plans import adapters as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def render(df: DataFrame) -> DataFrame:
+    """Dates -> 'YYYY-MM-DD', timestamps -> ISO text, decimals -> DOUBLE, ints -> BIGINT."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
+            c = X.iso_timestamp(f.name)
+        elif isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
+            c = c.cast("bigint")
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark, sf):
+            return render(fn(spark, sf))
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
 
     return deco
@@ -117,3 +143,127 @@ SESSIONS_FIRST_N = 5
 def q_sessions_first_n(spark, sf):
     rec = SS.first_n(SS.session_records(_msgs(spark, sf)), SESSIONS_FIRST_N)
     return rec.select("conversation_id", "session_id", "client_id", F.size("messages").cast("bigint").alias("n_messages"))
+
+
+# ---------------------------------------------------------------------------
+# mart views, statistics and maintenance
+# ---------------------------------------------------------------------------
+def _mart(spark, sf):
+    return A.mart_clients(spark, sf), A.mart_orders(spark, sf), A.mart_products(spark, sf), A.mart_items(spark, sf)
+
+
+@query("client_summary")
+def q_client_summary(spark, sf):
+    return R.client_summary(A.mart_clients(spark, sf), A.mart_orders(spark, sf))
+
+
+@query("orders_with_client")
+def q_orders_with_client(spark, sf):
+    return R.orders_with_client(A.mart_orders(spark, sf), A.mart_clients(spark, sf))
+
+
+@query("sales_by_month")
+def q_sales_by_month(spark, sf):
+    return R.sales_by_month(A.mart_orders(spark, sf))
+
+
+@query("top_products")
+def q_top_products(spark, sf):
+    return R.top_products(A.mart_items(spark, sf))
+
+
+@query("mart_counts")
+def q_mart_counts(spark, sf):
+    c, o, p, i = _mart(spark, sf)
+    return R.table_counts({"clients": c, "orders": o, "products": p, "order_items": MT.valid_items(i)})
+
+
+@query("total_sales")
+def q_total_sales(spark, sf):
+    return R.total_sales(A.mart_orders(spark, sf))
+
+
+@query("best_product")
+def q_best_product(spark, sf):
+    return R.best_product(A.mart_items(spark, sf))
+
+
+@query("daily_summary")
+def q_daily_summary(spark, sf):
+    return R.daily_summary(A.mart_orders(spark, sf))
+
+
+@query("recent_clients")
+def q_recent_clients(spark, sf):
+    return R.recent_clients(A.mart_clients(spark, sf), 10).select("id", "name", "phone", "created_at")
+
+
+@query("client_month")
+def q_client_month(spark, sf):
+    return R.client_month(A.mart_orders(spark, sf))
+
+
+@query("mark_delivered")
+def q_mark_delivered(spark, sf):
+    return MT.mark_delivered(A.mart_orders(spark, sf), None, A.run_ts()).select("id", "client_id", "status", "updated_at")
+
+
+@query("items_valid")
+def q_items_valid(spark, sf):
+    return MT.valid_items(A.mart_items(spark, sf)).select("id", "order_id", "product_name", "variant", "quantity")
+
+
+@query("item_product_id")
+def q_item_product_id(spark, sf):
+    items = MT.valid_items(A.mart_items(spark, sf))
+    return MT.resolve_product_ids(items, A.mart_products(spark, sf)).select("id", "product_name", "variant", "product_id")
+
+
+@query("client_by_phone")
+def q_client_by_phone(spark, sf):
+    return MT.clients_by_phone(A.mart_clients(spark, sf), A.phone_lookups(spark, sf), "phone_input")
+
+
+@query("upsert_clients")
+def q_upsert_clients(spark, sf):
+    return MT.upsert_clients(A.mart_clients(spark, sf), MT.dedupe_last(A.batch_clients(spark, sf)), A.run_ts())
+
+
+@query("upsert_orders")
+def q_upsert_orders(spark, sf):
+    return MT.upsert_orders(A.mart_orders(spark, sf), MT.dedupe_last(A.batch_orders(spark, sf)), A.run_ts())
+
+
+@query("upsert_products")
+def q_upsert_products(spark, sf):
+    return MT.upsert_products(A.mart_products(spark, sf), MT.dedupe_last(A.batch_products(spark, sf)), A.run_ts())
+
+
+@query("upsert_items")
+def q_upsert_items(spark, sf):
+    target = MT.resolve_product_ids(MT.valid_items(A.mart_items(spark, sf)), A.mart_products(spark, sf))
+    return MT.upsert_items(target, MT.dedupe_last(A.batch_items(spark, sf)), A.run_ts())
+
+
+@query("delete_propagation")
+def q_delete_propagation(spark, sf):
+    c, o, p, i = _mart(spark, sf)
+    i = MT.resolve_product_ids(MT.valid_items(i), p)
+    dc, do, dp = A.deletions(spark, sf)
+    out = MT.propagate_deletes(c, o, p, i, dc, do, dp)
+    parts = [
+        out["clients"].agg(F.count(F.lit(1)).alias("remaining"), F.lit(0).cast("bigint").alias("nulled")).withColumn("table_name", F.lit("clients")),
+        out["orders"].agg(F.count(F.lit(1)).alias("remaining"), F.count_if(F.col("client_id").isNull()).alias("nulled")).withColumn("table_name", F.lit("orders")),
+        out["products"].agg(F.count(F.lit(1)).alias("remaining"), F.lit(0).cast("bigint").alias("nulled")).withColumn("table_name", F.lit("products")),
+        out["order_items"].agg(F.count(F.lit(1)).alias("remaining"), F.count_if(F.col("product_id").isNull()).alias("nulled")).withColumn("table_name", F.lit("order_items")),
+    ]
+    res = parts[0]
+    for x in parts[1:]:
+        res = res.unionByName(x)
+    return res.select("table_name", "remaining", F.col("nulled").cast("bigint").alias("nulled"))
+
+
+@query("quality_report")
+def q_quality_report(spark, sf):
+    c, o, p, i = _mart(spark, sf)
+    return MT.quality_report(c, o, p, MT.resolve_product_ids(i, p))
