@@ -90,7 +90,7 @@ def parse_timestamp_ntz(text, fmt: str) -> Column:
 def parse_date_lenient(text) -> Column:
     """``strptime('%Y-%m-%d')``: accepts unpadded month/day; anything else -> NULL."""
     t = col_(text)
-    return F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(t, F.lit("yyyy-M-d")))
+    return F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(t, "yyyy-M-d"))
 
 
 def parse_iso_timestamp(text) -> Column:
@@ -108,13 +108,13 @@ def money_text_to_number(text) -> Column:
     """Export money rule for text: drop '$', drop '.', ',' -> '.', strip, to number; bad -> NULL."""
     t = F.replace(F.replace(col_(text), F.lit("$"), F.lit("")), F.lit("."), F.lit(""))
     t = strip(F.replace(t, F.lit(","), F.lit(".")))
-    return F.try_cast(t, "double")
+    return t.try_cast("double")
 
 
 def bot_money(text) -> Column:
     """Bot total: drop '$', '.', ',' and spaces; positive integer else NULL."""
     t = F.regexp_replace(col_(text), r"[$., ]", "")
-    v = F.when(t.rlike(r"^[+-]?\d+$"), F.try_cast(t, "bigint"))
+    v = F.when(t.rlike(r"^[+-]?\d+$"), t.try_cast("bigint"))
     return F.when(v > 0, v)
 
 

@@ -277,3 +277,122 @@ def phone_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer", "c_custkey")
     k = F.col("c_custkey").cast("string")
     return c.select(F.concat(F.lit("57 300 "), F.lpad(k, 7, "0")).alias("phone_input"))
+
+
+# ---------------------------------------------------------------------------
+# V_res: order-extraction output per session, from orders + lineitem
+# ---------------------------------------------------------------------------
+SESSIONS_PER_USER_SLOT = 64  # order key -> (user = key div 64, session number = key % 64)
+
+
+def _jstr(c: Column) -> Column:
+    """JSON text of a string column (escaped), 'null' for NULL."""
+    t = F.to_json(F.array(c))
+    return F.when(c.isNull(), F.lit("null")).otherwise(F.regexp_extract(t, r"(?s)^\[(.*)\]$", 1))
+
+
+def _obj(pairs: list[tuple[str, Column]]) -> Column:
+    parts = []
+    for i, (k, v) in enumerate(pairs):
+        parts += [F.lit(("," if i else "{") + f'"{k}":'), v]
+    parts.append(F.lit("}"))
+    return F.concat(*parts)
+
+
+def _product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    pk, ln = F.col("l_partkey"), F.col("l_linenumber")
+    q = F.col("l_quantity").cast("int").cast("string")
+    qty = (
+        F.when(ln == 4, F.lit("null"))
+        .when(ln == 5, F.concat(F.lit('"'), q, F.lit('"')))
+        .when(ln == 6, F.lit("0"))
+        .when(ln == 7, F.lit('"dos"'))
+        .otherwise(q)
+    )
+    elem = _obj(
+        [
+            ("name", _jstr(catalogue_name(pk))),
+            ("variant", _jstr(catalogue_variant(pk))),
+            ("presentation", F.lit("null")),
+            ("quantity_units", qty),
+            ("unit", F.when(ln == 3, F.lit('""')).otherwise(F.lit('"caja"'))),
+            ("unit_price_approx", F.col("l_extendedprice").cast("string")),
+        ]
+    )
+    return li.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct(ln.alias("a"), pk.alias("b"), F.col("l_suppkey").alias("c"), elem.alias("e")))).alias("_p")
+    ).select("l_orderkey", F.concat(F.lit("["), F.array_join(F.transform("_p", lambda x: x["e"]), ","), F.lit("]")).alias("products_json"))
+
+
+def extraction_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One extractor output per session: metadata, raw response text and error."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    o = o.join(_product_lines(spark, sf_dir), o["o_orderkey"] == F.col("l_orderkey"), "left")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    uid = F.floor(k / SESSIONS_PER_USER_SLOT).cast("string")
+    conv = F.concat(F.lit("WhatsApp - u"), uid)
+    sess = F.concat(conv, F.lit(S.SESSION_SEPARATOR), (k % SESSIONS_PER_USER_SLOT).cast("string"))
+    ck = c.cast("string")
+    phone = (
+        F.when(c % 4 == 0, F.concat(F.lit("+57300"), F.lpad(ck, 7, "0")))
+        .when(c % 4 == 1, F.concat(F.lit("300"), F.lpad(ck, 7, "0")))
+    )
+    name = F.when(c % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("Cliente "), ck))
+    customer = F.when(c % 23 == 0, F.lit("null")).otherwise(_obj([("phone", _jstr(phone)), ("name", _jstr(name))]))
+    otype = (
+        F.when(k % 29 == 0, F.lit("cancelled"))
+        .when(F.col("o_orderstatus") == "F", F.lit("confirmed"))
+        .when(F.col("o_orderstatus") == "P", F.lit("delivery_followup"))
+        .otherwise(F.lit("quotation"))
+    )
+    d = F.col("o_orderdate")
+    odate = (
+        F.when(k % 3 == 0, F.lit(None).cast("string"))
+        .when((k % 3 == 1) & (k % 5 == 0), F.date_format(d, "yyyy-M-d"))
+        .when((k % 3 == 1) & (k % 7 == 0), F.date_format(d, "dd/MM/yyyy"))
+        .when((k % 3 == 2) & (k % 11 == 0), F.lit(""))
+        .otherwise(F.date_format(d, "yyyy-MM-dd"))
+    )
+    tot = F.col("o_totalprice")
+    dotted = F.replace(F.format_number(F.floor(tot), 0), F.lit(","), F.lit("."))
+    total = (
+        F.when(k % 2 == 0, tot.cast("string"))
+        .when(k % 10 == 1, F.concat(F.lit('"$'), dotted, F.lit('"')))
+        .when(k % 10 == 3, F.concat(F.lit('"'), dotted, F.lit(',50"')))
+        .when(k % 10 == 5, F.lit('"consultar"'))
+        .when(k % 10 == 7, F.lit("null"))
+        .otherwise(F.concat(F.lit('"'), F.floor(tot).cast("string"), F.lit('"')))
+    )
+    pj = F.col("products_json")
+    products = (
+        F.when(k % 43 == 0, F.lit('"ver chat"'))
+        .when(k % 47 == 0, F.lit("[]"))
+        .when(pj.isNull(), F.lit("null"))
+        .when(k % 53 == 0, F.concat(F.expr("substring(products_json, 1, length(products_json) - 1)"), F.lit(',"extra"]')))
+        .otherwise(pj)
+    )
+    order = F.when(k % 37 == 0, F.lit("null")).otherwise(
+        _obj(
+            [
+                ("has_order", F.when(F.col("o_orderstatus") == "O", F.lit("false")).otherwise(F.lit("true"))),
+                ("order_type", _jstr(otype)),
+                ("order_date", _jstr(odate)),
+                ("city", _jstr(F.when(k % 7 == 0, F.lit("")).otherwise(_pick(CITIES, c % 4)))),
+                ("address", _jstr(F.concat(F.lit("Calle "), (c % 100).cast("string"), F.lit(" # "), (k % 50).cast("string")))),
+                ("payment_method", _jstr(_pick(PAYMENTS, k % 4))),
+                ("approx_total", total),
+                ("products", products),
+            ]
+        )
+    )
+    response = _obj([("conversation_id", _jstr(conv)), ("customer", customer), ("order", order)])
+    response = F.when(k % 101 == 50, F.lit('{"order": {"order_type": "confirmed", ')).otherwise(response)
+    rate_limited = k % 89 == 0
+    return o.select(
+        sess.alias("session_id"),
+        conv.alias("conversation_id"),
+        source_client_id(c).alias("client_id"),
+        F.when(rate_limited, F.lit(None).cast("string")).otherwise(response).alias("response"),
+        F.when(rate_limited, F.lit("Max retries exceeded (rate limit)")).alias("error"),
+    )

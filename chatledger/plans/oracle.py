@@ -480,3 +480,156 @@ def _quality_sql() -> str:
 
 
 sql("quality_report", _quality_sql())
+
+
+# ---------------------------------------------------------------------------
+# Extractor results (V_res) restated relationally: no JSON on this side
+# ---------------------------------------------------------------------------
+def _num_text(x: str) -> str:
+    """Text of a JSON number as the VARIANT reader prints it (whole numbers without '.0')."""
+    return f"(CASE WHEN {x} = floor({x}) THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) ELSE CAST({x} AS VARCHAR) END)"
+
+
+RES = f"""
+res0 AS (
+  SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus, o_totalprice AS tot, o_orderdate AS d,
+         'WhatsApp - u' || (o_orderkey // 64) || '__s' || (o_orderkey % 64) AS session_id,
+         'WhatsApp - u' || (o_orderkey // 64) AS conversation_id,
+         {src_id('o_custkey')} AS client_id,
+         o_orderkey % 89 = 0 AS rate_limited,
+         o_orderkey % 101 = 50 AS malformed
+  FROM orders
+),
+res AS (
+  SELECT *,
+    NOT rate_limited AND NOT malformed AS ok,
+    NOT rate_limited AND NOT malformed AND k % 37 <> 0 AS has_order_obj,
+    CASE WHEN rate_limited OR malformed OR k % 37 = 0 THEN NULL
+         WHEN k % 29 = 0 THEN 'cancelled' WHEN o_orderstatus = 'F' THEN 'confirmed'
+         WHEN o_orderstatus = 'P' THEN 'delivery_followup' ELSE 'quotation' END AS order_type,
+    CASE WHEN k % 3 = 0 THEN NULL
+         WHEN k % 3 = 1 AND k % 5 = 0 THEN strftime(d, '%Y-%-m-%-d')
+         WHEN k % 3 = 1 AND k % 7 = 0 THEN strftime(d, '%d/%m/%Y')
+         WHEN k % 3 = 2 AND k % 11 = 0 THEN ''
+         ELSE strftime(d, '%Y-%m-%d') END AS order_date_text,
+    CASE WHEN k % 7 = 0 THEN '' ELSE {CITIES_SQL}[c % 4 + 1] END AS city,
+    'Calle ' || (c % 100) || ' # ' || (k % 50) AS address,
+    {PAYMENTS_SQL}[k % 4 + 1] AS payment_method,
+    CASE WHEN k % 2 = 0 THEN {_num_text('tot')}
+         WHEN k % 10 = 1 THEN '$' || replace(format('{{:,}}', CAST(floor(tot) AS BIGINT)), ',', '.')
+         WHEN k % 10 = 3 THEN replace(format('{{:,}}', CAST(floor(tot) AS BIGINT)), ',', '.') || ',50'
+         WHEN k % 10 = 5 THEN 'consultar'
+         WHEN k % 10 = 7 THEN NULL
+         ELSE CAST(CAST(floor(tot) AS BIGINT) AS VARCHAR) END AS approx_total_text,
+    CASE WHEN k % 2 = 0 THEN tot
+         WHEN k % 10 IN (1, 9) THEN floor(tot)
+         WHEN k % 10 = 3 THEN floor(tot) + 0.5
+         ELSE NULL END AS total_num,
+    CASE WHEN c % 23 = 0 THEN NULL WHEN c % 4 = 0 THEN '+57300' || lpad(CAST(c AS VARCHAR), 7, '0')
+         WHEN c % 4 = 1 THEN '300' || lpad(CAST(c AS VARCHAR), 7, '0') END AS customer_phone,
+    CASE WHEN c % 23 = 0 THEN NULL WHEN c % 5 = 0 THEN '' ELSE 'Cliente ' || c END AS customer_name,
+    k % 43 <> 0 AND k % 47 <> 0 AS products_listed
+  FROM res0
+),
+exp AS (SELECT * FROM res WHERE has_order_obj AND order_type IN ('confirmed', 'delivery_followup')),
+lastd AS (SELECT session_id, strftime(max(sent_at), '%Y-%m-%d') AS last_date FROM ex GROUP BY session_id),
+dated AS (
+  SELECT e.*,
+    CASE WHEN coalesce(e.order_date_text, '') <> '' THEN e.order_date_text ELSE l.last_date END AS order_date,
+    CASE WHEN coalesce(e.order_date_text, '') <> '' THEN 'llm' WHEN l.last_date IS NOT NULL THEN 'last_message' ELSE 'none' END AS order_date_source
+  FROM exp e LEFT JOIN lastd l ON e.session_id = l.session_id
+),
+plines AS (
+  SELECT l_orderkey AS k,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos,
+    {cat_name('l_partkey')} AS name, {cat_variant('l_partkey')} AS variant, l_linenumber AS ln,
+    CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS qtxt,
+    CASE WHEN l_linenumber = 3 THEN '' ELSE 'caja' END AS unit, l_extendedprice AS price
+  FROM lineitem
+),
+items AS (
+  SELECT e.session_id, p.* FROM exp e JOIN plines p ON e.k = p.k WHERE e.products_listed
+),
+labels AS (
+  SELECT session_id, string_agg(concat_ws(' ', name,
+            CASE WHEN coalesce(variant, '') <> '' THEN '(' || variant || ')' END,
+            CASE WHEN ln = 4 OR ln = 6 THEN NULL WHEN ln = 7 THEN 'xdos' ELSE 'x' || qtxt END,
+            CASE WHEN unit <> '' THEN unit END), '; ' ORDER BY pos) AS products
+  FROM items GROUP BY session_id
+),
+firstc AS (
+  SELECT client_id, arg_min(first_at, (conversation_id, session_id)) AS first_at FROM (
+    SELECT conversation_id, session_id, arg_min(client_id, (sent_at, message_index)) AS client_id, min(sent_at) AS first_at
+    FROM ex GROUP BY conversation_id, session_id) GROUP BY client_id
+),
+cl AS (
+  SELECT client_id AS src, arg_min(customer_phone, session_id) AS cp, arg_min(customer_name, session_id) AS cn
+  FROM exp GROUP BY client_id
+),
+cl2 AS (
+  SELECT src, CASE WHEN starts_with(coalesce(cp, ''), '+') THEN cp WHEN starts_with(src, '+') THEN src END AS phone, cn FROM cl
+),
+clients_t AS (
+  SELECT {uuid("'client:' || src")} AS id, phone,
+    nullif(CASE WHEN coalesce(cn, '') = '' AND phone IS NULL AND NOT starts_with(src, '+')
+                THEN {strip("replace(src, 'WhatsApp - ', '')")} ELSE cn END, '') AS name,
+    src AS source_client_id,
+    coalesce({iso('f.first_at')}, '2025-01-01T00:00:00') AS created_at
+  FROM cl2 LEFT JOIN firstc f ON cl2.src = f.client_id
+)"""
+
+R3 = f"{MSGS}, {RES}"
+
+sql(
+    "extract_parse",
+    f"""{R3} SELECT session_id,
+        CASE WHEN rate_limited THEN 'Max retries exceeded (rate limit)' WHEN malformed THEN 'invalid JSON response' END AS error,
+        ok AS parsed, order_type FROM res""",
+)
+sql("extract_status", f"{R3} SELECT count(*) FILTER (WHERE ok) AS ok, count(*) FILTER (WHERE NOT ok) AS errors FROM res")
+sql("orders_confirmed", f"{R3} SELECT session_id, order_type FROM exp")
+sql("order_date_fallback", f"{R3} SELECT session_id, order_date, order_date_source FROM dated")
+sql("date_source_counts", f"{R3} SELECT order_date_source, count(*) AS orders FROM dated GROUP BY order_date_source")
+sql(
+    "money_parse_export",
+    f"""{R3} SELECT session_id, CASE WHEN has_order_obj THEN approx_total_text END AS approx_total_text,
+        CASE WHEN has_order_obj THEN total_num END AS total FROM res""",
+)
+sql(
+    "product_label",
+    f"{R3} SELECT e.session_id, coalesce(l.products, '') AS products FROM exp e LEFT JOIN labels l ON e.session_id = l.session_id",
+)
+sql(
+    "sales_flat",
+    f"""{R3} SELECT d.conversation_id, d.session_id, d.client_id, d.customer_phone, d.customer_name, d.order_type,
+        d.order_date, d.order_date_source, d.city, d.address, d.payment_method, d.approx_total_text AS approx_total,
+        coalesce(l.products, '') AS products
+      FROM dated d LEFT JOIN labels l ON d.session_id = l.session_id""",
+)
+sql(
+    "orders_table",
+    f"""{R3} SELECT {uuid("'order:' || session_id")} AS id, {uuid("'client:' || client_id")} AS client_id,
+        nullif(order_date, '') AS order_date, nullif(city, '') AS city, nullif(address, '') AS address,
+        nullif(payment_method, '') AS payment_method, total_num AS total, order_type AS status,
+        session_id AS source_session_id, '2025-01-01T00:00:00' AS created_at
+      FROM dated""",
+)
+sql(
+    "items_table",
+    f"""{R3} SELECT {uuid("'item:' || session_id || ':' || pos")} AS id, {uuid("'order:' || session_id")} AS order_id,
+        name AS product_name, nullif(variant, '') AS variant,
+        CAST(CASE WHEN ln IN (4, 6) THEN 1 WHEN ln = 7 THEN NULL ELSE CAST(qtxt AS BIGINT) END AS BIGINT) AS quantity,
+        nullif(unit, '') AS unit, price AS unit_price
+      FROM items""",
+)
+sql("clients_table", f"{R3} SELECT id, phone, name, source_client_id, created_at FROM clients_t")
+sql(
+    "order_date_parse",
+    f"""{R3} SELECT {uuid("'order:' || session_id")} AS id, nullif(order_date, '') AS order_date_text,
+        strftime(CASE WHEN regexp_full_match(order_date, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') THEN try_strptime(order_date, '%Y-%m-%d') END, '%Y-%m-%d') AS order_date
+      FROM dated""",
+)
+sql(
+    "created_at_parse",
+    f"""{R3} SELECT source_client_id, {iso("CAST(created_at AS TIMESTAMP)")} AS created_at FROM clients_t""",
+)

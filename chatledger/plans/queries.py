@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from chatledger.functions import text as X
 from chatledger.operators import mart as MT
 from chatledger.operators import messages as M
+from chatledger.operators import orders as O
 from chatledger.operators import reports as R
 from chatledger.operators import sessions as SS
 from chatledger.plans import adapters as A
@@ -267,3 +268,88 @@ def q_delete_propagation(spark, sf):
 def q_quality_report(spark, sf):
     c, o, p, i = _mart(spark, sf)
     return MT.quality_report(c, o, p, MT.resolve_product_ids(i, p))
+
+
+# ---------------------------------------------------------------------------
+# extractor results -> orders, items, clients, flat sales
+# ---------------------------------------------------------------------------
+def _results(spark, sf):
+    return O.parse_results(A.extraction_results(spark, sf))
+
+
+def _dated(spark, sf):
+    return O.with_order_date(O.exported_orders(_results(spark, sf)), SS.session_last_date(_msgs(spark, sf)))
+
+
+@query("extract_parse")
+def q_extract_parse(spark, sf):
+    r = _results(spark, sf)
+    return r.select(
+        "session_id", "error", F.col("result").isNotNull().alias("parsed"),
+        O.vget(F.col("result"), "$.order.order_type").alias("order_type"),
+    )
+
+
+@query("extract_status")
+def q_extract_status(spark, sf):
+    return O.extract_status(_results(spark, sf))
+
+
+@query("orders_confirmed")
+def q_orders_confirmed(spark, sf):
+    return O.exported_orders(_results(spark, sf)).select("session_id", "order_type")
+
+
+@query("order_date_fallback")
+def q_order_date_fallback(spark, sf):
+    return _dated(spark, sf).select("session_id", "order_date", "order_date_source")
+
+
+@query("date_source_counts")
+def q_date_source_counts(spark, sf):
+    return O.date_source_counts(_dated(spark, sf))
+
+
+@query("money_parse_export")
+def q_money_parse_export(spark, sf):
+    t = O.typed_orders(_results(spark, sf))
+    return t.select("session_id", O.vget(F.col("approx_total"), "$").alias("approx_total_text"), O.money(F.col("approx_total")).alias("total"))
+
+
+@query("product_label")
+def q_product_label(spark, sf):
+    return O.exported_orders(_results(spark, sf)).select("session_id", O.product_label(F.col("products")).alias("products"))
+
+
+@query("sales_flat")
+def q_sales_flat(spark, sf):
+    return O.sales_flat(_dated(spark, sf))
+
+
+@query("orders_table")
+def q_orders_table(spark, sf):
+    return O.orders_table(_dated(spark, sf), A.run_ts())
+
+
+@query("items_table")
+def q_items_table(spark, sf):
+    return O.items_table(O.exported_orders(_results(spark, sf)))
+
+
+@query("clients_table")
+def q_clients_table(spark, sf):
+    first = SS.client_first_contact(SS.session_summary(_msgs(spark, sf)))
+    return O.clients_table(O.exported_orders(_results(spark, sf)), first, A.run_ts())
+
+
+@query("order_date_parse")
+def q_order_date_parse(spark, sf):
+    o = O.orders_table(_dated(spark, sf), A.run_ts())
+    return o.select("id", F.col("order_date").alias("order_date_text"), X.parse_date_lenient("order_date").alias("order_date"))
+
+
+@query("created_at_parse")
+def q_created_at_parse(spark, sf):
+    first = SS.client_first_contact(SS.session_summary(_msgs(spark, sf)))
+    c = O.clients_table(O.exported_orders(_results(spark, sf)), first, A.run_ts())
+    return c.select("source_client_id", X.parse_iso_timestamp("created_at").alias("created_at"))
