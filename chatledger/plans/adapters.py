@@ -25,6 +25,61 @@ def _pick(values: list, index: Column) -> Column:
 # ---------------------------------------------------------------------------
 # V_msg: chat export rows from ``events``
 # ---------------------------------------------------------------------------
+# FIXED VALUES: message texts.  Client lines are the example utterances quoted in the
+# extraction instructions (order intent, products and quantities, delivery, payment,
+# follow-up, information only, cancellation, self-introduction, misspelt product names);
+# business lines are short replies.  A row picks one by (event_id * 7 + user_id).
+CLIENT_PHRASES = [
+    "Quiero hacer un pedido",
+    "Entonces mándame 2 cajas",
+    "Te encargo 3 paquetes para mañana",
+    "Sí, déjalo así, confírmame el pedido",
+    "Listo, me quedo con esos",
+    "Serían 2 cajas de muffins y 1 de brownies",
+    "Déjame 10 arepas integrales",
+    "Apúntame 3 paquetes para el viernes",
+    "Es en el barrio Laureles, carrera 80 #xx-xx, apto 302",
+    "Entrégalo en el edificio X, torre 2, portería",
+    "Te espero en la portería del conjunto Y",
+    "Nos vemos en la estación del metro Floresta",
+    "¿Por dónde te puedo pagar?",
+    "Te hago la transferencia por Nequi",
+    "Ya te envié el comprobante",
+    "Listo, ya te transferí",
+    "Te pago en efectivo cuando llegue",
+    "A qué hora llega el pedido?",
+    "No me ha llegado todavía",
+    "El pedido llegó bien, gracias",
+    "¿Qué productos tienes?",
+    "Mándame la carta y los precios",
+    "Mejor cancélalo",
+    "Ya no lo necesito, gracias",
+    "Soy Ana",
+    "Hola, habla Juan",
+    "Quiero 2 mufins de chocolate",
+    "Me das 3 arepitas de yuca y queso",
+    "Un bronwie por favor",
+    "2 wafles de platano y queso",
+    "¿Tienen productos para diabéticos?",
+    "¿Hacen envíos a Envigado?",
+    "¿Cuánto vale la caja de muffins de zanahora?",
+    "¿A qué hora abren?",
+    "Vivo en Medellín",
+    "Pago con Daviplata",
+]
+BUSINESS_PHRASES = [
+    "El domiciliario ya viene en camino",
+    "Claro, la caja de muffins vale $22.000",
+    "Hacemos envíos en Medellín y Envigado",
+    "Sí, tenemos productos sin azúcar",
+    "Abrimos de 8am a 6pm",
+    "Puedes pagar por Nequi o Bancolombia",
+    "Estamos en Bogotá",
+    "Te confirmo el pedido, total $45.000",
+    "Gracias por tu compra",
+]
+
+
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
     uid = F.col("user_id").cast("string")
@@ -40,10 +95,14 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("user_id") % 4 == 2, F.concat(F.lit("Cliente "), uid))
         .otherwise(F.concat(F.lit(" 300-"), F.lpad(uid, 5, "0"), F.lit(" ")))
     )
+    pick = eid * 7 + F.col("user_id")
+    phrase = F.when(F.col("event_type") == "click", _pick(BUSINESS_PHRASES, pick % len(BUSINESS_PHRASES))).otherwise(
+        _pick(CLIENT_PHRASES, pick % len(CLIENT_PHRASES))
+    )
     text = (
         F.when(eid % 11 == 0, F.lit(""))
         .when(eid % 13 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(" "), F.col("event_type"), F.lit(" "), F.col("props"), F.lit("\n")))
+        .otherwise(F.concat(F.lit(" "), phrase, F.lit("\n")))
     )
     media = F.when(F.col("value") > 300, F.lit("  ")).when(F.col("value") > 30, F.lit("image"))
     none = F.lit(None).cast("string")

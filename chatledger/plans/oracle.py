@@ -26,6 +26,15 @@ def strip(x: str) -> str:
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
+def lst(values) -> str:
+    def q(v):
+        return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
+    return "[" + ", ".join(q(v) for v in values) + "]"
+
+
+from chatledger.plans.adapters import BUSINESS_PHRASES, CLIENT_PHRASES  # noqa: E402
+
 # ---------------------------------------------------------------------------
 # V_msg and stage 1
 # ---------------------------------------------------------------------------
@@ -43,7 +52,8 @@ raw AS (
                           ELSE ' 300-' || lpad(CAST(user_id AS VARCHAR), 5, '0') || ' ' END AS contact,
          CASE WHEN event_id % 11 = 0 THEN ''
               WHEN event_id % 13 = 0 THEN NULL
-              ELSE ' ' || event_type || ' ' || props || chr(10) END AS text_raw,
+              WHEN event_type = 'click' THEN ' ' || {lst(BUSINESS_PHRASES)}[(event_id * 7 + user_id) % {len(BUSINESS_PHRASES)} + 1] || chr(10)
+              ELSE ' ' || {lst(CLIENT_PHRASES)}[(event_id * 7 + user_id) % {len(CLIENT_PHRASES)} + 1] || chr(10) END AS text_raw,
          CASE WHEN value > 300 THEN '  ' WHEN value > 30 THEN 'image' END AS media_type,
          'WhatsApp - u' || user_id || '.csv' AS filename,
          'raw_chats/WhatsApp - u' || user_id || '.csv' AS file_path
@@ -177,13 +187,6 @@ def uuid(key: str) -> str:
     )
 
 
-def lst(values) -> str:
-    def q(v):
-        return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
-
-    return "[" + ", ".join(q(v) for v in values) + "]"
-
-
 def src_id(k: str) -> str:
     return f"(CASE WHEN {k} % 2 = 0 THEN '+57300' || lpad(CAST({k} AS VARCHAR), 7, '0') ELSE 'WhatsApp - Cliente ' || {k} END)"
 
@@ -633,3 +636,117 @@ sql(
     "created_at_parse",
     f"""{R3} SELECT source_client_id, {iso("CAST(created_at AS TIMESTAMP)")} AS created_at FROM clients_t""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Rule extractor
+# ---------------------------------------------------------------------------
+def _rules_sql() -> dict[str, str]:
+    from chatledger import schemas as S
+    from chatledger.functions import rules as RU
+
+    def q(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    def term(terms, f):
+        hit = f"regexp_extract({f}, {q('(' + '|'.join(t for t, _ in terms) + ')')}, 1)"
+        return "CASE " + " ".join(f"WHEN {hit} = {q(t)} THEN {q(c)}" for t, c in terms) + " END"
+
+    sig = ",\n".join(f"regexp_matches(_f, {q(p)}) AS {n}" for n, p in RU.SIGNALS.items())
+    amt = "replace(replace(replace(_amount, '$', ''), '.', ''), ',', '.')"
+    money = f"TRY_CAST({strip(amt)} AS DOUBLE)"
+    catvar = "[" + ", ".join(
+        f"{{'name': {q(n)}, 'vfold': {q(v.lower().translate(str.maketrans('áéíóúüñ', 'aeiouun')))}, 'variant': {q(v)}}}"
+        for n, v in S.CATALOGUE if v is not None
+    ) + "]"
+    alias = "regexp_extract(mention, '([a-z]+)$', 1)"
+    name = "CASE " + " ".join(f"WHEN starts_with({alias}, {q(p)}) THEN {q(n)}" for p, n in RU.ALIAS_PREFIX) + " END"
+    cat = "CASE " + " ".join(f"WHEN regexp_matches(_f, {q(p)}) THEN {q(c)}" for c, p in RU.FAQ_CATEGORY_RULES) + " ELSE 'otro' END"
+    feats = f"""
+feats0 AS (SELECT *, translate(lower(text), 'áéíóúüñ', 'aeiouun') AS _f FROM ex),
+feats AS (
+  SELECT *, {sig},
+    {term(RU.PAYMENT_TERMS, '_f')} AS payment_term,
+    {term(RU.CITY_TERMS, '_f')} AS city_term,
+    CASE WHEN contains(_f, 'total') THEN nullif(regexp_extract(text, {q(RU.AMOUNT)}, 1), '') END AS amount_text,
+    nullif(regexp_extract(text, {q(RU.NAME_INTRO)}, 1), '') AS intro_name
+  FROM feats0
+),
+facts0 AS (
+  SELECT conversation_id, session_id, arg_min(client_id, message_index) AS client_id,
+    bool_or(intent) AS intent, bool_or(product_qty) AS product_qty, bool_or(delivery) AS delivery,
+    bool_or(payment) AS payment, bool_or(followup) AS followup, bool_or(cancel) AS cancel, bool_or(info) AS info,
+    arg_min(payment_term, message_index) AS payment_method,
+    arg_min(city_term, message_index) AS city,
+    arg_min(CASE WHEN delivery THEN text END, message_index) AS address,
+    arg_min(amount_text, message_index) AS _amount,
+    arg_min(CASE WHEN role = 'user' THEN intro_name END, message_index) AS customer_name
+  FROM feats GROUP BY conversation_id, session_id
+),
+facts AS (
+  SELECT *,
+    CASE WHEN cancel THEN 'cancelled' WHEN followup THEN 'delivery_followup'
+         WHEN (intent AND (product_qty OR delivery OR payment)) OR (product_qty AND (delivery OR payment)) THEN 'confirmed'
+         WHEN info OR product_qty THEN 'quotation' ELSE 'unclear' END AS order_type,
+    CASE WHEN NOT cancel AND (intent OR product_qty OR delivery OR payment OR followup) THEN
+         CASE WHEN followup OR (delivery AND payment) THEN 'confirmada' ELSE 'probable' END END AS sale_state,
+    {money} AS approx_total,
+    CASE WHEN regexp_matches(client_id, {q(RU.PHONE_LIKE)}) THEN client_id END AS customer_phone
+  FROM facts0
+),
+pm0 AS (SELECT conversation_id, session_id, message_index, _f, regexp_extract_all(_f, {q(RU.PRODUCT_MENTION)}, 0) AS l FROM feats),
+pm1 AS (SELECT conversation_id, session_id, message_index, _f, unnest(l) AS mention, generate_subscripts(l, 1) - 1 AS pos FROM pm0),
+pm2 AS (SELECT *, {name} AS name FROM pm1),
+pm AS (
+  SELECT conversation_id, session_id, message_index, pos, mention, name,
+    list_filter({catvar}, lambda v: v.name = pm2.name AND (contains(pm2._f, v.vfold) OR (NOT contains(v.vfold, ' ')
+      AND len(list_filter(string_split_regex(pm2._f, '[^a-z]+'), lambda w: length(w) >= {RU.VARIANT_MIN_WORD} AND levenshtein(w, v.vfold) <= {RU.VARIANT_MAX_EDITS})) > 0)))[1].variant AS variant,
+    CAST(nullif(regexp_extract(mention, '^([0-9]+)', 1), '') AS BIGINT) AS quantity
+  FROM pm2
+),
+nx AS (
+  SELECT *, lead(session_id) OVER w AS next_session_id, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
+  FROM feats WINDOW w AS (PARTITION BY conversation_id ORDER BY sent_at, message_index)
+),
+pairs AS (
+  SELECT session_id, message_index AS pos, text AS pregunta, next_text AS respuesta, {cat} AS categoria
+  FROM nx WHERE role = 'user' AND question AND next_role = 'assistant' AND next_session_id = session_id
+),
+prodn AS (
+  SELECT session_id, count(*) AS n_products,
+    string_agg(concat_ws(' ', name, nullif(variant, '')), '; ' ORDER BY message_index, pos) AS productos
+  FROM pm GROUP BY session_id
+),
+faqn AS (SELECT session_id, count(*) AS n_faqs FROM pairs GROUP BY session_id)"""
+    W4 = f"{MSGS}, {feats}"
+    out = {}
+    out["order_signals"] = f"""{W4} SELECT session_id, intent, product_qty, delivery, payment, followup, cancel, info,
+        order_type IN ('confirmed', 'delivery_followup') AS has_order, order_type FROM facts"""
+    out["mention_extract"] = f"{W4} SELECT session_id, payment_method, city, address, approx_total FROM facts"
+    out["customer_mention"] = f"{W4} SELECT session_id, customer_phone, customer_name FROM facts"
+    out["sale_state"] = f"{W4} SELECT session_id, sale_state AS estado FROM facts"
+    out["catalog_canonical"] = f"{W4} SELECT session_id, message_index, pos, mention, name, variant, quantity FROM pm"
+    out["faq_pairs"] = f"{W4} SELECT session_id, pos, pregunta, respuesta, categoria FROM pairs"
+    out["extract_orders_rules"] = f"""{W4} SELECT f.session_id, f.order_type IN ('confirmed', 'delivery_followup') AS has_order,
+        f.order_type, f.city, f.address, f.payment_method, f.approx_total, f.customer_phone, f.customer_name,
+        CAST(coalesce(p.n_products, 0) AS INTEGER) AS n_products
+      FROM facts f LEFT JOIN prodn p ON f.session_id = p.session_id"""
+    out["extract_faq_rules"] = f"""{W4} SELECT f.session_id, coalesce(q.n_faqs, 0) AS n_faqs,
+        f.sale_state AS venta_estado, CASE WHEN f.sale_state IS NOT NULL THEN f.approx_total END AS venta_total,
+        CASE WHEN f.sale_state IS NOT NULL THEN coalesce(p.n_products, 0) END AS venta_n_productos,
+        CASE WHEN f.customer_name IS NOT NULL OR f.city IS NOT NULL THEN f.customer_name END AS cliente_nombre,
+        CASE WHEN f.customer_name IS NOT NULL OR f.city IS NOT NULL THEN f.city END AS cliente_ciudad
+      FROM facts f LEFT JOIN faqn q ON f.session_id = q.session_id LEFT JOIN prodn p ON f.session_id = p.session_id"""
+    out["faq_frequency"] = f"""{W4} SELECT arg_min(pregunta, (session_id, pos)) AS pregunta, arg_min(respuesta, (session_id, pos)) AS respuesta,
+        arg_min(categoria, (session_id, pos)) AS categoria, count(*) AS frecuencia
+      FROM pairs WHERE lower({strip('pregunta')}) <> '' GROUP BY lower({strip('pregunta')})"""
+    out["sales_detected"] = f"""{W4} SELECT f.session_id, f.client_id, f.address AS direccion, f.approx_total AS total,
+        f.payment_method AS metodo_pago, f.sale_state AS estado, coalesce(p.productos, '') AS productos
+      FROM facts f LEFT JOIN prodn p ON f.session_id = p.session_id WHERE f.sale_state IS NOT NULL"""
+    out["client_notes"] = f"""{W4} SELECT customer_name AS nombre, CAST(NULL AS VARCHAR) AS telefono, city AS ciudad,
+        CAST(NULL AS VARCHAR) AS notas, client_id FROM facts WHERE customer_name IS NOT NULL OR city IS NOT NULL"""
+    return out
+
+
+for _k, _v in _rules_sql().items():
+    sql(_k, _v)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatledger.functions import text as X
+from chatledger.operators import extract as EX
 from chatledger.operators import mart as MT
 from chatledger.operators import messages as M
 from chatledger.operators import orders as O
@@ -353,3 +354,79 @@ def q_created_at_parse(spark, sf):
     first = SS.client_first_contact(SS.session_summary(_msgs(spark, sf)))
     c = O.clients_table(O.exported_orders(_results(spark, sf)), first, A.run_ts())
     return c.select("source_client_id", X.parse_iso_timestamp("created_at").alias("created_at"))
+
+
+# ---------------------------------------------------------------------------
+# native rule extractor (orders; FAQ / sale / client) and FAQ reports
+# ---------------------------------------------------------------------------
+def _feats(spark, sf):
+    return EX.message_features(_msgs(spark, sf))
+
+
+@query("order_signals")
+def q_order_signals(spark, sf):
+    f = EX.session_facts(_feats(spark, sf))
+    return f.select("session_id", *EX.SIGNAL_NAMES, "has_order", "order_type")
+
+
+@query("mention_extract")
+def q_mention_extract(spark, sf):
+    return EX.session_facts(_feats(spark, sf)).select("session_id", "payment_method", "city", "address", "approx_total")
+
+
+@query("customer_mention")
+def q_customer_mention(spark, sf):
+    return EX.session_facts(_feats(spark, sf)).select("session_id", "customer_phone", "customer_name")
+
+
+@query("sale_state")
+def q_sale_state(spark, sf):
+    return EX.session_facts(_feats(spark, sf)).select("session_id", F.col("sale_state").alias("estado"))
+
+
+@query("catalog_canonical")
+def q_catalog_canonical(spark, sf):
+    return EX.product_mentions(_feats(spark, sf)).select("session_id", "message_index", "pos", "mention", "name", "variant", "quantity")
+
+
+@query("faq_pairs")
+def q_faq_pairs(spark, sf):
+    return EX.faq_pairs(_feats(spark, sf))
+
+
+@query("extract_orders_rules")
+def q_extract_orders_rules(spark, sf):
+    return EX.extract_orders(_msgs(spark, sf)).drop("response", "conversation_id", "client_id")
+
+
+@query("extract_faq_rules")
+def q_extract_faq_rules(spark, sf):
+    r = EX.extract_faq(_msgs(spark, sf))
+    return r.select(
+        "session_id",
+        F.size("faqs").cast("bigint").alias("n_faqs"),
+        F.col("venta.estado").alias("venta_estado"),
+        F.col("venta.total").alias("venta_total"),
+        F.size("venta.productos").cast("bigint").alias("venta_n_productos"),
+        F.col("cliente.nombre").alias("cliente_nombre"),
+        F.col("cliente.ciudad").alias("cliente_ciudad"),
+    )
+
+
+@query("faq_frequency")
+def q_faq_frequency(spark, sf):
+    return EX.faq_frequency(EX.extract_faq(_msgs(spark, sf)))
+
+
+@query("sales_detected")
+def q_sales_detected(spark, sf):
+    s = EX.sales_detected(EX.extract_faq(_msgs(spark, sf)))
+    return s.select(
+        "session_id", "client_id", "direccion", "total", "metodo_pago", "estado",
+        F.array_join("productos", "; ").alias("productos"),
+    )
+
+
+@query("client_notes")
+def q_client_notes(spark, sf):
+    return EX.client_notes(EX.extract_faq(_msgs(spark, sf)))
