@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from chatledger import schemas as S
 from chatledger.functions import text as X
 
-NUMERIC_PREFIXES = ("DECIMAL", "BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
 
 
 # ---------------------------------------------------------------------------
@@ -27,47 +26,51 @@ def vtype(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def is_string(v: Column) -> Column:
-    return vtype(v) == "STRING"
+NUMERIC_TYPE = r"^(DECIMAL|BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT)"
 
 
-def is_number(v: Column) -> Column:
-    t = vtype(v)
-    cond = F.lit(False)
-    for p in NUMERIC_PREFIXES:
-        cond = cond | t.startswith(p)
-    return cond
+def typed(v: Column) -> Column:
+    """Stage a variant with its type name so later tests evaluate ``schema_of_variant`` once."""
+    return F.struct(v.alias("v"), vtype(v).alias("t"))
 
 
-def is_object(v: Column) -> Column:
-    return vtype(v).startswith("OBJECT")
+def is_string(v: Column, t: Column | None = None) -> Column:
+    return (vtype(v) if t is None else t) == "STRING"
 
 
-def is_array(v: Column) -> Column:
-    return vtype(v).startswith("ARRAY")
+def is_number(v: Column, t: Column | None = None) -> Column:
+    return (vtype(v) if t is None else t).rlike(NUMERIC_TYPE)
 
 
-def truthy(v: Column) -> Column:
-    """Python truthiness of a JSON value (null, false, 0, '' , [] and {} are false)."""
-    t = vtype(v)
-    s = vget(v, "$", "string")
+def is_object(v: Column, t: Column | None = None) -> Column:
+    return (vtype(v) if t is None else t).startswith("OBJECT")
+
+
+def is_array(v: Column, t: Column | None = None) -> Column:
+    return (vtype(v) if t is None else t).startswith("ARRAY")
+
+
+def truthy(v: Column, t: Column | None = None) -> Column:
+    """Python truthiness of a JSON value (null, false, 0, '', [] and {} are false)."""
+    t = vtype(v) if t is None else t
     return (
-        F.when(v.isNull(), F.lit(False))
-        .when(F.is_variant_null(v) | t.isin("NULL", "VOID"), F.lit(False))
-        .when(t == "STRING", s != "")
+        F.when(v.isNull() | t.isNull(), F.lit(False))
+        .when(t.isin("NULL", "VOID"), F.lit(False))
+        .when(t == "STRING", vget(v, "$", "string") != "")
         .when(t == "BOOLEAN", vget(v, "$", "boolean"))
-        .when(is_number(v), vget(v, "$", "double") != 0)
+        .when(t.rlike(NUMERIC_TYPE), vget(v, "$", "double") != 0)
         .when(t == "OBJECT<>", F.lit(False))
         .when(t.startswith("ARRAY"), F.size(vget(v, "$", "array<variant>")) > 0)
         .otherwise(F.lit(True))
     )
 
 
-def money(v: Column) -> Column:
+def money(v: Column, t: Column | None = None) -> Column:
     """Export money rule: text is cleaned ('$', thousands dots, decimal comma); numbers pass."""
+    t = vtype(v) if t is None else t
     return (
-        F.when(is_string(v), X.money_text_to_number(vget(v, "$", "string")))
-        .when(is_number(v), vget(v, "$", "double"))
+        F.when(t == "STRING", X.money_text_to_number(vget(v, "$", "string")))
+        .when(t.rlike(NUMERIC_TYPE), vget(v, "$", "double"))
     )
 
 
@@ -148,22 +151,34 @@ def _product_elements(products: Column) -> Column:
 
 def product_label(products: Column) -> Column:
     """'Muffin (Banano) x2 caja; Brownie x1' — objects only, non-list -> ''."""
-    elems = F.filter(_product_elements(products), lambda e: is_object(e))
 
-    def one(e):
-        name = F.coalesce(vget(e, "$.name"), F.lit(""))
+    def stage(e):
         var = vget(e, "$.variant", "variant")
         qty = vget(e, "$.quantity_units", "variant")
         unit = vget(e, "$.unit", "variant")
-        return F.concat_ws(
-            " ",
-            name,
-            F.when(truthy(var), F.concat(F.lit("("), vget(var, "$"), F.lit(")"))),
-            F.when(truthy(qty), F.concat(F.lit("x"), vget(qty, "$"))),
-            F.when(truthy(unit), vget(unit, "$")),
+        return F.struct(
+            vtype(e).alias("et"),
+            F.coalesce(vget(e, "$.name"), F.lit("")).alias("name"),
+            typed(var).alias("var"),
+            typed(qty).alias("qty"),
+            typed(unit).alias("unit"),
         )
 
-    return F.coalesce(F.array_join(F.transform(elems, one), "; "), F.lit(""))
+    def part(x, field):
+        return F.when(truthy(x[field]["v"], x[field]["t"]), vget(x[field]["v"], "$"))
+
+    staged = F.filter(F.transform(_product_elements(products), stage), lambda x: x["et"].startswith("OBJECT"))
+    label = F.transform(
+        staged,
+        lambda x: F.concat_ws(
+            " ",
+            x["name"],
+            F.concat(F.lit("("), part(x, "var"), F.lit(")")),
+            F.concat(F.lit("x"), part(x, "qty")),
+            part(x, "unit"),
+        ),
+    )
+    return F.coalesce(F.array_join(label, "; "), F.lit(""))
 
 
 def sales_flat(dated: DataFrame) -> DataFrame:
@@ -208,19 +223,31 @@ def orders_table(dated: DataFrame, run_ts: Column) -> DataFrame:
 def items_table(orders: DataFrame) -> DataFrame:
     """One row per *object* element of ``order.products``; position kept for the id."""
     ex = orders.select("session_id", F.posexplode(_product_elements(F.col("products"))).alias("pos", "e"))
-    ex = ex.filter(is_object(F.col("e")))
     e = F.col("e")
-    qty = vget(e, "$.quantity_units", "variant")
     price = F.coalesce(vget(e, "$.unit_price", "variant"), vget(e, "$.unit_price_approx", "variant"))
-    qnum = F.when(is_number(qty), vget(qty, "$", "double")).when(is_string(qty), (X.strip(vget(qty, "$"))).try_cast("double"))
-    return ex.select(
+    qty = vget(e, "$.quantity_units", "variant")
+    st = ex.select(
+        "session_id",
+        "pos",
+        vtype(e).alias("et"),
+        vget(e, "$.name").alias("name"),
+        vget(e, "$.variant").alias("variant"),
+        vget(e, "$.unit").alias("unit"),
+        qty.alias("q"),
+        vtype(qty).alias("qt"),
+        price.alias("p"),
+        vtype(price).alias("pt"),
+    ).filter(F.col("et").startswith("OBJECT"))
+    q, qt = F.col("q"), F.col("qt")
+    qnum = F.when(qt.rlike(NUMERIC_TYPE), vget(q, "$", "double")).when(qt == "STRING", X.strip(vget(q, "$")).try_cast("double"))
+    return st.select(
         X.uuid_from(F.concat(F.lit("item:"), F.col("session_id"), F.lit(":"), F.col("pos").cast("string"))).alias("id"),
         X.uuid_from(F.concat(F.lit("order:"), F.col("session_id"))).alias("order_id"),
-        F.coalesce(vget(e, "$.name"), F.lit("")).alias("product_name"),
-        X.blank_to_null(vget(e, "$.variant")).alias("variant"),
-        F.when(~truthy(qty), F.lit(1)).otherwise(F.round(qnum).cast("bigint")).alias("quantity"),
-        X.blank_to_null(vget(e, "$.unit")).alias("unit"),
-        money(price).alias("unit_price"),
+        F.coalesce(F.col("name"), F.lit("")).alias("product_name"),
+        X.blank_to_null("variant").alias("variant"),
+        F.when(~truthy(q, qt), F.lit(1)).otherwise(F.round(qnum).cast("bigint")).alias("quantity"),
+        X.blank_to_null("unit").alias("unit"),
+        money(F.col("p"), F.col("pt")).alias("unit_price"),
     )
 
 

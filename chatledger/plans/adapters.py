@@ -345,9 +345,9 @@ SESSIONS_PER_USER_SLOT = 64  # order key -> (user = key div 64, session number =
 
 
 def _jstr(c: Column) -> Column:
-    """JSON text of a string column (escaped), 'null' for NULL."""
-    t = F.to_json(F.array(c))
-    return F.when(c.isNull(), F.lit("null")).otherwise(F.regexp_extract(t, r"(?s)^\[(.*)\]$", 1))
+    """JSON text of a string column, 'null' for NULL (escapes backslash, quote, newline)."""
+    e = F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n"))
+    return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), e, F.lit('"')))
 
 
 def _obj(pairs: list[tuple[str, Column]]) -> Column:
