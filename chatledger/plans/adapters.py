@@ -455,3 +455,117 @@ def extraction_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(rate_limited, F.lit(None).cast("string")).otherwise(response).alias("response"),
         F.when(rate_limited, F.lit("Max retries exceeded (rate limit)")).alias("error"),
     )
+
+
+# ---------------------------------------------------------------------------
+# File listings and manifests from ``documents``
+# ---------------------------------------------------------------------------
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chat folder listing: name and size per document, with varied suffixes."""
+    d = table(spark, sf_dir, "documents", "doc_id", "n_chars")
+    k = F.col("doc_id")
+    ks = k.cast("string")
+    name = (
+        F.when(k % 5 == 0, F.concat(F.lit("WhatsApp - d"), ks, F.lit(".csv")))
+        .when(k % 5 == 1, F.concat(F.lit("WhatsApp - d"), ks, F.lit(".CSV")))
+        .when(k % 5 == 2, F.concat(F.lit("WhatsApp - d"), ks, F.lit(".txt")))
+        .when(k % 5 == 3, F.concat(F.lit("d"), ks, F.lit(" WhatsApp Business.csv")))
+        .otherwise(F.concat(F.lit("chat d"), ks, F.lit(".csv")))
+    )
+    size = F.when(k % 13 == 0, F.lit(0).cast("bigint")).otherwise(F.col("n_chars"))
+    return d.select(name.alias("file_name"), size.alias("file_size"))
+
+
+def manifests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Remote names (with duplicates) and local names (some missing, some extra)."""
+    d = table(spark, sf_dir, "documents", "doc_id")
+    k = F.col("doc_id")
+    remote = d.select(
+        F.concat(F.lit("chat_"), F.when(k % 11 == 0, k - 1).otherwise(k).cast("string"), F.lit(".csv")).alias("name")
+    )
+    local = d.filter(k % 3 != 0).select(F.concat(F.lit("chat_"), k.cast("string"), F.lit(".csv")).alias("name")).unionByName(
+        d.filter(k % 7 == 0).select(F.concat(F.lit("viejo_"), k.cast("string"), F.lit(".csv")).alias("name"))
+    )
+    return remote, local
+
+
+# ---------------------------------------------------------------------------
+# Webhook request log and bot inputs from ``events``
+# ---------------------------------------------------------------------------
+BOT_SECRET = ""  # blank: any token accepted and the source-range test applies
+
+
+def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id")
+    e, u = F.col("event_id"), F.col("user_id")
+    return ev.select(
+        e.alias("event_id"),
+        F.col("ts"),
+        u.alias("chat_id"),
+        F.concat(F.lit("149.154."), (160 + u % 20).cast("string"), F.lit("."), (e % 256).cast("string")).alias("peer_ip"),
+        F.when(e % 3 == 0, F.concat(F.lit(" 91.108."), (4 + e % 6).cast("string"), F.lit("."), (u % 256).cast("string"), F.lit(", 10.0.0.1"))).alias("x_forwarded_for"),
+        F.when(e % 3 == 1, F.when(e % 7 == 0, F.lit("not-an-ip")).otherwise(F.concat(F.lit("149.154.17"), (e % 10).cast("string"), F.lit(".9")))).alias("x_real_ip"),
+        F.when(e % 4 == 0, F.lit("wrong")).otherwise(F.lit("s3cret")).alias("secret_token"),
+    )
+
+
+def allowed_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events", "user_id")
+    return ev.filter(F.col("user_id") % 10 != 9).select(F.col("user_id").alias("chat_id")).distinct()
+
+
+def bot_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messaging updates per chat (= user): commands, phones, names, product and quantity
+    buttons, totals and confirmations, chosen from the event type and value."""
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    e, u, v, t = F.col("event_id"), F.col("user_id"), F.col("value"), F.col("event_type")
+    from chatledger.functions.text import product_button_id
+
+    buttons = [f"prod_{n.lower()}_{(vv or '').lower().replace(' ', '_')}" for n, vv in S.CATALOGUE]
+    text = (
+        F.when((t == "signup") & (v < 8), F.lit("/venta"))
+        .when(t == "signup", F.concat(F.lit("+57 300 "), F.lpad(u.cast("string"), 7, "0")))
+        .when((t == "view") & (v < 3), F.lit("123"))
+        .when((t == "view") & (v > 250), F.lit("A"))
+        .when(t == "view", F.concat(F.lit("Cliente "), u.cast("string")))
+        .when((t == "error") & (v < 60) & (e % 7 == 0), F.lit("abc"))
+        .when((t == "error") & (v < 60), F.lit("$66.000"))
+    )
+    data = (
+        F.when((t == "purchase") & (e % 4 == 0), F.lit("prod_finalizar"))
+        .when((t == "purchase") & (e % 17 == 0), F.lit("prod_desconocido"))
+        .when(t == "purchase", _pick(buttons, e % len(buttons)))
+        .when((t == "click") & (e % 13 == 0), F.lit("cant_cancelar"))
+        .when(t == "click", F.concat(F.lit("cant_"), (1 + e % 10).cast("string")))
+        .when((t == "error") & (v >= 60) & (e % 5 == 0), F.lit("confirm_no"))
+        .when((t == "error") & (v >= 60), F.lit("confirm_si"))
+    )
+    _ = product_button_id  # same id rule as the bot's buttons
+    chat = F.struct(u.alias("id"))
+    message = F.when(
+        text.isNotNull(),
+        F.struct(e.alias("message_id"), chat.alias("chat"), F.struct(F.lit("Ana").alias("first_name")).alias("from"), text.alias("text")),
+    )
+    callback = F.when(
+        data.isNotNull(),
+        F.struct(e.cast("string").alias("id"), data.alias("data"), F.struct(e.alias("message_id"), chat.alias("chat")).alias("message")),
+    )
+    return ev.select(e.alias("update_id"), message.alias("message"), callback.alias("callback_query"), F.col("ts"))
+
+
+def bot_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and phones as typed into the bot, from order totals and customer keys."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice")
+    k = F.col("o_orderkey")
+    whole = F.floor("o_totalprice").cast("bigint")
+    dotted = F.replace(F.format_number(whole, 0), F.lit(","), F.lit("."))
+    total = (
+        F.when(k % 6 == 0, F.concat(F.lit("$"), dotted))
+        .when(k % 6 == 1, F.format_number(whole, 0))
+        .when(k % 6 == 2, F.concat(F.lit(" "), whole.cast("string"), F.lit(" ")))
+        .when(k % 6 == 3, F.lit("abc"))
+        .when(k % 6 == 4, F.lit("-5"))
+        .otherwise(F.lit("0"))
+    )
+    phone = F.when(k % 9 == 0, F.lit("12 34")).otherwise(F.concat(F.lit("+57 (300) "), F.lpad((k % 10000000).cast("string"), 7, "0")))
+    return o.select(k.alias("o_orderkey"), total.alias("total_text"), phone.alias("phone_text"))

@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatledger.functions import text as X
+from chatledger.operators import access as AC
+from chatledger.operators import bot as B
 from chatledger.operators import extract as EX
+from chatledger.operators import manifest as MF
 from chatledger.operators import mart as MT
 from chatledger.operators import messages as M
 from chatledger.operators import orders as O
 from chatledger.operators import reports as R
 from chatledger.operators import sessions as SS
 from chatledger.plans import adapters as A
+from chatledger.sources.chat_csv import is_chat_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -430,3 +434,105 @@ def q_sales_detected(spark, sf):
 @query("client_notes")
 def q_client_notes(spark, sf):
     return EX.client_notes(EX.extract_faq(_msgs(spark, sf)))
+
+
+# ---------------------------------------------------------------------------
+# file selection, manifests, request gating
+# ---------------------------------------------------------------------------
+@query("chat_file_filter")
+def q_chat_file_filter(spark, sf):
+    ls = A.file_listing(spark, sf)
+    return ls.select("file_name", "file_size", is_chat_file(F.col("file_name"), F.col("file_size")).alias("selected"))
+
+
+@query("manifest_diff")
+def q_manifest_diff(spark, sf):
+    remote, local = A.manifests(spark, sf)
+    return MF.manifest_diff(remote, local)
+
+
+@query("manifest_missing_sample")
+def q_manifest_missing_sample(spark, sf):
+    remote, local = A.manifests(spark, sf)
+    return MF.missing_sample(remote, local, 10)
+
+
+@query("authorised_updates")
+def q_authorised_updates(spark, sf):
+    r = AC.authorise(A.request_log(spark, sf), A.allowed_chats(spark, sf), A.BOT_SECRET)
+    return r.select("event_id", "client_ip", "ip_ok", "token_ok", "user_allowed", "authorised")
+
+
+# ---------------------------------------------------------------------------
+# bot parsers, buttons, summaries and the dialogue replay
+# ---------------------------------------------------------------------------
+@query("money_parse_bot")
+def q_money_parse_bot(spark, sf):
+    t = A.bot_texts(spark, sf)
+    return t.select("o_orderkey", "total_text", B.bot_money(F.col("total_text")).alias("total"))
+
+
+@query("phone_parse_bot")
+def q_phone_parse_bot(spark, sf):
+    t = A.bot_texts(spark, sf)
+    return t.select("o_orderkey", "phone_text", B.bot_phone(F.col("phone_text")).alias("phone"))
+
+
+@query("product_button_id")
+def q_product_button_id(spark, sf):
+    return B.button_ids(A.mart_products(spark, sf))
+
+
+@query("sale_summary_text")
+def q_sale_summary_text(spark, sf):
+    """Confirmation text for every mart order: client, phone, cart lines and total."""
+    items = MT.valid_items(A.mart_items(spark, sf))
+    lines = items.groupBy("order_id").agg(
+        F.array_sort(
+            F.collect_list(F.struct("id", "product_name", "variant", "quantity"))
+        ).alias("_l")
+    )
+    o = A.mart_orders(spark, sf).filter(F.col("total").isNotNull())
+    c = A.mart_clients(spark, sf).select(F.col("id").alias("_cid"), F.col("name").alias("_cn"), F.col("phone").alias("_cp"))
+    j = o.join(c, o["client_id"] == c["_cid"], "left").join(lines, o["id"] == lines["order_id"], "left")
+    cart = F.transform(
+        "_l", lambda e: F.struct(e["product_name"].alias("name"), e["variant"].alias("variant"), e["quantity"].alias("cantidad"))
+    )
+    return j.select(
+        o["id"].alias("order_id"),
+        B.sale_summary(F.col("_cn"), F.col("client_id").isNull(), F.col("_cp"), cart, F.col("total")).alias("summary"),
+    )
+
+
+def _dialogue(spark, sf):
+    prepared = B.prepare_updates(A.bot_updates(spark, sf), A.mart_clients(spark, sf), A.allowed_chats(spark, sf))
+    return B.replay(prepared)
+
+
+@query("dialogue_sales")
+def q_dialogue_sales(spark, sf):
+    return B.completed_sales(_dialogue(spark, sf)).select(
+        "chat_id", "update_id", "telefono", "nombre", "client_id", "es_nuevo", F.size("productos").alias("lines"), "total"
+    )
+
+
+@query("dialogue_replies")
+def q_dialogue_replies(spark, sf):
+    return _dialogue(spark, sf).groupBy("reply", "state").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _bot_rows(spark, sf):
+    sales = B.completed_sales(_dialogue(spark, sf))
+    ts = A.bot_updates(spark, sf).select(F.col("update_id").alias("_u"), F.to_date("ts").alias("_d"))
+    sales = sales.join(ts, sales["update_id"] == ts["_u"], "left")
+    return B.sale_rows(sales, A.mart_products(spark, sf), F.col("_d"))
+
+
+@query("bot_orders")
+def q_bot_orders(spark, sf):
+    return _bot_rows(spark, sf)["orders"]
+
+
+@query("bot_items")
+def q_bot_items(spark, sf):
+    return _bot_rows(spark, sf)["order_items"]
