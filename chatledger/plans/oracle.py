@@ -750,3 +750,120 @@ faqn AS (SELECT session_id, count(*) AS n_faqs FROM pairs GROUP BY session_id)""
 
 for _k, _v in _rules_sql().items():
     sql(_k, _v)
+
+
+# ---------------------------------------------------------------------------
+# File selection, manifests, request gating, bot parsers and texts
+# ---------------------------------------------------------------------------
+LISTING = """
+listing AS (
+  SELECT CASE doc_id % 5 WHEN 0 THEN 'WhatsApp - d' || doc_id || '.csv'
+                         WHEN 1 THEN 'WhatsApp - d' || doc_id || '.CSV'
+                         WHEN 2 THEN 'WhatsApp - d' || doc_id || '.txt'
+                         WHEN 3 THEN 'd' || doc_id || ' WhatsApp Business.csv'
+                         ELSE 'chat d' || doc_id || '.csv' END AS file_name,
+         CASE WHEN doc_id % 13 = 0 THEN 0 ELSE n_chars END AS file_size
+  FROM documents
+)"""
+sql(
+    "chat_file_filter",
+    f"""WITH {LISTING} SELECT file_name, file_size,
+        (lower(file_name) LIKE '%.csv' AND NOT contains(file_name, 'WhatsApp Business.csv') AND file_size > 0) AS selected
+      FROM listing""",
+)
+MANIFEST = """
+remote AS (SELECT DISTINCT 'chat_' || CASE WHEN doc_id % 11 = 0 THEN doc_id - 1 ELSE doc_id END || '.csv' AS name FROM documents),
+localn AS (SELECT DISTINCT name FROM (
+    SELECT 'chat_' || doc_id || '.csv' AS name FROM documents WHERE doc_id % 3 <> 0
+    UNION ALL SELECT 'viejo_' || doc_id || '.csv' FROM documents WHERE doc_id % 7 = 0))"""
+sql(
+    "manifest_diff",
+    f"""WITH {MANIFEST}
+      SELECT 'remote' AS measure, count(*) AS n FROM remote
+      UNION ALL SELECT 'local', count(*) FROM localn
+      UNION ALL SELECT 'missing', count(*) FROM remote WHERE name NOT IN (SELECT name FROM localn)
+      UNION ALL SELECT 'extra', count(*) FROM localn WHERE name NOT IN (SELECT name FROM remote)""",
+)
+sql(
+    "manifest_missing_sample",
+    f"WITH {MANIFEST} SELECT name FROM remote WHERE name NOT IN (SELECT name FROM localn) ORDER BY name LIMIT 10",
+)
+
+
+def _auth_sql() -> str:
+    import ipaddress
+
+    from chatledger import schemas as S
+
+    octet = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+    pat = f"^{octet}(\\.{octet}){{3}}$"
+    ranges = " OR ".join(
+        f"ip_long BETWEEN {int(n.network_address)} AND {int(n.broadcast_address)}"
+        for n in (ipaddress.ip_network(c) for c in S.TRUSTED_IP_RANGES)
+    )
+    return f"""WITH req AS (
+        SELECT event_id, user_id AS chat_id,
+          '149.154.' || (160 + user_id % 20) || '.' || (event_id % 256) AS peer_ip,
+          CASE WHEN event_id % 3 = 0 THEN ' 91.108.' || (4 + event_id % 6) || '.' || (user_id % 256) || ', 10.0.0.1' END AS xff,
+          CASE WHEN event_id % 3 = 1 THEN CASE WHEN event_id % 7 = 0 THEN 'not-an-ip' ELSE '149.154.17' || (event_id % 10) || '.9' END END AS xri
+        FROM events),
+      ip AS (
+        SELECT *, CASE WHEN coalesce(xff, '') <> '' THEN {strip("split_part(xff, ',', 1)")}
+                       WHEN coalesce(xri, '') <> '' THEN xri
+                       WHEN coalesce(peer_ip, '') <> '' THEN peer_ip ELSE '0.0.0.0' END AS client_ip
+        FROM req),
+      ipl AS (
+        SELECT *, CASE WHEN regexp_matches(client_ip, '{pat}') THEN
+            CAST(split_part(client_ip, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(client_ip, '.', 2) AS BIGINT) * 65536
+            + CAST(split_part(client_ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(client_ip, '.', 4) AS BIGINT) END AS ip_long
+        FROM ip),
+      fl AS (
+        SELECT event_id, client_ip, coalesce({ranges}, false) AS ip_ok, true AS token_ok,
+               chat_id IN (SELECT DISTINCT user_id FROM events WHERE user_id % 10 <> 9) AS user_allowed
+        FROM ipl)
+      SELECT event_id, client_ip, ip_ok, token_ok, user_allowed, token_ok AND ip_ok AND user_allowed AS authorised FROM fl"""
+
+
+sql("authorised_updates", _auth_sql())
+
+BOT_TEXTS = """
+bt AS (
+  SELECT o_orderkey,
+    CASE o_orderkey % 6 WHEN 0 THEN '$' || replace(format('{:,}', CAST(floor(o_totalprice) AS BIGINT)), ',', '.')
+                        WHEN 1 THEN format('{:,}', CAST(floor(o_totalprice) AS BIGINT))
+                        WHEN 2 THEN ' ' || CAST(floor(o_totalprice) AS BIGINT) || ' '
+                        WHEN 3 THEN 'abc' WHEN 4 THEN '-5' ELSE '0' END AS total_text,
+    CASE WHEN o_orderkey % 9 = 0 THEN '12 34' ELSE '+57 (300) ' || lpad(CAST(o_orderkey % 10000000 AS VARCHAR), 7, '0') END AS phone_text
+  FROM orders
+)"""
+sql(
+    "money_parse_bot",
+    f"""WITH {BOT_TEXTS}, m AS (SELECT *, regexp_replace(total_text, '[$., ]', '', 'g') AS t FROM bt)
+      SELECT o_orderkey, total_text,
+        CASE WHEN regexp_matches(t, '^[+-]?[0-9]+$') AND TRY_CAST(t AS BIGINT) > 0 THEN TRY_CAST(t AS BIGINT) END AS total
+      FROM m""",
+)
+sql(
+    "phone_parse_bot",
+    f"""WITH {BOT_TEXTS}, p AS (SELECT *, regexp_replace(phone_text, '[^0-9]', '', 'g') AS d FROM bt)
+      SELECT o_orderkey, phone_text, CASE WHEN length(d) >= 7 THEN d END AS phone FROM p""",
+)
+sql(
+    "product_button_id",
+    f"""{W} SELECT name, variant, concat_ws(' ', name, nullif(variant, '')) AS display_name,
+        lower(name) || '_' || replace(lower(coalesce(nullif(variant, ''), '')), ' ', '_') AS button_id FROM mp""",
+)
+sql(
+    "sale_summary_text",
+    f"""{W}, lines AS (
+          SELECT order_id, string_agg('  • ' || quantity || 'x ' || concat_ws(' ', product_name, nullif(variant, '')), chr(10) ORDER BY id) AS body
+          FROM mi_all WHERE coalesce(product_name, '') <> '' GROUP BY order_id)
+        SELECT o.id AS order_id,
+          '📦 <b>Confirmar venta:</b>' || chr(10) || chr(10) || '👤 <b>Cliente:</b> ' || coalesce(c.name, 'None')
+          || CASE WHEN o.client_id IS NULL THEN ' (nuevo)' ELSE '' END
+          || chr(10) || '📱 <b>Tel:</b> ' || coalesce(c.phone, 'None') || chr(10) || chr(10)
+          || CASE WHEN l.body IS NOT NULL THEN '🛒 <b>Productos:</b>' || chr(10) || l.body ELSE '🛒 <b>Carrito vacío</b>' END
+          || chr(10) || chr(10) || '💰 <b>Total:</b> $' || format('{{:,}}', CAST(trunc(o.total) AS BIGINT)) || ' COP' AS summary
+        FROM mo o LEFT JOIN mc c ON o.client_id = c.id LEFT JOIN lines l ON o.id = l.order_id
+        WHERE o.total IS NOT NULL""",
+)
