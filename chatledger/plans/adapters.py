@@ -380,7 +380,14 @@ def _product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     )
     return li.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct(ln.alias("a"), pk.alias("b"), F.col("l_suppkey").alias("c"), elem.alias("e")))).alias("_p")
+        F.array_sort(
+            F.collect_list(
+                F.struct(
+                    ln.alias("a"), pk.alias("b"), F.col("l_suppkey").alias("c"),
+                    F.col("l_quantity").alias("d"), F.col("l_extendedprice").alias("f"), elem.alias("e"),
+                )
+            )
+        ).alias("_p")
     ).select("l_orderkey", F.concat(F.lit("["), F.array_join(F.transform("_p", lambda x: x["e"]), ","), F.lit("]")).alias("products_json"))
 
 

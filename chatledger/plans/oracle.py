@@ -544,7 +544,7 @@ dated AS (
 ),
 plines AS (
   SELECT l_orderkey AS k,
-    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS pos,
     {cat_name('l_partkey')} AS name, {cat_variant('l_partkey')} AS variant, l_linenumber AS ln,
     CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS qtxt,
     CASE WHEN l_linenumber = 3 THEN '' ELSE 'caja' END AS unit, l_extendedprice AS price
@@ -856,7 +856,7 @@ sql(
 sql(
     "sale_summary_text",
     f"""{W}, lines AS (
-          SELECT order_id, string_agg('  • ' || quantity || 'x ' || concat_ws(' ', product_name, nullif(variant, '')), chr(10) ORDER BY id) AS body
+          SELECT order_id, string_agg('  • ' || quantity || 'x ' || concat_ws(' ', product_name, nullif(variant, '')), chr(10) ORDER BY id, quantity) AS body
           FROM mi_all WHERE coalesce(product_name, '') <> '' GROUP BY order_id)
         SELECT o.id AS order_id,
           '📦 <b>Confirmar venta:</b>' || chr(10) || chr(10) || '👤 <b>Cliente:</b> ' || coalesce(c.name, 'None')

@@ -489,7 +489,7 @@ def q_sale_summary_text(spark, sf):
     items = MT.valid_items(A.mart_items(spark, sf))
     lines = items.groupBy("order_id").agg(
         F.array_sort(
-            F.collect_list(F.struct("id", "product_name", "variant", "quantity"))
+            F.collect_list(F.struct("id", "quantity", "product_name", "variant"))
         ).alias("_l")
     )
     o = A.mart_orders(spark, sf).filter(F.col("total").isNotNull())
