@@ -51,5 +51,8 @@ def read_json_table(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         .json(path)
         .withColumn("_file", F.col("_metadata.file_path"))
     )
-    bad = df.filter(F.col("_corrupt").isNotNull()).select("_file").distinct()
+    # Spark refuses scans that need only the corrupt-record column; name a data column too
+    # (the extra disjunct is never true).
+    probe = F.length(F.col(schema.names[0]).cast("string")) < 0
+    bad = df.filter(F.col("_corrupt").isNotNull() | probe).select("_file").distinct()
     return df.join(bad, "_file", "left_anti").select(*schema.names)

@@ -50,10 +50,12 @@ def write_results(results: DataFrame, path: str, mode: str = "overwrite") -> Non
             F.col("client_id").alias("_client_id"),
         )
     )
-    # splice the metadata keys into the object: '{...}' + ',' + '"_session_id":...}'
-    merged = F.when(
-        F.substring(line, -2, 2) == "{}", F.concat(F.lit("{"), F.expr("substring(meta, 2)"))
-    ).otherwise(F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit(","), F.expr("substring(meta, 2)")))
+    # splice the metadata keys into the object: '{...' + ',' + '"_session_id":...}'
+    ln = F.col("line")
+    body = F.expr("substring(meta, 2)")
+    merged = F.when(ln == "{}", F.concat(F.lit("{"), body)).otherwise(
+        F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit(","), body)
+    )
     results.select(line.alias("line"), meta.alias("meta")).select(merged.alias("value")).write.mode(mode).text(path)
 
 
