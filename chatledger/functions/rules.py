@@ -26,16 +26,16 @@ SIGNALS = {
     "question": r"[?¿]",
 }
 
-# Leftmost vocabulary hit -> canonical value.
+# Leftmost vocabulary hit -> canonical value.  A named method wins over a generic transfer,
+# which is used only when no method is named in the session.
 PAYMENT_TERMS = [
     ("nequi", "Nequi"),
     ("daviplata", "Daviplata"),
     ("bancolombia", "Bancolombia"),
     ("tarjeta", "tarjeta"),
     ("efectivo", "efectivo"),
-    ("transferencia", "transferencia"),
-    ("transferi", "transferencia"),
 ]
+GENERIC_TRANSFER = (r"transferencia|transferi", "transferencia")
 CITY_TERMS = [
     ("medellin", "Medellín"),
     ("bogota", "Bogotá"),

@@ -40,6 +40,7 @@ def message_features(msgs: DataFrame) -> DataFrame:
         "*",
         *cols,
         RU.term(RU.PAYMENT_TERMS, f).alias("payment_term"),
+        f.rlike(RU.GENERIC_TRANSFER[0]).alias("generic_transfer"),
         RU.term(RU.CITY_TERMS, f).alias("city_term"),
         F.when(f.contains("total"), X.blank_to_null(F.regexp_extract("text", RU.AMOUNT, 1))).alias("amount_text"),
         X.blank_to_null(F.regexp_extract("text", RU.NAME_INTRO, 1)).alias("intro_name"),
@@ -109,7 +110,10 @@ def session_facts(feats: DataFrame) -> DataFrame:
     g = feats.groupBy("conversation_id", "session_id").agg(
         F.min_by("client_id", "message_index").alias("client_id"),
         *[F.bool_or(n).alias(n) for n in SIGNAL_NAMES],
-        _first_by_index(F.col("payment_term")).alias("payment_method"),
+        F.coalesce(
+            _first_by_index(F.col("payment_term")),
+            F.when(F.bool_or("generic_transfer"), F.lit(RU.GENERIC_TRANSFER[1])),
+        ).alias("payment_method"),
         _first_by_index(F.col("city_term")).alias("city"),
         _first_by_index(F.when(F.col("delivery"), F.col("text"))).alias("address"),
         _first_by_index(F.col("amount_text")).alias("_amount"),

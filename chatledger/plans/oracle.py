@@ -667,6 +667,7 @@ feats0 AS (SELECT *, translate(lower(text), 'áéíóúüñ', 'aeiouun') AS _f F
 feats AS (
   SELECT *, {sig},
     {term(RU.PAYMENT_TERMS, '_f')} AS payment_term,
+    regexp_matches(_f, {q(RU.GENERIC_TRANSFER[0])}) AS generic_transfer,
     {term(RU.CITY_TERMS, '_f')} AS city_term,
     CASE WHEN contains(_f, 'total') THEN nullif(regexp_extract(text, {q(RU.AMOUNT)}, 1), '') END AS amount_text,
     nullif(regexp_extract(text, {q(RU.NAME_INTRO)}, 1), '') AS intro_name
@@ -676,7 +677,8 @@ facts0 AS (
   SELECT conversation_id, session_id, arg_min(client_id, message_index) AS client_id,
     bool_or(intent) AS intent, bool_or(product_qty) AS product_qty, bool_or(delivery) AS delivery,
     bool_or(payment) AS payment, bool_or(followup) AS followup, bool_or(cancel) AS cancel, bool_or(info) AS info,
-    arg_min(payment_term, message_index) AS payment_method,
+    coalesce(arg_min(payment_term, message_index),
+             CASE WHEN bool_or(generic_transfer) THEN {q(RU.GENERIC_TRANSFER[1])} END) AS payment_method,
     arg_min(city_term, message_index) AS city,
     arg_min(CASE WHEN delivery THEN text END, message_index) AS address,
     arg_min(amount_text, message_index) AS _amount,
