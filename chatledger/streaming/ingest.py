@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chatledger import schemas as S
 from chatledger.functions import text as X
 from chatledger.operators import messages as M
-from chatledger.sources.chat_csv import CSV_GLOB, is_chat_file
+from chatledger.sources.chat_csv import CSV_GLOB, field_count, is_chat_file
 
 BUCKETS = 64
 BATCH_SHIFT = 2**42  # file_row = batch * 2^42 + per-batch increasing id
@@ -35,11 +35,13 @@ def start(
     ts_format: str = M.DEFAULT_TS_FORMAT,
     available_now: bool = True,
 ) -> StreamingQuery:
-    schema = T.StructType(list(S.RAW_CHAT_SCHEMA.fields))
+    schema = T.StructType(list(S.RAW_CHAT_SCHEMA.fields) + [T.StructField("_corrupt", T.StringType())])
     stream = (
         spark.readStream.schema(schema)
         .option("multiLine", "true")
         .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_corrupt")
         .option("pathGlobFilter", CSV_GLOB)
         .option("fileNameOnly", "true")
         .csv(raw_dir)
@@ -50,7 +52,8 @@ def start(
         spark_ = batch.sparkSession
         spark_.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         name = X.decoded_file_name(F.col("_fname"))
-        raw = batch.filter(is_chat_file(name, F.col("_fsize"))).select(
+        width_ok = F.col("_corrupt").isNull() | (field_count(F.col("_corrupt")) <= len(S.RAW_CHAT_COLUMNS))
+        raw = batch.filter(is_chat_file(name, F.col("_fsize")) & width_ok).select(
             *S.RAW_CHAT_COLUMNS,
             name.alias("filename"),
             X.decoded_file_name(F.col("_fpath")).alias("file_path"),

@@ -64,3 +64,12 @@ def test_incremental_ingest(spark, tmp_path):
     assert sess.count() == 3
     msgs = spark.read.parquet(f"{out}/messages")
     assert msgs.count() == 3
+
+
+def test_ingest_drops_overlong_rows(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    write(raw, "WhatsApp - Cy.csv", [row(sent="2024-01-01 10:00:00", text="ok"), row(sent="2024-01-01 11:00:00", text="largo") + ",x"])
+    ingest.start(spark, str(raw), out, ckpt).awaitTermination(120)
+    assert [r.text for r in spark.read.parquet(f"{out}/messages").collect()] == ["ok"]
