@@ -52,6 +52,9 @@ def sessionize(msgs: DataFrame) -> DataFrame:
     """
     m = msgs.withColumn("_us", X.epoch_micros("sent_at")).withColumn("_day", F.floor(F.col("_us") / F.lit(DAY_US)))
 
+    # summary per (conversation, day): partial aggregation, so its shuffle carries a few
+    # values per conversation-day rather than rows (cheaper than reusing the window's shuffle,
+    # which column pruning would make a second full-row exchange)
     per_day = m.groupBy("conversation_id", "_day").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_us").alias("_first_us"),
