@@ -103,22 +103,22 @@ def extract_status(results: DataFrame) -> DataFrame:
 # typed projections
 # ---------------------------------------------------------------------------
 def typed_orders(results: DataFrame) -> DataFrame:
+    """Typed projection of an order result; every field is read by its full path from the
+    parsed root (no intermediate sub-variant copies)."""
     r = F.col("result")
-    order = vget(r, "$.order", "variant")
-    customer = vget(r, "$.customer", "variant")
     return results.select(
         "session_id",
         "conversation_id",
         "client_id",
-        vget(order, "$.order_type").alias("order_type"),
-        vget(order, "$.order_date").alias("order_date_text"),
-        vget(order, "$.city").alias("city"),
-        vget(order, "$.address").alias("address"),
-        vget(order, "$.payment_method").alias("payment_method"),
-        vget(order, "$.approx_total", "variant").alias("approx_total"),
-        vget(order, "$.products", "variant").alias("products"),
-        vget(customer, "$.phone").alias("customer_phone"),
-        vget(customer, "$.name").alias("customer_name"),
+        vget(r, "$.order.order_type").alias("order_type"),
+        vget(r, "$.order.order_date").alias("order_date_text"),
+        vget(r, "$.order.city").alias("city"),
+        vget(r, "$.order.address").alias("address"),
+        vget(r, "$.order.payment_method").alias("payment_method"),
+        vget(r, "$.order.approx_total", "variant").alias("approx_total"),
+        vget(r, "$.order.products", "variant").alias("products"),
+        vget(r, "$.customer.phone").alias("customer_phone"),
+        vget(r, "$.customer.name").alias("customer_name"),
     )
 
 
