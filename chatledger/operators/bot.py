@@ -14,7 +14,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -234,7 +234,7 @@ UPDATE_COLUMNS = ["chat_id", "update_id", "kind", "text", "data", "allowed", "fo
 
 def run_chat(chat_id: int, rows: pd.DataFrame, st: dict) -> tuple[dict, list[dict]]:
     out = []
-    for u in rows.sort_values("update_id").to_dict("records"):
+    for u in rows.sort_values("update_id", kind="stable").to_dict("records"):
         st, reply, sale = step(st, u)
         out.append(
             {
@@ -280,11 +280,67 @@ def prepare_updates(updates: DataFrame, clients: DataFrame | None, allowed_chats
     return looked.withColumnRenamed("client_id", "found_client_id").withColumnRenamed("client_name", "found_name").drop("_digits", "found")
 
 
-def replay(prepared: DataFrame) -> DataFrame:
-    """Batch twin of the streaming dialogue: every chat's updates in update order."""
+def replay_whole(prepared: DataFrame) -> DataFrame:
+    """Reference replay: each chat's whole update history as one group (small inputs/tests)."""
     return prepared.select(*UPDATE_COLUMNS).groupBy("chat_id").applyInPandas(_replay, OUTPUT_SCHEMA)
 
 
+# Updates after which the dialogue state is known whatever came before (the update itself
+# is still applied to the prior state; the next one starts a new segment).
+RESET_MESSAGES = {"/start": "idle", "/cancelar": "idle", "/venta": "esperando_telefono"}
+SEGMENT_BUCKET = 1 << 20  # update-id range per bucket when locating the previous reset
+
+
+def _state_after_reset() -> Column:
+    text, data = F.col("text"), F.coalesce(F.col("data"), F.lit(""))
+    out = F.when((F.col("kind") == "callback") & F.col("allowed") & data.startswith("confirm_"), F.lit("idle"))
+    for cmd, state in RESET_MESSAGES.items():
+        out = out.when((F.col("kind") == "message") & F.col("allowed") & (text == cmd), F.lit(state))
+    return out
+
+
+def segments(prepared: DataFrame) -> DataFrame:
+    """Tag every update with the last reset strictly before it in its chat
+    (``_seg_id`` = its update id, -1 if none; ``_seg_state`` = state after it).
+
+    Located without a window over a whole chat: a window per (chat, update-id bucket) finds
+    resets earlier in the same bucket; a per-bucket summary with a running max over buckets
+    supplies the latest reset of earlier buckets.
+    """
+    d = prepared.select(*UPDATE_COLUMNS).withColumn("_b", F.floor(F.col("update_id") / F.lit(SEGMENT_BUCKET)))
+    rs = _state_after_reset()
+    d = d.withColumn("_rk", F.when(rs.isNotNull(), F.struct(F.col("update_id").alias("id"), rs.alias("state"))))
+    before = Window.partitionBy("chat_id", "_b").orderBy("update_id").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_in", F.max("_rk").over(before))
+    per_b = d.groupBy("chat_id", "_b").agg(F.max("_rk").alias("_bmax"))
+    earlier = Window.partitionBy("chat_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_b = per_b.select("chat_id", "_b", F.max("_bmax").over(earlier).alias("_prev"))
+    j = d.join(per_b, ["chat_id", "_b"], "left")
+    seg = F.coalesce(F.col("_in"), F.col("_prev"))
+    return j.select(
+        *UPDATE_COLUMNS,
+        F.coalesce(seg["id"], F.lit(-1).cast("bigint")).alias("_seg_id"),
+        F.coalesce(seg["state"], F.lit("idle")).alias("_seg_state"),
+    )
+
+
+def _replay_segment(pdf: pd.DataFrame) -> pd.DataFrame:
+    if pdf.empty:
+        return pd.DataFrame(columns=OUTPUT_SCHEMA.names)
+    st = initial_state()
+    st["state"] = str(pdf["_seg_state"].iloc[0])
+    st["last_update_id"] = int(pdf["_seg_id"].iloc[0])
+    _, out = run_chat(int(pdf["chat_id"].iloc[0]), pdf, st)
+    return pd.DataFrame(out, columns=OUTPUT_SCHEMA.names)
+
+
+def replay(prepared: DataFrame) -> DataFrame:
+    """Batch twin of the streaming dialogue.  A chat's history is cut at reset updates and
+    each segment replays independently from the known state, so one busy chat spreads over
+    many groups; the output equals ``replay_whole``."""
+    return segments(prepared).groupBy("chat_id", "_seg_id").applyInPandas(_replay_segment, OUTPUT_SCHEMA)
+
+
 def completed_sales(outputs: DataFrame) -> DataFrame:
     sale_t = T.StructType(
         [
