@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from chatledger import schemas as S
 from chatledger.functions import rules as RU
 from chatledger.functions import text as X
-from chatledger.operators.messages import DAY_US
+from chatledger.operators.messages import BUCKET_US
 from chatledger.operators.sessions import exportable
 
 SIGNAL_NAMES = ["intent", "product_qty", "delivery", "payment", "followup", "cancel", "info"]
@@ -68,8 +68,8 @@ def next_in_order(df: DataFrame, part: list[str], bucket: Column, order: list[st
     )
 
 
-def _day(ts: str) -> Column:
-    return F.floor(X.epoch_micros(ts) / F.lit(DAY_US))
+def _bucket(ts: str) -> Column:
+    return F.floor(X.epoch_micros(ts) / F.lit(BUCKET_US))
 
 
 # ---------------------------------------------------------------------------
@@ -150,7 +150,7 @@ def faq_pairs(feats: DataFrame) -> DataFrame:
     nx = next_in_order(
         feats.select("conversation_id", "session_id", "message_index", "sent_at", "role", "text", "question", "_f"),
         ["conversation_id"],
-        _day("sent_at"),
+        _bucket("sent_at"),
         ["sent_at", "message_index"],
         ["session_id", "role", "text"],
     )

@@ -14,7 +14,9 @@ from chatledger.functions import text as X
 
 DEFAULT_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DAY_US = 86_400_000_000
-GAP_US = S.SESSION_GAP_HOURS * 3_600_000_000
+HOUR_US = 3_600_000_000
+GAP_US = S.SESSION_GAP_HOURS * HOUR_US
+BUCKET_US = HOUR_US  # any width up to the session gap keeps the bucket argument valid
 
 
 def clean_messages(raw: DataFrame, ts_format: str = DEFAULT_TS_FORMAT) -> DataFrame:
@@ -38,41 +40,44 @@ def assign_ids_and_roles(msgs: DataFrame) -> DataFrame:
     )
 
 
-def sessionize(msgs: DataFrame) -> DataFrame:
+def sessionize(msgs: DataFrame, bucket_us: int = BUCKET_US) -> DataFrame:
     """Number messages per conversation and split sessions at gaps strictly over 24 hours.
 
     Adds ``message_index`` (0-based, ordered by ``sent_at`` then ``file_row``), ``gap_hours``
     (to the previous message, 0 for the first) and ``session_id`` (``<conv>__s<n>``).
 
-    Skew-aware plan: no window spans a whole conversation.  Messages are bucketed by UTC day;
-    a gap inside one day bucket can never exceed 24 hours, so a session can only start at the
-    first message of a bucket.  A per-(conversation, day) summary (partial aggregation, a few
-    rows per conversation-day) carries the running message count and the break count, and the
-    only window over raw messages is per (conversation, day).
+    Skew-aware plan: no window over raw messages spans a whole conversation.  Messages are
+    bucketed by time (``bucket_us``, at most the 24-hour gap; one hour by default); a gap inside
+    one bucket can never exceed 24 hours, so a session can only start at the first message of
+    a bucket.  A per-(conversation, bucket) summary (partial aggregation, a few values per
+    bucket) carries the running message count and the break count, and the only window over
+    raw messages is per (conversation, bucket).
     """
-    m = msgs.withColumn("_us", X.epoch_micros("sent_at")).withColumn("_day", F.floor(F.col("_us") / F.lit(DAY_US)))
+    if not 0 < bucket_us <= GAP_US:
+        raise ValueError("bucket width must be positive and at most the session gap")
+    m = msgs.withColumn("_us", X.epoch_micros("sent_at")).withColumn("_bucket", F.floor(F.col("_us") / F.lit(bucket_us)))
 
     # summary per (conversation, day): partial aggregation, so its shuffle carries a few
     # values per conversation-day rather than rows (cheaper than reusing the window's shuffle,
     # which column pruning would make a second full-row exchange)
-    per_day = m.groupBy("conversation_id", "_day").agg(
+    per_bucket = m.groupBy("conversation_id", "_bucket").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_us").alias("_first_us"),
         F.max("_us").alias("_last_us"),
     )
-    wd = Window.partitionBy("conversation_id").orderBy("_day")
-    per_day = (
-        per_day.withColumn(
+    wd = Window.partitionBy("conversation_id").orderBy("_bucket")
+    per_bucket = (
+        per_bucket.withColumn(
             "_offset",
             F.coalesce(F.sum("_n").over(wd.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         )
         .withColumn("_prev_last_us", F.lag("_last_us").over(wd))
         .withColumn("_brk", F.coalesce(((F.col("_first_us") - F.col("_prev_last_us")) > GAP_US).cast("int"), F.lit(0)))
         .withColumn("_session_no", F.lit(1) + F.sum("_brk").over(wd.rowsBetween(Window.unboundedPreceding, 0)))
-        .select("conversation_id", "_day", "_offset", "_prev_last_us", "_session_no")
+        .select("conversation_id", "_bucket", "_offset", "_prev_last_us", "_session_no")
     )
 
-    wi = Window.partitionBy("conversation_id", "_day").orderBy("_us", "file_row")
+    wi = Window.partitionBy("conversation_id", "_bucket").orderBy("_us", "file_row")
     ranked = m.withColumn("_rn", F.row_number().over(wi)).withColumn("_prev_us", F.lag("_us").over(wi))
 
     gap_us = F.coalesce(
@@ -81,11 +86,11 @@ def sessionize(msgs: DataFrame) -> DataFrame:
         F.lit(0),
     )
     return (
-        ranked.join(per_day, ["conversation_id", "_day"])
+        ranked.join(per_bucket, ["conversation_id", "_bucket"])
         .withColumn("message_index", (F.col("_offset") + F.col("_rn") - 1).cast("bigint"))
         .withColumn("gap_hours", gap_us / F.lit(1e6) / F.lit(3600.0))
         .withColumn("session_id", F.concat(F.col("conversation_id"), F.lit(S.SESSION_SEPARATOR), F.col("_session_no").cast("string")))
-        .drop("_us", "_day", "_rn", "_prev_us", "_offset", "_prev_last_us", "_session_no")
+        .drop("_us", "_bucket", "_rn", "_prev_us", "_offset", "_prev_last_us", "_session_no")
     )
 
 

@@ -39,9 +39,9 @@ def test_sessionize_matches_brute_force(spark):
             fr += 1
     rnd.shuffle(rows)
     expect = brute_force(rows)
-    for parts in (1, 7):
+    for parts, width in ((1, M.BUCKET_US), (7, M.BUCKET_US), (3, M.DAY_US), (5, 60_000_000)):
         df = spark.createDataFrame(rows, "conversation_id string, sent_at timestamp_ntz, file_row long").repartition(parts)
-        got = {r.file_row: (r.message_index, r.session_id) for r in M.sessionize(df).collect()}
+        got = {r.file_row: (r.message_index, r.session_id) for r in M.sessionize(df, width).collect()}
         assert got == expect
 
 
