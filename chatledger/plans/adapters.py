@@ -172,13 +172,19 @@ def mart_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_client_key(custkey: Column) -> Column:
+    """Customer an order is booked to: customers with key % 10 = 0 hand their orders to the
+    next key, so they stay in the client table without orders (every order is kept)."""
+    return F.when(custkey % 10 == 0, custkey + 1).otherwise(custkey)
+
+
 def mart_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     sess = F.concat(F.lit("o"), ok.cast("string"))
-    return o.filter(ck % 10 != 0).select(
+    return o.select(
         order_uuid(sess).alias("id"),
-        F.when(ok % 19 == 0, F.lit(None).cast("string")).otherwise(client_uuid(source_client_id(ck))).alias("client_id"),
+        F.when(ok % 19 == 0, F.lit(None).cast("string")).otherwise(client_uuid(source_client_id(order_client_key(ck)))).alias("client_id"),
         F.when(ok % 17 == 0, F.lit(None).cast("date")).otherwise(F.to_date("o_orderdate")).alias("order_date"),
         F.when(ok % 7 == 0, F.lit(None).cast("string")).otherwise(_pick(CITIES, ck % 4)).alias("city"),
         F.concat(F.lit("Calle "), (ck % 100).cast("string"), F.lit(" # "), (ok % 50).cast("string")).alias("address"),
@@ -249,8 +255,8 @@ def batch_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fourth order re-sent (city dropped, status cancelled or missing); orders of
-    customers missing from the mart arrive as inserts."""
+    """Every fourth order re-sent (city dropped, status cancelled or missing); every 40th
+    arrives under a new session id (an insert)."""
     base = mart_orders_all(spark, sf_dir).filter(F.col("_ok") % 4 == 0)
     return base.select(
         "id",
@@ -268,14 +274,15 @@ def batch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_orders_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """mart_orders without the customer filter, keeping the order key as ``_ok``."""
+    """Re-sent order rows keyed like ``mart_orders``, keeping the order key as ``_ok``."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
-    sess = F.concat(F.lit("o"), ok.cast("string"))
+    base = F.concat(F.lit("o"), ok.cast("string"))
+    sess = F.when(ok % 40 == 0, F.concat(base, F.lit("-b"))).otherwise(base)
     return o.select(
         ok.alias("_ok"),
         order_uuid(sess).alias("id"),
-        client_uuid(source_client_id(ck)).alias("client_id"),
+        client_uuid(source_client_id(order_client_key(ck))).alias("client_id"),
         F.to_date("o_orderdate").alias("order_date"),
         F.concat(F.lit("Calle "), (ck % 100).cast("string"), F.lit(" # "), (ok % 50).cast("string")).alias("address"),
         _pick(PAYMENTS, ok % 4).alias("payment_method"),

@@ -215,6 +215,8 @@ def order_id(ok: str) -> str:
     return uuid(f"'order:o' || {ok}")
 
 
+ORDER_CK = "(CASE WHEN o_custkey % 10 = 0 THEN o_custkey + 1 ELSE o_custkey END)"
+
 MART = f"""
 mc AS (
   SELECT {uuid(f"'client:' || {src_id('c_custkey')}")} AS id,
@@ -226,7 +228,7 @@ mc AS (
 ),
 mo AS (
   SELECT {order_id('o_orderkey')} AS id,
-         CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE {uuid(f"'client:' || {src_id('o_custkey')}")} END AS client_id,
+         CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE {uuid(f"'client:' || {src_id(ORDER_CK)}")} END AS client_id,
          CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS order_date,
          CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE {CITIES_SQL}[o_custkey % 4 + 1] END AS city,
          'Calle ' || (o_custkey % 100) || ' # ' || (o_orderkey % 50) AS address,
@@ -235,7 +237,7 @@ mo AS (
          CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'pending' ELSE 'confirmed' END AS status,
          'o' || o_orderkey AS source_session_id,
          o_orderdate AS created_at, o_orderdate AS updated_at
-  FROM orders WHERE o_custkey % 10 <> 0
+  FROM orders
 ),
 mi_all AS (
   SELECT {uuid("'item:o:' || l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey")} AS id,
@@ -363,13 +365,14 @@ sql(
 )
 BATCH_ORDERS = f"""
 bo AS (
-  SELECT {order_id('o_orderkey')} AS id, {uuid(f"'client:' || {src_id('o_custkey')}")} AS client_id,
+  SELECT {uuid("'order:' || bsess")} AS id, {uuid(f"'client:' || {src_id(ORDER_CK)}")} AS client_id,
          CAST(o_orderdate AS DATE) AS order_date, CAST(NULL AS VARCHAR) AS city,
          'Calle ' || (o_custkey % 100) || ' # ' || (o_orderkey % 50) AS address,
          {PAYMENTS_SQL}[o_orderkey % 4 + 1] AS payment_method, CAST(o_totalprice AS DECIMAL(12,2)) AS total,
          CASE WHEN o_orderkey % 8 = 0 THEN 'cancelled' ELSE 'pending' END AS status,
-         'o' || o_orderkey AS source_session_id, CAST(NULL AS TIMESTAMP) AS created_at
-  FROM orders WHERE o_orderkey % 4 = 0
+         bsess AS source_session_id, CAST(NULL AS TIMESTAMP) AS created_at
+  FROM (SELECT *, 'o' || o_orderkey || CASE WHEN o_orderkey % 40 = 0 THEN '-b' ELSE '' END AS bsess
+        FROM orders WHERE o_orderkey % 4 = 0)
 )"""
 
 
