@@ -56,3 +56,8 @@ def read_json_table(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     probe = F.length(F.col(schema.names[0]).cast("string")) < 0
     bad = df.filter(F.col("_corrupt").isNotNull() | probe).select("_file").distinct()
     return df.join(bad, "_file", "left_anti").select(*schema.names)
+
+
+def read_results_table(spark: SparkSession, path: str) -> DataFrame:
+    """Results written by ``sinks.write_results_table`` (VARIANT column, no JSON parsing)."""
+    return spark.read.parquet(path).select("session_id", "conversation_id", "client_id", "result", "error")

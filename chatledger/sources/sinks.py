@@ -67,3 +67,9 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_sales_csv(sales: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K6: the 13 named columns, header, NULL written as an empty field."""
     sales.select(*SALES_COLUMNS).write.mode(mode).option("header", "true").option("nullValue", "").option("emptyValue", "").csv(path)
+
+
+def write_results_table(results: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Parsed extractor results as Parquet with a ``VARIANT`` column: responses are parsed
+    once here, and every later stage reads binary variants instead of re-parsing JSON."""
+    results.select("session_id", "conversation_id", "client_id", "result", "error").write.mode(mode).parquet(path)

@@ -120,3 +120,16 @@ def test_json_table_missing_and_malformed(spark, tmp_path):
     (tmp_path / "t" / "bad.json").write_text('[{"id": "p2", "name": ')
     out = jsonl.read_json_table(spark, str(tmp_path / "t"), S.PRODUCTS_SCHEMA).collect()
     assert [r.id for r in out] == ["p1"]
+
+
+def test_results_variant_table_roundtrip(spark, tmp_path):
+    prods = [{"name": "Muffin", "variant": "Banano", "quantity_units": 2, "unit": "caja"}]
+    rows = [("s1", "c", "+57300", order(products=prods, total="$45.000"), None), ("s2", "c", "x", "{bad", None)]
+    res = O.parse_results(frame(spark, rows))
+    path = str(tmp_path / "results_variant")
+    sinks.write_results_table(res, path)
+    back = jsonl.read_results_table(spark, path)
+    a = sorted(map(tuple, O.items_table(O.exported_orders(back)).collect()))
+    b = sorted(map(tuple, O.items_table(O.exported_orders(res)).collect()))
+    assert a == b and len(a) == 1
+    assert {r.session_id: r.error for r in back.collect()}["s2"] == "invalid JSON response"
