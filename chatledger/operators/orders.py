@@ -81,15 +81,29 @@ def parse_results(ext: DataFrame) -> DataFrame:
     """(session_id, conversation_id, client_id, response, error) -> + ``result`` VARIANT.
 
     An unparsable response becomes an error row; an ``error`` key inside the response also
-    counts as an error."""
-    v = F.try_parse_json("response")
+    counts as an error.
+
+    The parse is produced by a one-element ``inline`` so it is evaluated once per row: filters
+    on fields of ``result`` (for example the exported order types) cannot be pushed below a
+    generator, whereas below a plain projection Catalyst would substitute and re-run the parse
+    inside the filter.
+    """
+    parsed = ext.select(
+        "session_id",
+        "conversation_id",
+        "client_id",
+        "response",
+        "error",
+        F.inline(F.array(F.struct(F.try_parse_json("response").alias("result")))),
+    )
+    v = F.col("result")
     err = F.coalesce(
         F.col("error"),
         F.when(F.col("response").isNotNull() & v.isNull(), F.lit("invalid JSON response")),
         vget(v, "$.error", "string"),
         F.when(F.col("response").isNull(), F.lit("no response")),
     )
-    return ext.select("session_id", "conversation_id", "client_id", v.alias("result"), err.alias("error"))
+    return parsed.select("session_id", "conversation_id", "client_id", "result", err.alias("error"))
 
 
 def extract_status(results: DataFrame) -> DataFrame:
