@@ -27,23 +27,29 @@ def dedupe_last(batch: DataFrame, key: str = "id", order_col: str | None = None)
 
 
 def _upsert(target: DataFrame, batch: DataFrame, rules: dict[str, Column], columns: list[str]) -> DataFrame:
+    """New table version = untouched target rows + updated matches + inserts.
+
+    Written as anti/inner joins and a union instead of one full outer join: when the batch
+    is small, AQE broadcasts it (by measured size) and the large target is scanned but never
+    shuffled; when both are large the joins fall back to sort-merge.
+    """
+    ids = batch.select(F.col("id").alias("_bid"))
+    untouched = target.join(ids, target["id"] == ids["_bid"], "left_anti").select(*columns)
     t = target.alias("t")
     s = batch.alias("s")
-    j = t.join(s, F.col("t.id") == F.col("s.id"), "full_outer")
-    in_t = F.col("t.id").isNotNull()
-    in_s = F.col("s.id").isNotNull()
-    out = []
+    matched = t.join(s, F.col("t.id") == F.col("s.id"), "inner")
+    upd = []
     for c in columns:
         if c == "id":
-            out.append(F.coalesce(F.col("s.id"), F.col("t.id")).alias("id"))
+            upd.append(F.col("t.id").alias("id"))
             continue
         rule = rules.get(c)
-        if rule is None:  # column not written by the upsert: keep target, insert from batch
-            expr = F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}"))
-        else:
-            expr = F.when(in_s & in_t, rule).when(in_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-        out.append(expr.alias(c))
-    return j.select(*out)
+        # a column not written by the upsert keeps the target's value
+        upd.append((F.col(f"t.{c}") if rule is None else rule).alias(c))
+    updated = matched.select(*upd)
+    hit = matched.select(F.col("t.id").alias("_hit"))
+    inserts = batch.join(hit, batch["id"] == hit["_hit"], "left_anti").select(*columns)
+    return untouched.unionByName(updated).unionByName(inserts)
 
 
 def upsert_clients(target: DataFrame, batch: DataFrame, run_ts: Column) -> DataFrame:
