@@ -19,12 +19,12 @@ from chatledger.functions import text as X
 from chatledger.operators import messages as M
 from chatledger.sources.chat_csv import CSV_GLOB, field_count, is_chat_file
 
-BUCKETS = 64
+BUCKETS = 256  # sessions are recomputed per touched bucket; more buckets, less rework per batch
 BATCH_SHIFT = 2**42  # file_row = batch * 2^42 + per-batch increasing id
 
 
-def bucket_of(conversation_id) -> F.Column:
-    return F.pmod(F.xxhash64(conversation_id), F.lit(BUCKETS)).cast("int")
+def bucket_of(conversation_id, buckets: int = BUCKETS) -> F.Column:
+    return F.pmod(F.xxhash64(conversation_id), F.lit(buckets)).cast("int")
 
 
 def start(
@@ -34,6 +34,7 @@ def start(
     checkpoint: str,
     ts_format: str = M.DEFAULT_TS_FORMAT,
     available_now: bool = True,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     schema = T.StructType(list(S.RAW_CHAT_SCHEMA.fields) + [T.StructField("_corrupt", T.StringType())])
     stream = (
@@ -60,9 +61,9 @@ def start(
             (F.lit(batch_id).cast("bigint") * F.lit(BATCH_SHIFT) + F.monotonically_increasing_id()).alias("file_row"),
         )
         clean = M.assign_ids_and_roles(M.clean_messages(raw, ts_format))
-        clean = clean.withColumn("bucket", bucket_of(F.col("conversation_id"))).withColumn("batch", F.lit(batch_id))
+        clean = clean.withColumn("bucket", bucket_of(F.col("conversation_id"), buckets)).withColumn("batch", F.lit(batch_id))
         clean.write.mode("overwrite").partitionBy("bucket", "batch").parquet(f"{out_dir}/messages")
-        touched = [r.bucket for r in clean.select("bucket").distinct().collect()]  # at most BUCKETS values
+        touched = [r.bucket for r in clean.select("bucket").distinct().collect()]  # at most `buckets` values
         if not touched:
             return
         ledger = spark_.read.parquet(f"{out_dir}/messages").filter(F.col("bucket").isin(touched))
