@@ -107,3 +107,30 @@ def test_run_extractor_retries_and_errors(spark):
     assert out["s3"].error == "boom" and out["s4"].error is not None
     never = {r.session_id: r.error for r in EX.run_extractor(t.filter("session_id = 's2'"), lambda s: (_ for _ in ()).throw(EX.RateLimited("x")), max_retries=2, base_delay=0.01).collect()}
     assert never["s2"] == "Max retries exceeded (rate limit)"
+
+
+def test_pluggable_extractor_end_to_end(spark):
+    """Transcripts -> any text->JSON function -> parsed results -> mart rows."""
+    from chatledger.operators import orders as O
+    from chatledger.operators import sessions as SS
+
+    rows = [("a", 0, "user", "Quiero 2 mufins de chocolate"), ("a", 1, "user", "Te hago la transferencia por Nequi")]
+    transcripts = SS.transcripts(msgs_frame(spark, rows), "orders")
+
+    def model(text):
+        assert text.startswith("CONVERSATION_ID: a\nCLIENT_ID: +573001234567\n[2024-01-01T00:00:00] Cliente: ")
+        return json.dumps(
+            {
+                "conversation_id": "a",
+                "customer": {"phone": "+573001234567", "name": None},
+                "order": {"order_type": "confirmed", "approx_total": "$45.000",
+                          "products": [{"name": "Muffin", "variant": "Chocolate", "quantity_units": 2}]},
+            }
+        )
+
+    res = O.parse_results(EX.run_extractor(transcripts, model, concurrency=2))
+    ex = O.exported_orders(res)
+    assert [r.session_id for r in ex.collect()] == ["a__s1"]
+    items = O.items_table(ex).collect()
+    assert [(i.product_name, i.variant, i.quantity) for i in items] == [("Muffin", "Chocolate", 2)]
+    assert O.orders_table(O.with_order_date(ex, SS.session_last_date(msgs_frame(spark, rows))), F.current_timestamp()).collect()[0].total == 45000
