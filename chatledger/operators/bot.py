@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from chatledger import schemas as S
 from chatledger.functions import text as X
+from chatledger.session import ship_package
 
 # ---------------------------------------------------------------------------
 # Column helpers
@@ -282,6 +283,7 @@ def prepare_updates(updates: DataFrame, clients: DataFrame | None, allowed_chats
 
 def replay_whole(prepared: DataFrame) -> DataFrame:
     """Reference replay: each chat's whole update history as one group (small inputs/tests)."""
+    ship_package(prepared.sparkSession)
     return prepared.select(*UPDATE_COLUMNS).groupBy("chat_id").applyInPandas(_replay, OUTPUT_SCHEMA)
 
 
@@ -338,6 +340,7 @@ def replay(prepared: DataFrame) -> DataFrame:
     """Batch twin of the streaming dialogue.  A chat's history is cut at reset updates and
     each segment replays independently from the known state, so one busy chat spreads over
     many groups; the output equals ``replay_whole``."""
+    ship_package(prepared.sparkSession)
     return segments(prepared).groupBy("chat_id", "_seg_id").applyInPandas(_replay_segment, OUTPUT_SCHEMA)
 
 

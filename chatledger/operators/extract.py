@@ -24,6 +24,7 @@ from chatledger.functions import rules as RU
 from chatledger.functions import text as X
 from chatledger.operators.messages import BUCKET_US
 from chatledger.operators.sessions import exportable
+from chatledger.session import ship_package
 
 SIGNAL_NAMES = ["intent", "product_qty", "delivery", "payment", "followup", "cancel", "info"]
 
@@ -363,5 +364,6 @@ def run_extractor(
                     }
                 )
 
+    ship_package(transcripts.sparkSession)
     cols = transcripts.select("session_id", "conversation_id", "client_id", "transcript")
     return cols.mapInPandas(run, RESULT_SCHEMA)

@@ -43,3 +43,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``chatledger`` importable by Python workers on every executor (once per context).
+
+    Functions that run Python on executors (applyInPandas, mapInPandas) are pickled by
+    reference to this package, so executors need it: the package is zipped and added with
+    ``SparkContext.addPyFile``, which distributes it and puts it on the workers' path.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="chatledger-pkg-"), "chatledger.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

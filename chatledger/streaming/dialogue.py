@@ -17,6 +17,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from chatledger import schemas as S
 from chatledger.operators import bot as B
+from chatledger.session import ship_package
 
 UPDATE_FILE_SCHEMA = T.StructType(list(S.UPDATE_SCHEMA.fields) + [T.StructField("ts", T.TimestampNTZType())])
 
@@ -39,6 +40,7 @@ def start(
     allowed_chats: DataFrame | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
+    ship_package(spark)
     stream = spark.readStream.schema(UPDATE_FILE_SCHEMA).json(updates_dir)
     outputs = dialogue_outputs(B.prepare_updates(stream, clients, allowed_chats))
 
