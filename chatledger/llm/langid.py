@@ -1,17 +1,20 @@
 """Language ID by compression: the language whose raw-content zstandard dictionary makes the text smallest.
 
-The dictionaries come from a bounded sample of labelled rows: per language at most ``sample_docs``
-documents (those of the smallest hash in as many buckets) and ``dictionary_bytes`` bytes.  Whole texts
-are compressed.  ``score`` is the margin of the smallest size over the second, relative to what the
-dictionaries save at all, from 0 to 1; a narrow margin rejects the document.
-
-Null texts and texts without a letter are ``und`` with score 0 and rejected.  Ties go to the smaller
-language value.  With no labelled row every document is ``und``.
+The dictionaries come from a bounded sample of labelled rows: per language at most ``SAMPLE_DOCS``
+documents (those of the smallest hash in as many buckets), ``SAMPLE_CHARS`` characters of each and
+``DICTIONARY_BYTES`` bytes in all.  Whole texts are compressed, in lower case like the dictionaries.
+Sizes are code lengths: with the language's share of the labelled rows as its prior, ``score`` is the
+posterior of the best language, and a document whose margin is too narrow for ``MIN_SCORE`` is rejected.
+
+Null texts and texts without a letter are ``und`` with score 0 and rejected.  Ties go to the language
+with more labelled rows, then to the smaller value.  With no labelled row every document is ``und``.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
@@ -22,10 +25,10 @@ from chatledger.llm.common import prepare, with_fields
 
 SAMPLE_DOCS = 256
 SAMPLE_CHARS = 2048
-DICTIONARY_BYTES = 1 << 18
+DICTIONARY_BYTES = 1 << 17
 ALL_DICTIONARY_BYTES = 1 << 25
-LEVEL = 3
-MIN_MARGIN = 0.02
+LEVEL = 7
+MIN_SCORE = 0.5
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -35,48 +38,49 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
-    """Dictionary per language.  The driver gets at most ``sample_docs`` pieces of ``SAMPLE_CHARS`` a language."""
+@dataclass(frozen=True)
+class Language:
+    dictionary: bytes
+    rows: int  # labelled rows
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, Language]:
+    """Dictionary and count per language.  The driver gets at most ``sample_docs`` pieces of ``SAMPLE_CHARS`` a language."""
     labelled = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}") & ~held_out(F.col("i")))
     piece = F.struct(F.xxhash64(F.col("i").cast("string")).alias("h"), F.substring("t", 1, SAMPLE_CHARS).alias("t"))
     bucket = F.pmod(F.xxhash64(F.lit("bucket"), F.col("i").cast("string")), F.lit(sample_docs))
-    rows = labelled.select("l", bucket.alias("b"), piece.alias("p")).groupBy("l", "b").agg(F.min("p").alias("p")).select("l", "p.h", "p.t").collect()
+    rows = labelled.select("l", bucket.alias("b"), piece.alias("p")).groupBy("l", "b").agg(F.min("p").alias("p"), F.count(F.lit(1)).alias("n")).select("l", "p.h", "p.t", "n").collect()
     by: dict[str, list] = {}
     for r in rows:
-        by.setdefault(r.l, []).append((r.h, r.t))
+        by.setdefault(r.l, []).append((r.h, r.t, r.n))
     limit = min(DICTIONARY_BYTES, ALL_DICTIONARY_BYTES // max(1, len(by)))
-    # One length for all: a larger dictionary would win by size alone.
-    raw = {lang: " ".join(t for _, t in sorted(pieces)).encode() for lang, pieces in by.items()}
-    return {lang: raw[lang][:limit] for lang in sorted(raw)}
+    return {lang: Language(" ".join(t for _, t, _ in sorted(by[lang])).lower().encode()[:limit], sum(n for _, _, n in by[lang])) for lang in sorted(by)}
 
 
-def classify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", level: int = LEVEL, min_margin: float = MIN_MARGIN) -> DataFrame:
+def classify(docs: DataFrame, languages: dict[str, Language], text_col: str = "text", level: int = LEVEL, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` with columns ``lang_pred``, ``score`` and ``rejected`` (replacing columns of these names)."""
     prepare(docs.sparkSession)
     docs = docs.drop("lang_pred", "score", "rejected")
     at = docs.columns.index(text_col)
-    names = sorted(dictionaries)
+    # Most labelled rows first, so that the first of equal costs wins.
+    names = sorted(languages, key=lambda x: (-languages[x].rows, x))
 
     def run(batches):
         tools = []
+        total = sum(x.rows for x in languages.values())
         for name in names:
-            d = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d = zstandard.ZstdCompressionDict(languages[name].dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=level)
-            tools.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False))
-        plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
+            tools.append((zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False), -math.log2(languages[name].rows / total)))
 
         def one(text):
             if not names or not text or not _LETTER.search(text):
                 return UNDETERMINED, 0.0, True
-            data = text.encode()
-            sizes = sorted((len(tool.compress(data)), name) for tool, name in zip(tools, names, strict=True))
-            best, name = sizes[0]
-            if len(sizes) == 1:
-                return name, 1.0, False
-            # Against what the text takes by itself, so that long texts do not drown the margin.
-            saved = max(len(plain.compress(data)) - best, 1)
-            margin = min(1.0, (sizes[1][0] - best) / saved)
-            return name, margin, margin < min_margin
+            data = text.lower().encode()
+            bits = [8 * len(tool.compress(data)) + prior for tool, prior in tools]
+            best = min(bits)
+            score = 1 / sum(2.0 ** max(best - b, -1000.0) for b in bits)
+            return names[bits.index(best)], score, score < min_score
 
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
