@@ -278,7 +278,9 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     seen_again = found.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
     repeated = found.join(seen_again, "g", "left_semi")
     key = ["g", "c1", "c2", "left"]
-    classes = materialize(repeated.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("dk", "t", "t2", "lo", "size")).alias("rep")))
+    # Grouped by one struct: by its parts, Spark would aggregate where the join has put a gram, hot or not.
+    classes = repeated.groupBy(F.struct(*key).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("dk", "t", "t2", "lo", "size")).alias("rep"))
+    classes = materialize(classes.select("key.*", "n", "rep"))
 
     # A context seen twice: all its windows repeat, from the first (distance left) to the last.
     whole = classes.where("n > 1").select(*key, (length - (F.col("rep.size") - F.col("left"))).alias("d1"), F.col("left").alias("d2"))
