@@ -36,6 +36,12 @@ def star_edges(edges: np.ndarray, nodes: int) -> np.ndarray:
         label = new
 
 
+def _distinct(edges: DataFrame) -> DataFrame:
+    """Distinct edges after an exchange of their own: by columns, Spark would do with the exchange of the
+    join before, and could then not split a hub's partition."""
+    return edges.select(F.struct("v", "u").alias("e")).distinct().select("e.*")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b); the component is its smallest node.
 
@@ -46,11 +52,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # Large star: every larger neighbour of a node hangs on the node's smallest neighbour.
         both = stars.union(stars.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
-        large = stars.withColumnRenamed("v", "w").join(least.withColumnRenamed("v", "u"), "u").select(F.col("w").alias("v"), F.col("m").alias("u")).distinct()
+        large = stars.withColumnRenamed("v", "w").join(least.withColumnRenamed("v", "u"), "u").select(F.col("w").alias("v"), F.col("m").alias("u"))
+        large = _distinct(large)
         # Small star: every smaller neighbour of a node, and the node, hang on the smallest of them.
         down = large.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n"))
         moved = large.join(down.where("n > 1").select("v", "m"), "v").where("u != m").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        after = materialize(down.select("v", F.col("m").alias("u")).union(moved).distinct())
+        after = materialize(_distinct(down.select("v", F.col("m").alias("u")).union(moved)))
         # Settled: each node hangs on one smaller node that hangs on none.
         hung = after.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
         loose = after.join(hung.select(F.col("v").alias("u")), "u", "left_semi").select(F.lit(1)).union(hung.where("n > 1").select(F.lit(1)))
