@@ -20,11 +20,12 @@ SHARE = 1.5  # of all words
 EPOCHS = 2  # a source is taken this often at most
 BLOCK = 64  # words
 SHARDS = 256
-ROUNDS = 24  # of the permutation
+ROUNDS = 16  # of the permutation
 SEED = 20240613
 CHUNK = 4096
 TICKET_BUCKETS = 4096
 ROWS_PER_BIN = 20_000
+DRAWS_PER_TASK = 1_000_000
 
 
 def permuted(x: Column, n: Column, *key: Column, rounds: int = ROUNDS) -> Column:
@@ -86,7 +87,10 @@ def pick_blocks(targets: DataFrame, total: int, shards: int = SHARDS) -> DataFra
     """(s, shard, epoch, block) of every draw taken."""
     runs = draw(targets, total, shards)
     chunks = runs.withColumn("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1, F.lit(CHUNK).cast("bigint"))))
-    chunks = chunks.select("s", "shard", (F.col("j0") + F.col("c")).alias("j"), F.least(F.lit(CHUNK), F.col("count") - F.col("c")).alias("count")).repartition("s", "j")
+    chunks = chunks.select("s", "shard", (F.col("j0") + F.col("c")).alias("j"), F.least(F.lit(CHUNK), F.col("count") - F.col("c")).alias("count"))
+    # A fixed number of partitions: the rows are few here, so Spark would merge them, but many below.
+    parts = max(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // DRAWS_PER_TASK))
+    chunks = chunks.repartition(parts, "s", "j")
     each = chunks.select("s", "shard", F.explode(F.sequence(F.col("j"), F.col("j") + F.col("count") - 1)).alias("j")).join(targets.select("s", "blocks"), "s")
     epoch = F.expr("j div blocks")
     return each.select("s", "shard", epoch.alias("epoch"), permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.col("s"), epoch).alias("block"))
