@@ -16,8 +16,8 @@ from chatledger.functions import text as X
 
 # Per-message signals (folded text).
 SIGNALS = {
-    "intent": r"quiero hacer un pedido|mandame [0-9]|te encargo|confirmame el pedido|me quedo con|dejalo asi|quiero [0-9]|me das [0-9]|apuntame|dejame [0-9]",
-    "product_qty": r"[0-9]+ (cajas?|paquetes?|unidades?|mufins?|muffins?|arepas?|arepitas?|brownies?|wafles?|waffles?)|(^|[^a-z])un (bronwie|brownie|muffin|waffle|arepa)",
+    "intent": r"quiero (hacer|pedir|comprar|encargar|reservar|[0-9])|quisiera|(manda|deja|apunta|pon|envia|aparta|confirma|separa)me ([0-9]|el pedido)|te encargo|me quedo con|dejalo asi|me das [0-9]|apuntame",
+    "product_qty": r"[0-9]+ (de )?(cajas?|paquetes?|unidades?|mufins?|muffins?|arepas?|arepitas?|brownies?|wafles?|waffles?)|(^|[^a-z])un (bronwie|brownie|muffin|waffle|arepa)",
     "delivery": r"barrio|carrera|calle |apto|edificio|torre|porteria|conjunto|estacion del metro",
     "payment": r"pagar|pago |transferencia|transferi|nequi|daviplata|bancolombia|efectivo|comprobante",
     "followup": r"llega el pedido|domiciliario|en camino|llego bien|no me ha llegado",
@@ -56,10 +56,11 @@ FAQ_CATEGORY_RULES = [
     ("ubicacion", r"donde estan|donde quedan|ubicad"),
     ("productos", r"productos|sabores|carta|catalogo"),
     ("proceso_compra", r"pedido|pagar|comprar|transferencia"),
+    ("info_general", r"quien(es)? son|informacion|que venden|redes"),
 ]
 
 # Product mention: optional quantity (and box/pack) before a product alias.
-PRODUCT_MENTION = r"([0-9]+ ((cajas?|paquetes?) de )?)?(mufins?|muffins?|mufi|arepitas?|arepas?|bronwies?|brownies?|browni|wafles?|waffles?)"
+PRODUCT_MENTION = r"([0-9]+ ((cajas?|paquetes?) )?(de )?)?(mufins?|muffins?|mufi|arepitas?|arepas?|bronwies?|brownies?|browni|wafles?|waffles?)"
 ALIAS_PREFIX = [("muf", "Muffin"), ("are", "Arepa"), ("bro", "Brownie"), ("waf", "Waffle")]
 VARIANT_MAX_EDITS = 2
 VARIANT_MIN_WORD = 5

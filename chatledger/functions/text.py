@@ -108,13 +108,14 @@ def money_text_to_number(text) -> Column:
     """Export money rule for text: drop '$', drop '.', ',' -> '.', strip, to number; bad -> NULL."""
     t = F.replace(F.replace(col_(text), F.lit("$"), F.lit("")), F.lit("."), F.lit(""))
     t = strip(F.replace(t, F.lit(","), F.lit(".")))
-    return t.try_cast("double")
+    # Java also reads '45d', 'NaN' and 'Infinity' as numbers.
+    return F.when(t.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"), t.try_cast("double"))
 
 
 def bot_money(text) -> Column:
     """Bot total: drop '$', '.', ',' and spaces; positive integer else NULL."""
     t = F.regexp_replace(col_(text), r"[$., ]", "")
-    v = F.when(t.rlike(r"^[+-]?\d+$"), t.try_cast("bigint"))
+    v = F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("bigint"))
     return F.when(v > 0, v)
 
 

@@ -11,6 +11,7 @@ The dialogue is sequential per chat; chats are independent, so work spreads by c
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -105,11 +106,10 @@ def _reset(st: dict, state: str = "idle") -> dict:
 
 def _int_total(text: str) -> int | None:
     t = text.replace("$", "").replace(".", "").replace(",", "").replace(" ", "")
-    try:
-        v = int(t)
-    except ValueError:
+    # The rule of text.bot_money: ASCII digits that a long holds.
+    if not re.fullmatch(r"[+-]?[0-9]+", t) or not 0 < int(t) < 1 << 63:
         return None
-    return v if v > 0 else None
+    return int(t)
 
 
 def step(st: dict, u: dict) -> tuple[dict, str, dict | None]:
@@ -184,10 +184,9 @@ def _callback(st: dict, u: dict) -> tuple[dict, str, dict | None]:
         if q == "cancelar":
             st.update(actual=None, state="seleccionando_productos")
             return st, "ask_products", None
-        try:
-            n = int(q)
-        except ValueError:
+        if q not in {str(n) for n in S.BOT_QUANTITIES}:
             return st, "error", None
+        n = int(q)
         if st["actual"] is None:
             st["state"] = "seleccionando_productos"
             return st, "error", None
@@ -272,7 +271,10 @@ def prepare_updates(updates: DataFrame, clients: DataFrame | None, allowed_chats
         flat = flat.withColumn("allowed", F.lit(True))
     else:
         allow = allowed_chats.select(F.col("chat_id").alias("_a")).distinct()
-        flat = flat.join(allow, flat["chat_id"] == allow["_a"], "left").withColumn("allowed", F.col("_a").isNotNull()).drop("_a")
+        flat = flat.join(allow, flat["chat_id"] == allow["_a"], "left")
+        # An empty allow-list admits everybody; a stream has its list tested when it starts.
+        everybody = F.lit(False) if updates.isStreaming else allowed_chats.select(F.count(F.lit(1)) == 0).scalar()
+        flat = flat.withColumn("allowed", F.col("_a").isNotNull() | everybody).drop("_a")
     if clients is None:
         return flat.withColumn("found_client_id", F.lit(None).cast("string")).withColumn("found_name", F.lit(None).cast("string"))
     from chatledger.operators.mart import clients_by_phone
@@ -358,7 +360,7 @@ def completed_sales(outputs: DataFrame) -> DataFrame:
     s = outputs.filter(F.col("sale_json").isNotNull()).withColumn("_s", F.from_json("sale_json", sale_t))
     lines = F.transform(
         "_s.productos",
-        lambda a: F.struct(a[0].alias("name"), a[1].alias("variant"), a[2].cast("bigint").alias("cantidad")),
+        lambda a: F.struct(a[0].alias("name"), a[1].alias("variant"), a[2].try_cast("bigint").alias("cantidad")),
     )
     return s.select("chat_id", "update_id", "_s.telefono", "_s.nombre", "_s.client_id", "_s.es_nuevo", lines.alias("productos"), "_s.total")
 
@@ -374,9 +376,11 @@ def sale_rows(sales: DataFrame, products: DataFrame | None, order_date: Column |
     new_src = F.concat(F.lit(S.BOT_SOURCE_PREFIX), F.col("telefono"))
     client_id = F.when(F.col("es_nuevo"), X.uuid_from(F.concat(F.lit("client:"), new_src))).otherwise(F.col("client_id"))
     base = sales.withColumn("_order_id", X.uuid_from(F.concat(F.lit("bot-order:"), key))).withColumn("_client", client_id)
-    clients = base.filter(F.col("es_nuevo")).select(
-        F.col("_client").alias("id"), F.col("telefono").alias("phone"), F.col("nombre").alias("name"), new_src.alias("source_client_id")
+    # One row per client: of several sales to one new phone the last names it.
+    new = base.filter(F.col("es_nuevo")).groupBy(F.col("_client").alias("id")).agg(
+        F.max_by(F.struct(F.col("telefono").alias("phone"), F.col("nombre").alias("name"), new_src.alias("source_client_id")), F.struct("update_id", "chat_id")).alias("_r")
     )
+    clients = new.select("id", "_r.*")
     orders = base.select(
         F.col("_order_id").alias("id"),
         F.col("_client").alias("client_id"),
@@ -391,7 +395,7 @@ def sale_rows(sales: DataFrame, products: DataFrame | None, order_date: Column |
         F.lit(None).cast("string").alias("product_id"),
         F.col("l.name").alias("product_name"),
         F.col("l.variant").alias("variant"),
-        F.col("l.cantidad").cast("int").alias("quantity"),
+        F.col("l.cantidad").try_cast("int").alias("quantity"),
         F.lit(S.BOT_ITEM_UNIT).alias("unit"),
     )
     if products is not None:

@@ -82,7 +82,8 @@ def product_mentions(feats: DataFrame) -> DataFrame:
         "conversation_id",
         "session_id",
         "message_index",
-        "_f",
+        # what follows each mention, up to the next one
+        F.split("_f", RU.PRODUCT_MENTION).alias("_between"),
         F.posexplode(F.regexp_extract_all("_f", F.lit(RU.PRODUCT_MENTION), 0)).alias("pos", "mention"),
     )
     alias = F.regexp_extract("mention", "([a-z]+)$", 1)
@@ -94,8 +95,8 @@ def product_mentions(feats: DataFrame) -> DataFrame:
         "pos",
         "mention",
         name.alias("name"),
-        RU.resolve_variant(name, F.col("_f")).alias("variant"),
-        X.blank_to_null(F.regexp_extract("mention", "^([0-9]+)", 1)).cast("bigint").alias("quantity"),
+        RU.resolve_variant(name, F.get("_between", F.col("pos") + 1)).alias("variant"),
+        X.blank_to_null(F.regexp_extract("mention", "^([0-9]+)", 1)).try_cast("bigint").alias("quantity"),
     )
 
 
@@ -124,11 +125,8 @@ def session_facts(feats: DataFrame) -> DataFrame:
     order_type = (
         F.when(c["cancel"], F.lit("cancelled"))
         .when(c["followup"], F.lit("delivery_followup"))
-        .when(
-            (c["intent"] & (c["product_qty"] | c["delivery"] | c["payment"])) | (c["product_qty"] & (c["delivery"] | c["payment"])),
-            F.lit("confirmed"),
-        )
-        .when(c["info"] | c["product_qty"], F.lit("quotation"))
+        .when(c["intent"] | c["product_qty"] | c["delivery"] | c["payment"], F.lit("confirmed"))
+        .when(c["info"], F.lit("quotation"))
         .otherwise(F.lit("unclear"))
     )
     sale_signs = ~c["cancel"] & (c["intent"] | c["product_qty"] | c["delivery"] | c["payment"] | c["followup"])

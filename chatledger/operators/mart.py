@@ -1,8 +1,7 @@
 """Order mart maintenance: idempotent upserts, delete propagation, lookups, quality rules.
 
 Plain Parquet tables have no constraints and no MERGE, so each table write is a new
-version computed by a full outer join of the current table with the incoming batch on
-``id``.  Ids are content-derived, so re-loading a batch is a no-op apart from ``updated_at``.
+version: a left join of the current table with the incoming batch on ``id``, and the inserts.  Ids are content-derived, so re-loading a batch is a no-op apart from ``updated_at``.
 """
 
 from __future__ import annotations
@@ -13,43 +12,31 @@ from pyspark.sql import functions as F
 from chatledger import schemas as S
 
 
-def dedupe_last(batch: DataFrame, key: str = "id", order_col: str | None = None) -> DataFrame:
-    """Keep one row per key; with ``order_col`` the row with the highest value wins (last wins).
+def dedupe_last(batch: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+    """Keep one row per key: the one with the highest values of ``order_cols`` (last wins).
 
     Uses a partial aggregate (``max_by``) so a hot key costs one small combiner value,
     never a sorted group.
     """
-    if order_col is None:
-        return batch.dropDuplicates([key])
     cols = [c for c in batch.columns if c != key]
-    packed = F.max_by(F.struct(*cols), F.col(order_col)).alias("_r")
+    packed = F.max_by(F.struct(*cols), F.struct(*order_cols)).alias("_r")
     return batch.groupBy(key).agg(packed).select(key, "_r.*")
 
 
 def _upsert(target: DataFrame, batch: DataFrame, rules: dict[str, Column], columns: list[str]) -> DataFrame:
-    """New table version = untouched target rows + updated matches + inserts.
-
-    Written as anti/inner joins and a union instead of one full outer join: when the batch
-    is small, AQE broadcasts it (by measured size) and the large target is scanned but never
-    shuffled; when both are large the joins fall back to sort-merge.
-    """
-    ids = batch.select(F.col("id").alias("_bid"))
-    untouched = target.join(ids, target["id"] == ids["_bid"], "left_anti").select(*columns)
-    t = target.alias("t")
-    s = batch.alias("s")
-    matched = t.join(s, F.col("t.id") == F.col("s.id"), "inner")
-    upd = []
+    """New table version: one left join of the target with the batch gives untouched and updated
+    rows in a pass; inserts are the batch's rows whose id the target does not have (a second scan
+    of the target, of its ids only).  Spark broadcasts a batch below its own size threshold."""
+    joined = target.alias("t").join(batch.alias("s"), F.col("t.id") == F.col("s.id"), "left")
+    hit = F.col("s.id").isNotNull()
+    out = []
     for c in columns:
-        if c == "id":
-            upd.append(F.col("t.id").alias("id"))
-            continue
         rule = rules.get(c)
         # a column not written by the upsert keeps the target's value
-        upd.append((F.col(f"t.{c}") if rule is None else rule).alias(c))
-    updated = matched.select(*upd)
-    hit = matched.select(F.col("t.id").alias("_hit"))
-    inserts = batch.join(hit, batch["id"] == hit["_hit"], "left_anti").select(*columns)
-    return untouched.unionByName(updated).unionByName(inserts)
+        out.append((F.col(f"t.{c}") if rule is None else F.when(hit, rule).otherwise(F.col(f"t.{c}"))).alias(c))
+    known = target.select(F.col("id").alias("_hit"))
+    inserts = batch.join(known, batch["id"] == known["_hit"], "left_anti").select(*columns)
+    return joined.select(*out).unionByName(inserts)
 
 
 def upsert_clients(target: DataFrame, batch: DataFrame, run_ts: Column) -> DataFrame:

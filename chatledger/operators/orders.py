@@ -238,7 +238,9 @@ def items_table(orders: DataFrame) -> DataFrame:
     """One row per *object* element of ``order.products``; position kept for the id."""
     ex = orders.select("session_id", F.posexplode(_product_elements(F.col("products"))).alias("pos", "e"))
     e = F.col("e")
-    price = F.coalesce(vget(e, "$.unit_price", "variant"), vget(e, "$.unit_price_approx", "variant"))
+    exact, approx = vget(e, "$.unit_price", "variant"), vget(e, "$.unit_price_approx", "variant")
+    # A JSON null is a value of its own type, not SQL NULL.
+    price = F.when(F.coalesce(vtype(exact), F.lit("VOID")) != "VOID", exact).otherwise(approx)
     qty = vget(e, "$.quantity_units", "variant")
     st = ex.select(
         "session_id",
@@ -259,7 +261,7 @@ def items_table(orders: DataFrame) -> DataFrame:
         X.uuid_from(F.concat(F.lit("order:"), F.col("session_id"))).alias("order_id"),
         F.coalesce(F.col("name"), F.lit("")).alias("product_name"),
         X.blank_to_null("variant").alias("variant"),
-        F.when(~truthy(q, qt), F.lit(1)).otherwise(F.round(qnum).cast("bigint")).alias("quantity"),
+        F.when(~truthy(q, qt), F.lit(1)).otherwise(F.round(qnum).try_cast("bigint")).alias("quantity"),
         X.blank_to_null("unit").alias("unit"),
         money(F.col("p"), F.col("pt")).alias("unit_price"),
     )

@@ -2,8 +2,9 @@
 
 The driver's tables carry no chat data, so each view maps a table onto the shape a stage
 expects.  ``plans/oracle.py`` states the same mappings in SQL.  Every view reads whole
-tables; modulo rules only *label* rows (make a value blank, pick a label), they never drop
-rows to save work.
+tables.  Modulo rules label rows (make a value blank, pick a label); only the views of a load
+batch, of deletions, of a manifest and of an allow-list hold a part of their rows, because a part
+is what they stand for.
 """
 
 from __future__ import annotations
@@ -26,58 +27,57 @@ def _pick(values: list, index: Column) -> Column:
 # ---------------------------------------------------------------------------
 # V_msg: chat export rows from ``events``
 # ---------------------------------------------------------------------------
-# FIXED VALUES: message texts.  Client lines are the example utterances quoted in the
-# extraction instructions (order intent, products and quantities, delivery, payment,
-# follow-up, information only, cancellation, self-introduction, misspelt product names);
-# business lines are short replies.  A row picks one by (event_id * 7 + user_id).
+# Test inputs: invented chat lines, about every topic that the extractor looks for and some that it
+# does not.  A row picks one by (event_id * 7 + user_id).
 CLIENT_PHRASES = [
-    "Quiero hacer un pedido",
-    "Entonces mándame 2 cajas",
-    "Te encargo 3 paquetes para mañana",
-    "Sí, déjalo así, confírmame el pedido",
-    "Listo, me quedo con esos",
-    "Serían 2 cajas de muffins y 1 de brownies",
-    "Déjame 10 arepas integrales",
-    "Apúntame 3 paquetes para el viernes",
-    "Es en el barrio Laureles, carrera 80 #xx-xx, apto 302",
-    "Entrégalo en el edificio X, torre 2, portería",
-    "Te espero en la portería del conjunto Y",
-    "Nos vemos en la estación del metro Floresta",
-    "¿Por dónde te puedo pagar?",
-    "Te hago la transferencia por Nequi",
-    "Ya te envié el comprobante",
-    "Listo, ya te transferí",
-    "Te pago en efectivo cuando llegue",
-    "A qué hora llega el pedido?",
-    "No me ha llegado todavía",
-    "El pedido llegó bien, gracias",
-    "¿Qué productos tienes?",
-    "Mándame la carta y los precios",
-    "Mejor cancélalo",
-    "Ya no lo necesito, gracias",
-    "Soy Ana",
-    "Hola, habla Juan",
-    "Quiero 2 mufins de chocolate",
-    "Me das 3 arepitas de yuca y queso",
-    "Un bronwie por favor",
-    "2 wafles de platano y queso",
-    "¿Tienen productos para diabéticos?",
-    "¿Hacen envíos a Envigado?",
-    "¿Cuánto vale la caja de muffins de zanahora?",
-    "¿A qué hora abren?",
-    "Vivo en Medellín",
-    "Pago con Daviplata",
+    "Buenas, quisiera comprar algo para la oficina",
+    "Para el lunes necesito 4 cajas de muffins",
+    "Quiero 5 paquetes grandes",
+    "Me das 6 brownies",
+    "Quedo pendiente de mi encargo",
+    "Van 3 arepas de maduro y queso y 2 de yuca y queso",
+    "Ponme 12 arepitas y 1 de brownies",
+    "Serán 7 unidades en total",
+    "Mi casa queda por la calle 10 con 43",
+    "Dejen todo en portería, apto 1201",
+    "El edificio es blanco, torre norte",
+    "Nos encontramos en el barrio Belén",
+    "¿Reciben tarjeta o toca pagar con efectivo?",
+    "Acabo de mandar el comprobante",
+    "Hice la transferencia hace un rato",
+    "Prefiero Bancolombia",
+    "El pago va por Nequi",
+    "¿El domiciliario demora mucho?",
+    "Sigue sin aparecer lo que compré",
+    "Me dicen que va en camino",
+    "¿Cuáles sabores manejan?",
+    "Envíame precios por favor",
+    "Cancela lo que hablamos",
+    "Al final ya no lo necesito",
+    "Me llamo Teresa",
+    "Soy Camilo, de la tienda",
+    "¿Hay mufins de bananno?",
+    "Un brownie y una gaseosa",
+    "1 caja de wafles de yuca y queso",
+    "Mi papá es diabético, ¿qué le sirve?",
+    "¿El envío a Sabaneta tiene costo?",
+    "¿Cuánto cuesta una caja de muffins de zanahria?",
+    "¿En qué horario atienden?",
+    "Estoy en Itagüí",
+    "Daviplata me queda fácil",
+    "¿Quiénes son ustedes?",
+    "Jajaja qué rico",
 ]
 BUSINESS_PHRASES = [
-    "El domiciliario ya viene en camino",
-    "Claro, la caja de muffins vale $22.000",
-    "Hacemos envíos en Medellín y Envigado",
-    "Sí, tenemos productos sin azúcar",
-    "Abrimos de 8am a 6pm",
-    "Puedes pagar por Nequi o Bancolombia",
-    "Estamos en Bogotá",
-    "Te confirmo el pedido, total $45.000",
-    "Gracias por tu compra",
+    "Su domiciliario salió, va en camino",
+    "Cada caja está a $21.500",
+    "Sí, vamos hasta Envigado",
+    "Varios son sin azúcar",
+    "De lunes a sábado, todo el día",
+    "Recibimos Nequi y efectivo",
+    "El local está en Medellín",
+    "Anotado, el total es $63.900",
+    "Con gusto",
 ]
 
 

@@ -691,22 +691,23 @@ facts0 AS (
 facts AS (
   SELECT *,
     CASE WHEN cancel THEN 'cancelled' WHEN followup THEN 'delivery_followup'
-         WHEN (intent AND (product_qty OR delivery OR payment)) OR (product_qty AND (delivery OR payment)) THEN 'confirmed'
-         WHEN info OR product_qty THEN 'quotation' ELSE 'unclear' END AS order_type,
+         WHEN intent OR product_qty OR delivery OR payment THEN 'confirmed'
+         WHEN info THEN 'quotation' ELSE 'unclear' END AS order_type,
     CASE WHEN NOT cancel AND (intent OR product_qty OR delivery OR payment OR followup) THEN
          CASE WHEN followup OR (delivery AND payment) THEN 'confirmada' ELSE 'probable' END END AS sale_state,
     {money} AS approx_total,
     CASE WHEN regexp_matches(client_id, {q(RU.PHONE_LIKE)}) THEN client_id END AS customer_phone
   FROM facts0
 ),
-pm0 AS (SELECT conversation_id, session_id, message_index, _f, regexp_extract_all(_f, {q(RU.PRODUCT_MENTION)}, 0) AS l FROM feats),
-pm1 AS (SELECT conversation_id, session_id, message_index, _f, unnest(l) AS mention, generate_subscripts(l, 1) - 1 AS pos FROM pm0),
+pm0 AS (SELECT conversation_id, session_id, message_index, string_split_regex(_f, {q(RU.PRODUCT_MENTION)}) AS parts, regexp_extract_all(_f, {q(RU.PRODUCT_MENTION)}, 0) AS l FROM feats),
+pm1 AS (SELECT conversation_id, session_id, message_index, parts[gs + 1] AS _f, mention, gs - 1 AS pos
+  FROM (SELECT *, unnest(l) AS mention, generate_subscripts(l, 1) AS gs FROM pm0)),
 pm2 AS (SELECT *, {name} AS name FROM pm1),
 pm AS (
   SELECT conversation_id, session_id, message_index, pos, mention, name,
     list_filter({catvar}, lambda v: v.name = pm2.name AND (contains(pm2._f, v.vfold) OR (NOT contains(v.vfold, ' ')
       AND len(list_filter(string_split_regex(pm2._f, '[^a-z]+'), lambda w: length(w) >= {RU.VARIANT_MIN_WORD} AND levenshtein(w, v.vfold) <= {RU.VARIANT_MAX_EDITS})) > 0)))[1].variant AS variant,
-    CAST(nullif(regexp_extract(mention, '^([0-9]+)', 1), '') AS BIGINT) AS quantity
+    TRY_CAST(nullif(regexp_extract(mention, '^([0-9]+)', 1), '') AS BIGINT) AS quantity
   FROM pm2
 ),
 nx AS (

@@ -230,25 +230,30 @@ def q_client_by_phone(spark, sf):
     return MT.clients_by_phone(A.mart_clients(spark, sf), A.phone_lookups(spark, sf), "phone_input")
 
 
+def _last(batch):
+    """One row per id; the highest values in all columns decide."""
+    return MT.dedupe_last(batch, "id", [c for c in batch.columns if c != "id"])
+
+
 @query("upsert_clients")
 def q_upsert_clients(spark, sf):
-    return MT.upsert_clients(A.mart_clients(spark, sf), MT.dedupe_last(A.batch_clients(spark, sf)), A.run_ts())
+    return MT.upsert_clients(A.mart_clients(spark, sf), _last(A.batch_clients(spark, sf)), A.run_ts())
 
 
 @query("upsert_orders")
 def q_upsert_orders(spark, sf):
-    return MT.upsert_orders(A.mart_orders(spark, sf), MT.dedupe_last(A.batch_orders(spark, sf)), A.run_ts())
+    return MT.upsert_orders(A.mart_orders(spark, sf), _last(A.batch_orders(spark, sf)), A.run_ts())
 
 
 @query("upsert_products")
 def q_upsert_products(spark, sf):
-    return MT.upsert_products(A.mart_products(spark, sf), MT.dedupe_last(A.batch_products(spark, sf)), A.run_ts())
+    return MT.upsert_products(A.mart_products(spark, sf), _last(A.batch_products(spark, sf)), A.run_ts())
 
 
 @query("upsert_items")
 def q_upsert_items(spark, sf):
     target = MT.resolve_product_ids(MT.valid_items(A.mart_items(spark, sf)), A.mart_products(spark, sf))
-    return MT.upsert_items(target, MT.dedupe_last(A.batch_items(spark, sf)), A.run_ts())
+    return MT.upsert_items(target, _last(A.batch_items(spark, sf)), A.run_ts())
 
 
 @query("delete_propagation")

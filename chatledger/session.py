@@ -27,24 +27,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a scratch one only when none is configured.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is respected as is.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    path = tempfile.mkdtemp(prefix="chatledger-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
-
 _SHIPPED: set[str] = set()
 
 

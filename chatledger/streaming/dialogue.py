@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from chatledger import schemas as S
 from chatledger.operators import bot as B
 from chatledger.session import ship_package
+from chatledger.streaming.ingest import FOREVER
 
 UPDATE_FILE_SCHEMA = T.StructType(list(S.UPDATE_SCHEMA.fields) + [T.StructField("ts", T.TimestampNTZType())])
 
@@ -41,7 +42,9 @@ def start(
     available_now: bool = True,
 ) -> StreamingQuery:
     ship_package(spark)
-    stream = spark.readStream.schema(UPDATE_FILE_SCHEMA).json(updates_dir)
+    if allowed_chats is not None and allowed_chats.isEmpty():
+        allowed_chats = None  # an empty list admits everybody
+    stream = spark.readStream.schema(UPDATE_FILE_SCHEMA).option("maxFileAge", FOREVER).json(updates_dir)
     outputs = dialogue_outputs(B.prepare_updates(stream, clients, allowed_chats))
 
     def sink(batch: DataFrame, batch_id: int) -> None:

@@ -19,6 +19,7 @@ from chatledger.functions import text as X
 from chatledger.operators import messages as M
 from chatledger.sources.chat_csv import CSV_GLOB, field_count, is_chat_file
 
+FOREVER = "36500d"
 BUCKETS = 256  # sessions are recomputed per touched bucket; more buckets, less rework per batch
 BATCH_SHIFT = 2**42  # file_row = batch * 2^42 + per-batch increasing id
 
@@ -45,13 +46,13 @@ def start(
         .option("columnNameOfCorruptRecord", "_corrupt")
         .option("pathGlobFilter", CSV_GLOB)
         .option("fileNameOnly", "true")
+        .option("maxFileAge", FOREVER)  # files count as new by name, whatever their age
         .csv(raw_dir)
         .select("*", F.col("_metadata.file_name").alias("_fname"), F.col("_metadata.file_path").alias("_fpath"), F.col("_metadata.file_size").alias("_fsize"))
     )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark_ = batch.sparkSession
-        spark_.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         name = X.decoded_file_name(F.col("_fname"))
         width_ok = F.col("_corrupt").isNull() | (field_count(F.col("_corrupt")) <= len(S.RAW_CHAT_COLUMNS))
         raw = batch.filter(is_chat_file(name, F.col("_fsize")) & width_ok).select(
@@ -62,13 +63,13 @@ def start(
         )
         clean = M.assign_ids_and_roles(M.clean_messages(raw, ts_format))
         clean = clean.withColumn("bucket", bucket_of(F.col("conversation_id"), buckets)).withColumn("batch", F.lit(batch_id))
-        clean.write.mode("overwrite").partitionBy("bucket", "batch").parquet(f"{out_dir}/messages")
+        clean.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(f"{out_dir}/messages")
         touched = [r.bucket for r in clean.select("bucket").distinct().collect()]  # at most `buckets` values
         if not touched:
             return
         ledger = spark_.read.parquet(f"{out_dir}/messages").filter(F.col("bucket").isin(touched))
         sess = M.sessionize(ledger.drop("batch"))
-        sess.write.mode("overwrite").partitionBy("bucket").parquet(f"{out_dir}/sessions")
+        sess.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{out_dir}/sessions")
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

@@ -130,6 +130,21 @@ def test_batch_replay_equals_stream_with_restart(spark, tmp_path):
     assert [(i.product_name, i.variant, i.quantity) for i in items] == [("Waffle", "Yuca y Queso", 4)] * 2
 
 
+def test_odd_quantities_and_totals_are_errors():
+    st = B.initial_state() | {"state": "seleccionando_cantidad", "actual": ["Waffle", None]}
+    for data in ("cant_3000000000", "cant_0", "cant_11", "cant_x", "cant_\u0663"):
+        _, reply, _ = B.step(st, {"update_id": 1, "kind": "callback", "data": data})
+        assert reply == "error"
+    assert [B._int_total(t) for t in ("1_000", "\u0661\u0662", "$1.000", "9" * 30, "-5")] == [None, None, 1000, None, None]
+
+
+def test_an_empty_allow_list_admits_everybody(spark):
+    upd = spark.read.schema(D.UPDATE_FILE_SCHEMA).json(spark.sparkContext.parallelize([json.dumps({"update_id": 1, "message": {"chat": {"id": 5}, "text": "/venta"}})]))
+    none = spark.createDataFrame([], "chat_id bigint")
+    one = spark.createDataFrame([(6,)], "chat_id bigint")
+    assert [B.prepare_updates(upd, None, a).collect()[0].allowed for a in (none, one)] == [True, False]
+
+
 def test_segmented_replay_equals_whole_chat_replay(spark):
     from chatledger.plans import adapters as A
     from tests.conftest import SF_SMALL

@@ -1,4 +1,4 @@
-"""Pluggable extractor job and native rules on the instruction examples."""
+"""Pluggable extractor job and native rules on invented chats."""
 
 import json
 
@@ -32,23 +32,23 @@ def msgs_frame(spark, rows):
 
 def test_rules_on_examples(spark):
     rows = [
-        ("a", 0, "user", "Hola, habla Juan"),
-        ("a", 1, "user", "Quiero 2 mufins de chocolate"),
-        ("a", 2, "user", "Es en el barrio Laureles, carrera 80 #xx-xx, apto 302"),
-        ("a", 3, "user", "Te hago la transferencia por Nequi"),
-        ("a", 4, "assistant", "Te confirmo el pedido, total $45.000"),
-        ("b", 0, "user", "¿Qué productos tienes?"),
-        ("b", 1, "assistant", "Sí, tenemos productos sin azúcar"),
-        ("c", 0, "user", "Mejor cancélalo"),
-        ("d", 0, "user", "El pedido llegó bien, gracias"),
-        ("e", 0, "user", "¿Cuánto vale la caja de muffins de zanahora?"),
-        ("e", 1, "user", "Me das 3 arepitas de yuca y queso"),
+        ("a", 0, "user", "Buenas, habla Pedro"),
+        ("a", 1, "user", "Me das 2 mufins de chocolate, gracias"),
+        ("a", 2, "user", "Mi barrio es Belén, calle 30, apto 5"),
+        ("a", 3, "user", "El pago va por Nequi"),
+        ("a", 4, "assistant", "Anotado, el total es $45.000"),
+        ("b", 0, "user", "Envíame la carta"),
+        ("b", 1, "assistant", "Varios son sin azúcar"),
+        ("c", 0, "user", "Cancela lo que hablamos"),
+        ("d", 0, "user", "¿El domiciliario demora mucho?"),
+        ("e", 0, "user", "¿Cuánto cuesta una caja de muffins de zanahria?"),
+        ("e", 1, "user", "Ponme 3 arepitas de yuca y queso"),
     ]
     out = {r.conversation_id: r for r in EX.extract_orders(msgs_frame(spark, rows)).collect()}
     a = out["a"]
     assert (a.order_type, a.has_order, a.payment_method, a.approx_total) == ("confirmed", True, "Nequi", 45000.0)
-    assert a.customer_name == "Juan" and a.customer_phone == "+573001234567"
-    assert a.address.startswith("Es en el barrio Laureles")
+    assert a.customer_name == "Pedro" and a.customer_phone == "+573001234567"
+    assert a.address.startswith("Mi barrio es")
     assert out["b"].order_type == "quotation" and not out["b"].has_order
     assert out["c"].order_type == "cancelled"
     assert out["d"].order_type == "delivery_followup" and out["d"].has_order
@@ -62,24 +62,24 @@ def test_rules_on_examples(spark):
 
 def test_faq_pairs_and_frequency(spark):
     rows = [
-        ("a", 0, "user", "¿Hacen envíos a Envigado?"),
-        ("a", 1, "assistant", "Hacemos envíos en Medellín y Envigado"),
-        ("b", 0, "user", "  ¿hacen envíos a envigado?  "),
+        ("a", 0, "user", "¿El envío a Sabaneta tiene costo?"),
+        ("a", 1, "assistant", "Sí, hasta Sabaneta"),
+        ("b", 0, "user", "  ¿el envío a sabaneta tiene costo?  "),
         ("b", 1, "assistant", "Sí"),
-        ("c", 0, "user", "¿A qué hora abren?"),
+        ("c", 0, "user", "¿En qué horario atienden?"),
         ("c", 1, "user", "hola"),
     ]
     res = EX.extract_faq(msgs_frame(spark, rows))
     freq = EX.faq_frequency(res).collect()
     assert len(freq) == 1  # the unanswered question is not a pair
-    assert freq[0].frecuencia == 2 and freq[0].pregunta == "¿Hacen envíos a Envigado?" and freq[0].categoria == "envio"
+    assert freq[0].frecuencia == 2 and freq[0].pregunta == "¿El envío a Sabaneta tiene costo?" and freq[0].categoria == "envio"
 
 
 def test_next_in_order_crosses_day_buckets(spark):
-    rows = [("a", 0, "user", "¿Tienen productos para diabéticos?"), ("a", 60 * 30, "assistant", "Sí, tenemos productos sin azúcar")]
+    rows = [("a", 0, "user", "Mi papá es diabético, ¿qué le sirve?"), ("a", 60 * 30, "assistant", "Varios son sin azúcar")]
     pairs = EX.faq_pairs(EX.message_features(msgs_frame(spark, rows))).collect()
     assert pairs == []  # 30 h later: a new session, so no pair
-    rows = [("a", 60 * 23, "user", "¿Tienen productos para diabéticos?"), ("a", 60 * 25, "assistant", "Sí, tenemos productos sin azúcar")]
+    rows = [("a", 60 * 23, "user", "Mi papá es diabético, ¿qué le sirve?"), ("a", 60 * 25, "assistant", "Varios son sin azúcar")]
     pairs = EX.faq_pairs(EX.message_features(msgs_frame(spark, rows))).collect()
     assert [p.categoria for p in pairs] == ["diabeticos"]  # answer falls in the next day bucket
 
@@ -114,7 +114,7 @@ def test_pluggable_extractor_end_to_end(spark):
     from chatledger.operators import orders as O
     from chatledger.operators import sessions as SS
 
-    rows = [("a", 0, "user", "Quiero 2 mufins de chocolate"), ("a", 1, "user", "Te hago la transferencia por Nequi")]
+    rows = [("a", 0, "user", "Me das 2 mufins de chocolate, gracias"), ("a", 1, "user", "El pago va por Nequi")]
     transcripts = SS.transcripts(msgs_frame(spark, rows), "orders")
 
     def model(text):
@@ -134,3 +134,37 @@ def test_pluggable_extractor_end_to_end(spark):
     items = O.items_table(ex).collect()
     assert [(i.product_name, i.variant, i.quantity) for i in items] == [("Muffin", "Chocolate", 2)]
     assert O.orders_table(O.with_order_date(ex, SS.session_last_date(msgs_frame(spark, rows))), F.current_timestamp()).collect()[0].total == 45000
+
+
+def orders_of(spark, *texts):
+    return EX.extract_orders(msgs_frame(spark, [(f"c{i}", 0, "user", t) for i, t in enumerate(texts)])).orderBy("conversation_id").collect()
+
+
+def test_any_sign_of_an_order_is_one(spark):
+    got = orders_of(spark, "Quiero hacer un encargo", "Van 2 cajas de muffins y 1 de brownies", "El pago va por Nequi, mi barrio es Belén", "Envíame la carta", "Cancela lo que hablamos")
+    assert [r.has_order for r in got] == [True, True, True, False, False]
+
+
+def test_one_huge_quantity_stops_nobody(spark):
+    got = orders_of(spark, "Quiero 99999999999999999999 arepas", "Quiero 2 arepas")
+    assert [json.loads(r.response)["order"]["products"][0]["quantity_units"] for r in got] == [None, 2]
+
+
+def test_each_mention_has_its_own_variant_and_quantity(spark):
+    rows = [("a", 0, "user", "Van 2 arepas de maduro y queso y 1 arepa de yuca y queso y 3 de brownies")]
+    m = EX.product_mentions(EX.message_features(msgs_frame(spark, rows))).orderBy("pos").collect()
+    assert [(r.name, r.variant, r.quantity) for r in m] == [("Arepa", "Maduro y Queso", 2), ("Arepa", "Yuca y Queso", 1), ("Brownie", None, 3)]
+
+
+def test_odd_result_values(spark):
+    from chatledger.functions import text as X
+    from chatledger.operators import orders as O
+
+    products = ['{"name":"A","quantity_units":1e30,"unit_price":null,"unit_price_approx":5}', '{"name":"B","quantity_units":"NaN","unit_price":7,"unit_price_approx":5}', '{"name":"C","quantity_units":2}']
+    body = '{"conversation_id":"c","order":{"order_type":"confirmed","products":[' + ",".join(products) + "]}}"
+    res = spark.createDataFrame([("s", "c", "x", body, None)], EX.RESULT_SCHEMA)
+    items = {r.product_name: r for r in O.items_table(O.exported_orders(O.parse_results(res))).collect()}
+    assert [items[n].quantity for n in "ABC"] == [None, None, 2]
+    assert [items[n].unit_price for n in "AB"] == [5, 7]
+    texts = spark.createDataFrame([("45d",), ("NaN",), ("inf",), ("$1.500,5",), ("1e3",)], "t string")
+    assert [r.n for r in texts.select(X.money_text_to_number("t").alias("n")).collect()] == [None, None, None, 1500.5, 1000.0]

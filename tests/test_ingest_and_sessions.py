@@ -3,6 +3,9 @@
 import random
 from datetime import datetime, timedelta
 
+import os
+import time
+
 from pyspark.sql import functions as F
 
 from chatledger.operators import messages as M
@@ -55,8 +58,11 @@ def test_incremental_ingest(spark, tmp_path):
     q.awaitTermination(120)
     s1 = spark.read.parquet(f"{out}/sessions").filter(F.col("conversation_id") == "WhatsApp - Ana")
     assert sorted(r.session_id for r in s1.collect()) == ["WhatsApp - Ana__s1", "WhatsApp - Ana__s2"]
-    # a new file; an already-read name is never read again
+    # a new file, however old its date; an already-read name is never read again
     write(raw, "WhatsApp - Bob.csv", [row(chat="WhatsApp - Bob", contact="", sent="2024-02-01 10:00:00", text="b1")])
+    then = time.time() - 400 * 86400
+    os.utime(raw / "WhatsApp - Bob.csv", (then, then))
+    write(raw, "WhatsApp - Cleo.csv", [])
     q = ingest.start(spark, str(raw), out, ckpt)
     q.awaitTermination(120)
     sess = spark.read.parquet(f"{out}/sessions")

@@ -53,7 +53,7 @@ def test_upsert_items_keeps_product_id_and_skips_blank(spark):
 
 def test_dedupe_last_wins(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "id string, seq int, v string")
-    out = {r.id: r.v for r in MT.dedupe_last(df, "id", "seq").collect()}
+    out = {r.id: r.v for r in MT.dedupe_last(df, "id", ["seq"]).collect()}
     assert out == {"a": "y", "b": "z"}
 
 

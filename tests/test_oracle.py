@@ -6,6 +6,7 @@ Mirrors the driver's gate: same column names, same row count, same multiset of v
 import datetime as dt
 import decimal
 import json
+import re
 
 import duckdb
 import pytest
@@ -45,7 +46,9 @@ def duck():
 
 def test_every_query_has_an_oracle_or_is_listed():
     rows_only = {"dialogue_sales", "dialogue_replies", "bot_orders", "bot_items"}
-    missing = set(queries()) - set(ORACLE) - rows_only
+    # The training-data queries are tested against brute force in tests of their own.
+    own = {k for k in queries() if re.match(r"op\d+_|pipeline$", k)}
+    missing = set(queries()) - own - set(ORACLE) - rows_only
     assert not missing, missing
 
 
