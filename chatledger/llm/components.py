@@ -51,11 +51,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         # Large star: every larger neighbour of a node hangs on the node's smallest neighbour.
         both = stars.union(stars.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
+        # Written, like what else is joined here: Spark splits a skewed key only between plain exchanges.
+        least = materialize(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m")))
         large = stars.withColumnRenamed("v", "w").join(least.withColumnRenamed("v", "u"), "u").select(F.col("w").alias("v"), F.col("m").alias("u"))
-        large = _distinct(large)
+        large = materialize(_distinct(large))
         # Small star: every smaller neighbour of a node, and the node, hang on the smallest of them.
-        down = large.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n"))
+        down = materialize(large.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")))
         moved = large.join(down.where("n > 1").select("v", "m"), "v").where("u != m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         after = materialize(_distinct(down.select("v", F.col("m").alias("u")).union(moved)))
         # Settled: each node hangs on one smaller node that hangs on none.
