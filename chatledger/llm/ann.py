@@ -25,7 +25,7 @@ NEIGHBOURS = 10
 TREES = 12
 SAMPLE = 32768
 LEAF = 64  # sample rows in a leaf
-SHARE = 0.6  # of the sample that a query's leaves hold, over all trees
+SHARE = 0.8  # of the sample that a query's leaves hold, over all trees
 LEAST_VISITED = 4096  # sample rows visited at least
 BLOCK = 512
 

@@ -21,7 +21,7 @@ from chatledger.llm.common import group_bounds, materialize, prepare, whole_grou
 from chatledger.llm.components import connected_components, star_edges
 
 PIVOTS = 512  # bound of the sample that the driver gets
-NEAREST = 6
+NEAREST = 7
 SHARED = 2
 COSINE = 0.95
 CELL_ROWS = 512
