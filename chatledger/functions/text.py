@@ -147,6 +147,11 @@ def product_button_id(name, variant) -> Column:
     return F.concat(F.lower(col_(name)), F.lit("_"), F.replace(F.lower(v), F.lit(" "), F.lit("_")))
 
 
+def short_code(order_id) -> Column:
+    """Short code of an order in its confirmation: the first 8 characters of its id."""
+    return F.substring(col_(order_id), 1, 8)
+
+
 def thousands(n) -> Column:
     """Python ``f'{n:,}'`` for integers."""
     return F.format_number(col_(n).cast("bigint"), 0)

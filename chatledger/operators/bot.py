@@ -65,7 +65,7 @@ def sale_summary(name: Column, is_new: Column, phone: Column, lines: Column, tot
         F.lit("\n📱 <b>Tel:</b> "),
         F.coalesce(phone, F.lit("None")),
     )
-    money = F.concat(F.lit("💰 <b>Total:</b> $"), X.thousands(total), F.lit(" COP"))
+    money = F.concat(F.lit("💰 <b>Total:</b> $"), F.coalesce(X.thousands(total), F.lit("None")), F.lit(" COP"))
     return F.concat(F.lit("📦 <b>Confirmar venta:</b>\n\n"), client, F.lit("\n\n"), cart_text(lines), F.lit("\n\n"), money)
 
 

@@ -268,20 +268,23 @@ def extract_faq(msgs: DataFrame) -> DataFrame:
 # A5 and P12 over FAQ results
 # ---------------------------------------------------------------------------
 def faq_frequency(faq_results: DataFrame) -> DataFrame:
+    """``pair_frequency`` of the ``faqs`` arrays of extraction results."""
+    ex = faq_results.select("session_id", F.posexplode("faqs").alias("pos", "q"))
+    return pair_frequency(ex.select("session_id", "pos", "q.pregunta", "q.respuesta", "q.categoria"))
+
+
+def pair_frequency(pairs: DataFrame) -> DataFrame:
     """Questions grouped by lower(strip(question)); first seen (session, position) keeps its
-    text, answer and category (default 'otro'); ordered by frequency then first seen."""
-    ex = faq_results.select("session_id", F.posexplode("faqs").alias("i", "q"))
-    ex = ex.select(
-        "session_id",
-        "i",
-        F.col("q.pregunta").alias("pregunta"),
-        F.col("q.respuesta").alias("respuesta"),
-        F.coalesce(F.col("q.categoria"), F.lit(S.FAQ_DEFAULT_CATEGORY)).alias("categoria"),
-    ).withColumn("_key", F.lower(X.strip(F.coalesce("pregunta", F.lit("")))))
+    text, answer and category (default 'otro'); ordered by frequency then first seen.
+
+    ``pairs`` are rows as ``faq_pairs`` gives them, so no array per session is built.
+    """
+    ex = pairs.withColumn("categoria", F.coalesce(F.col("categoria"), F.lit(S.FAQ_DEFAULT_CATEGORY)))
+    ex = ex.withColumn("_key", F.lower(X.strip(F.coalesce("pregunta", F.lit("")))))
     g = ex.filter(F.col("_key") != "").groupBy("_key").agg(
         F.count(F.lit(1)).alias("frecuencia"),
-        F.min_by(F.struct("pregunta", "respuesta", "categoria"), F.struct("session_id", "i")).alias("_first"),
-        F.min(F.struct("session_id", "i")).alias("_seen"),
+        F.min_by(F.struct("pregunta", "respuesta", "categoria"), F.struct("session_id", "pos")).alias("_first"),
+        F.min(F.struct("session_id", "pos")).alias("_seen"),
     )
     return g.orderBy(F.col("frecuencia").desc(), F.col("_seen")).select(
         "_first.pregunta", "_first.respuesta", "_first.categoria", "frecuencia"

@@ -100,10 +100,15 @@ def normalise(raw: DataFrame, ts_format: str = DEFAULT_TS_FORMAT) -> DataFrame:
 
 
 def normalise_summary(msgs: DataFrame) -> DataFrame:
-    """Files, messages, conversations and sessions after normalisation (one row)."""
-    return msgs.agg(
+    """Files, messages, conversations and sessions after normalisation (one row).
+
+    Rows are counted per (file, conversation, session) first, so the distinct counts expand a
+    few rows per session instead of every message.
+    """
+    per = msgs.groupBy("file_path", "conversation_id", "session_id").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(
         F.countDistinct("file_path").alias("files"),
-        F.count(F.lit(1)).alias("messages"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("messages"),
         F.countDistinct("conversation_id").alias("conversations"),
         F.countDistinct("session_id").alias("sessions"),
     )

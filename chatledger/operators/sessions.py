@@ -108,3 +108,12 @@ def first_n(records: DataFrame, n: int | None) -> DataFrame:
     """Records in file order; ``n`` falsy (None or 0) means all of them."""
     ordered = records.orderBy("conversation_id", "session_id")
     return ordered.limit(n) if n else ordered
+
+
+def first_records(msgs: DataFrame, n: int | None) -> DataFrame:
+    """``first_n`` of the session records of ``msgs``: the sessions are chosen by their scalar
+    keys, and only the messages of those are nested."""
+    if n:
+        chosen = exportable(msgs).select("conversation_id", "session_id").distinct().orderBy("conversation_id", "session_id").limit(n)
+        msgs = msgs.join(chosen, ["conversation_id", "session_id"], "left_semi")
+    return first_n(session_records(msgs), n)

@@ -869,7 +869,7 @@ sql(
           || CASE WHEN o.client_id IS NULL THEN ' (nuevo)' ELSE '' END
           || chr(10) || '📱 <b>Tel:</b> ' || coalesce(c.phone, 'None') || chr(10) || chr(10)
           || CASE WHEN l.body IS NOT NULL THEN '🛒 <b>Productos:</b>' || chr(10) || l.body ELSE '🛒 <b>Carrito vacío</b>' END
-          || chr(10) || chr(10) || '💰 <b>Total:</b> $' || format('{{:,}}', CAST(trunc(o.total) AS BIGINT)) || ' COP' AS summary
-        FROM mo o LEFT JOIN mc c ON o.client_id = c.id LEFT JOIN lines l ON o.id = l.order_id
-        WHERE o.total IS NOT NULL""",
+          || chr(10) || chr(10) || '💰 <b>Total:</b> $' || coalesce(format('{{:,}}', CAST(trunc(o.total) AS BIGINT)), 'None') || ' COP' AS summary
+        FROM mo o LEFT JOIN mc c ON o.client_id = c.id LEFT JOIN lines l ON o.id = l.order_id""",
 )
+sql("order_short_code", f"{W} SELECT id, left(id, 8) AS short_code FROM mo")

@@ -147,7 +147,7 @@ SESSIONS_FIRST_N = 5
 
 @query("sessions_first_n")
 def q_sessions_first_n(spark, sf):
-    rec = SS.first_n(SS.session_records(_msgs(spark, sf)), SESSIONS_FIRST_N)
+    rec = SS.first_records(_msgs(spark, sf), SESSIONS_FIRST_N)
     return rec.select("conversation_id", "session_id", "client_id", F.size("messages").cast("bigint").alias("n_messages"))
 
 
@@ -424,7 +424,7 @@ def q_extract_faq_rules(spark, sf):
 
 @query("faq_frequency")
 def q_faq_frequency(spark, sf):
-    return EX.faq_frequency(EX.extract_faq(_msgs(spark, sf)))
+    return EX.pair_frequency(EX.faq_pairs(_feats(spark, sf)))
 
 
 @query("sales_detected")
@@ -497,7 +497,7 @@ def q_sale_summary_text(spark, sf):
             F.collect_list(F.struct("id", "quantity", "product_name", "variant"))
         ).alias("_l")
     )
-    o = A.mart_orders(spark, sf).filter(F.col("total").isNotNull())
+    o = A.mart_orders(spark, sf)
     c = A.mart_clients(spark, sf).select(F.col("id").alias("_cid"), F.col("name").alias("_cn"), F.col("phone").alias("_cp"))
     j = o.join(c, o["client_id"] == c["_cid"], "left").join(lines, o["id"] == lines["order_id"], "left")
     cart = F.transform(
@@ -509,6 +509,11 @@ def q_sale_summary_text(spark, sf):
     )
 
 
+@query("order_short_code")
+def q_order_short_code(spark, sf):
+    return A.mart_orders(spark, sf).select("id", X.short_code("id").alias("short_code"))
+
+
 def _dialogue(spark, sf):
     prepared = B.prepare_updates(A.bot_updates(spark, sf), A.mart_clients(spark, sf), A.allowed_chats(spark, sf))
     return B.replay(prepared)
