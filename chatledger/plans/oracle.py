@@ -873,3 +873,123 @@ sql(
         FROM mo o LEFT JOIN mc c ON o.client_id = c.id LEFT JOIN lines l ON o.id = l.order_id""",
 )
 sql("order_short_code", f"{W} SELECT id, left(id, 8) AS short_code FROM mo")
+
+
+# ---------------------------------------------------------------------------
+# Sale dialogue: one update of every chat per step of the recursion
+# ---------------------------------------------------------------------------
+def _dialogue_sql() -> dict[str, str]:
+    from chatledger import schemas as S
+
+    buttons = lst([f"prod_{n.lower()}_{(v or '').lower().replace(' ', '_')}" for n, v in S.CATALOGUE])
+    names, variants = lst(_NAMES), lst(_VARIANTS)
+    qty = lst([f"cant_{n}" for n in range(1, 11)])
+    line = "STRUCT(name VARCHAR, variant VARCHAR, cantidad BIGINT)"
+    sale = f"STRUCT(telefono VARCHAR, nombre VARCHAR, client_id VARCHAR, es_nuevo BOOLEAN, productos {line}[], total BIGINT)"
+    bare = "replace(replace(replace(replace(text, '$', ''), '.', ''), ',', ''), ' ', '')"
+    dialogue = f"""WITH RECURSIVE {MART},
+      ev AS (SELECT event_id AS e, user_id AS u, event_type AS t, value AS v, ts FROM events),
+      script AS (SELECT *, unnest(range(8)) AS i FROM ev WHERE t = 'purchase' AND e % 3 <> 0),
+      raw AS (
+        SELECT e * 8 AS update_id, u AS chat_id, ts,
+          CASE WHEN t = 'signup' AND v < 8 THEN '/venta' WHEN t = 'signup' THEN '+57 300 ' || lpad(CAST(u AS VARCHAR), 7, '0')
+               WHEN t = 'view' AND v < 3 THEN '123' WHEN t = 'view' AND v > 250 THEN 'A' WHEN t = 'view' THEN 'Cliente ' || u
+               WHEN t = 'error' AND v < 60 AND e % 7 = 0 THEN 'abc' WHEN t = 'error' AND v < 60 THEN '$66.000' END AS text,
+          CASE WHEN t = 'purchase' AND e % 4 = 0 THEN 'prod_finalizar' WHEN t = 'purchase' AND e % 17 = 0 THEN 'prod_desconocido'
+               WHEN t = 'purchase' THEN {buttons}[e % {len(_NAMES)} + 1]
+               WHEN t = 'click' AND e % 13 = 0 THEN 'cant_cancelar' WHEN t = 'click' THEN 'cant_' || (1 + e % 10)
+               WHEN t = 'error' AND v >= 60 AND e % 5 = 0 THEN 'confirm_no' WHEN t = 'error' AND v >= 60 THEN 'confirm_si' END AS data
+        FROM ev WHERE NOT (t = 'purchase' AND e % 3 <> 0)
+        UNION ALL
+        SELECT e * 8 + i, u, ts,
+          CASE i WHEN 0 THEN '/venta'
+            WHEN 1 THEN CASE WHEN e % 37 = 0 THEN '12' ELSE '+57 300 ' || lpad(CAST(CASE WHEN e % 5 = 0 THEN u + 5000000 ELSE u END AS VARCHAR), 7, '0') END
+            WHEN 2 THEN CASE WHEN e % 31 = 0 THEN 'A' ELSE 'Cliente ' || e END
+            WHEN 6 THEN CASE WHEN e % 23 = 0 THEN 'abc' WHEN e % 29 = 0 THEN '99999999999' ELSE '$' || (20 + e % 900) || '.000' END END,
+          CASE i WHEN 3 THEN {buttons}[e % {len(_NAMES)} + 1]
+            WHEN 4 THEN CASE WHEN e % 19 = 0 THEN 'cant_3000000000' ELSE 'cant_' || (1 + e % 10) END
+            WHEN 5 THEN 'prod_finalizar' WHEN 7 THEN CASE WHEN e % 11 = 0 THEN 'confirm_no' ELSE 'confirm_si' END END
+        FROM script),
+      one AS (
+        SELECT regexp_replace(phone, '[^0-9]', '', 'g') AS k, arg_min({{'id': id, 'name': name}}, (created_at, id)) AS c
+        FROM mc WHERE phone IS NOT NULL GROUP BY 1),
+      upd AS MATERIALIZED (
+        SELECT r.update_id, r.chat_id, r.ts, r.data, coalesce(r.text, '') AS text, regexp_replace(coalesce(r.text, ''), '[^0-9]', '', 'g') AS digits,
+          CASE WHEN r.data IS NOT NULL THEN 'callback' WHEN r.text IS NOT NULL THEN 'message' END AS kind,
+          r.chat_id % 10 <> 9 AS allowed, one.c.id AS found_id, one.c.name AS found_name,
+          row_number() OVER (PARTITION BY r.chat_id ORDER BY r.update_id) AS rn
+        FROM raw r LEFT JOIN one ON regexp_replace(r.text, '[^0-9]', '', 'g') = one.k),
+      d AS (
+        SELECT DISTINCT chat_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS update_id, 'idle' AS st, CAST(NULL AS VARCHAR) AS tel,
+          CAST(NULL AS VARCHAR) AS nombre, CAST(NULL AS VARCHAR) AS client_id, false AS es_nuevo, CAST([] AS {line}[]) AS cart,
+          CAST(NULL AS VARCHAR) AS picked, CAST(NULL AS BIGINT) AS total, CAST(NULL AS VARCHAR) AS reply, CAST(NULL AS {sale}) AS sale
+        FROM upd
+        UNION ALL
+        SELECT chat_id, rn, update_id,
+          CASE WHEN reply = 'ask_phone' THEN 'esperando_telefono' WHEN fresh THEN 'idle'
+            WHEN reply IN ('client_found', 'ask_products', 'added') OR (reply = 'error' AND known_qty) THEN 'seleccionando_productos'
+            WHEN reply = 'new_client' THEN 'esperando_nombre' WHEN reply = 'summary' THEN 'confirmacion'
+            WHEN reply = 'ask_total' THEN 'esperando_total' WHEN reply = 'ask_quantity' THEN 'seleccionando_cantidad' ELSE st END,
+          CASE WHEN fresh THEN NULL WHEN reply IN ('client_found', 'new_client') THEN digits ELSE tel END,
+          CASE WHEN fresh THEN NULL WHEN reply = 'client_found' THEN found_name WHEN reply = 'ask_products' AND kind = 'message' THEN text ELSE nombre END,
+          CASE WHEN fresh THEN NULL WHEN reply = 'client_found' THEN found_id ELSE client_id END,
+          CASE WHEN fresh OR reply = 'client_found' THEN false WHEN reply = 'new_client' THEN true ELSE es_nuevo END,
+          CASE WHEN fresh THEN CAST([] AS {line}[])
+            WHEN reply = 'added' THEN list_append(cart, CAST(row({names}[list_position({buttons}, picked)], {variants}[list_position({buttons}, picked)], CAST(substr(data, 6) AS BIGINT)) AS {line})) ELSE cart END,
+          CASE WHEN fresh OR reply = 'added' OR (reply = 'ask_products' AND kind = 'callback') THEN NULL WHEN reply = 'ask_quantity' THEN data ELSE picked END,
+          CASE WHEN fresh THEN NULL WHEN reply = 'summary' THEN typed ELSE total END,
+          reply,
+          CASE WHEN reply = 'sale_saved' THEN CAST(row(tel, nombre, client_id, es_nuevo, cart, total) AS {sale}) END
+        FROM (
+          SELECT *, reply IN ('ask_phone', 'welcome', 'cancelled', 'sale_saved', 'sale_rejected', 'sale_cancelled') AS fresh
+          FROM (
+            SELECT *,
+              CASE
+                WHEN kind = 'callback' AND NOT allowed THEN 'unauthorised'
+                WHEN kind = 'callback' AND data = 'prod_finalizar' THEN CASE WHEN len(cart) = 0 THEN 'cart_empty' ELSE 'ask_total' END
+                WHEN kind = 'callback' AND starts_with(data, 'prod_') THEN CASE WHEN list_contains({buttons}, data) THEN 'ask_quantity' ELSE 'ignored' END
+                WHEN kind = 'callback' AND data = 'cant_cancelar' THEN 'ask_products'
+                WHEN kind = 'callback' AND starts_with(data, 'cant_') THEN CASE WHEN known_qty AND picked IS NOT NULL THEN 'added' ELSE 'error' END
+                WHEN kind = 'callback' AND data = 'confirm_si' THEN CASE WHEN st = 'confirmacion' THEN 'sale_saved' ELSE 'sale_rejected' END
+                WHEN kind = 'callback' AND starts_with(data, 'confirm_') THEN 'sale_cancelled'
+                WHEN kind = 'callback' THEN 'ack'
+                WHEN kind IS NULL OR text = '' THEN 'ignored'
+                WHEN NOT allowed THEN 'unauthorised'
+                WHEN text = '/start' THEN 'welcome' WHEN text = '/cancelar' THEN 'cancelled' WHEN text = '/venta' THEN 'ask_phone'
+                WHEN text = '/id' THEN 'your_id' WHEN text IN ('/ayuda', '/help') THEN 'help'
+                WHEN st = 'esperando_telefono' THEN CASE WHEN length(digits) < 7 THEN 'bad_phone' WHEN found_id IS NOT NULL THEN 'client_found' ELSE 'new_client' END
+                WHEN st = 'esperando_nombre' THEN CASE WHEN length(text) < 2 THEN 'short_name' ELSE 'ask_products' END
+                WHEN st = 'esperando_total' THEN CASE WHEN typed > 0 THEN 'summary' ELSE 'bad_total' END
+                ELSE 'hint' END AS reply
+            FROM (
+              SELECT d.chat_id, u.rn, u.update_id, d.st, d.tel, d.nombre, d.client_id, d.es_nuevo, d.cart, d.picked, d.total,
+                u.kind, u.text, u.data, u.digits, u.allowed, u.found_id, u.found_name,
+                coalesce(list_contains({qty}, u.data), false) AS known_qty,
+                CASE WHEN regexp_full_match({bare}, '[+-]?[0-9]+') THEN TRY_CAST({bare} AS BIGINT) END AS typed
+              FROM d JOIN upd u ON u.chat_id = d.chat_id AND u.rn = d.rn + 1) j) r) f),
+      sales AS (
+        SELECT d.chat_id, d.update_id, upd.ts, d.sale.telefono AS telefono, d.sale.nombre AS nombre, d.sale.client_id AS client_id,
+          d.sale.es_nuevo AS es_nuevo, d.sale.productos AS productos, d.sale.total AS total
+        FROM d JOIN upd ON d.update_id = upd.update_id WHERE d.sale IS NOT NULL),
+      rows_ AS (
+        SELECT *, {uuid("'bot-order:' || chat_id || ':' || update_id")} AS order_id,
+          CASE WHEN es_nuevo THEN {uuid("'client:telegram_' || telefono")} ELSE client_id END AS client
+        FROM sales WHERE total < 10000000000)"""
+    return {
+        "dialogue_replies": f"{dialogue} SELECT reply, st AS state, count(*) AS n FROM d WHERE rn > 0 GROUP BY reply, st",
+        "dialogue_sales": f"{dialogue} SELECT chat_id, update_id, telefono, nombre, client_id, es_nuevo, CAST(len(productos) AS BIGINT) AS lines, total FROM sales",
+        "bot_orders": f"""{dialogue} SELECT order_id AS id, client AS client_id, strftime(ts, '%Y-%m-%d') AS order_date, CAST(total AS DOUBLE) AS total,
+            'pending' AS status, CAST(NULL AS VARCHAR) AS source_session_id FROM rows_""",
+        "bot_items": f"""{dialogue} SELECT {uuid("'bot-item:' || chat_id || ':' || update_id || ':' || (n - 1)")} AS id, order_id,
+            (SELECT min(mp.id) FROM mp WHERE mp.name = l.name AND mp.variant IS NOT DISTINCT FROM l.variant) AS product_id,
+            l.name AS product_name, l.variant AS variant, l.cantidad AS quantity, 'caja' AS unit
+          FROM (SELECT *, unnest(productos) AS l, unnest(range(1, len(productos) + 1)) AS n FROM rows_)""",
+        "bot_clients": f"""{dialogue} SELECT client AS id, r.phone AS phone, r.name AS name, r.source_client_id AS source_client_id
+          FROM (SELECT client, arg_max({{'phone': telefono, 'name': nombre, 'source_client_id': 'telegram_' || telefono}}, (update_id, chat_id)) AS r
+                FROM rows_ WHERE es_nuevo GROUP BY client)""",
+        "bot_sale_rejects": f"{dialogue} SELECT chat_id, update_id, telefono, total FROM sales WHERE total >= 10000000000",
+    }
+
+
+for _k, _v in _dialogue_sql().items():
+    sql(_k, _v)

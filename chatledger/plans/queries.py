@@ -546,3 +546,14 @@ def q_bot_orders(spark, sf):
 @query("bot_items")
 def q_bot_items(spark, sf):
     return _bot_rows(spark, sf)["order_items"]
+
+
+@query("bot_clients")
+def q_bot_clients(spark, sf):
+    return _bot_rows(spark, sf)["clients"]
+
+
+@query("bot_sale_rejects")
+def q_bot_sale_rejects(spark, sf):
+    """Sales whose total the order table cannot hold."""
+    return _bot_rows(spark, sf)["rejects"].select("chat_id", "update_id", "telefono", "total")
