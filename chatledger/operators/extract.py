@@ -315,6 +315,9 @@ RESULT_SCHEMA = T.StructType(
 )
 
 
+FAQ_CONCURRENCY = 10
+
+
 class RateLimited(Exception):
     """Raise from an extractor to request a retry with back-off."""
 
@@ -368,3 +371,28 @@ def run_extractor(
     ship_package(transcripts.sparkSession)
     cols = transcripts.select("session_id", "conversation_id", "client_id", "transcript")
     return cols.mapInPandas(run, RESULT_SCHEMA)
+
+
+def run_faq_extractor(transcripts: DataFrame, extractor: Callable[[str], str], concurrency: int = FAQ_CONCURRENCY) -> DataFrame:
+    """``run_extractor`` for the FAQ contract: no retries; a failed session has the empty result
+    (no faqs, no sale, no client) with its error, in ``response`` as in ``error``."""
+    out = run_extractor(transcripts, extractor, concurrency=concurrency, max_retries=1, retry_on_rate_limit=False)
+    empty = F.to_json(
+        F.struct(
+            F.array().cast("array<string>").alias("faqs"),
+            F.lit(None).cast("string").alias("venta"),
+            F.lit(None).cast("string").alias("cliente"),
+            F.col("error").alias("error"),
+        ),
+        {"ignoreNullFields": "false"},
+    )
+    return out.withColumn("response", F.coalesce("response", empty))
+
+
+def dry_run(transcripts: DataFrame) -> tuple[int, str | None]:
+    """What an extraction would process: the number of sessions, and the first one's transcript.
+
+    No extractor is called; the driver gets two values."""
+    first = F.min_by("transcript", F.struct("conversation_id", "session_id"))
+    r = transcripts.agg(F.count(F.lit(1)).alias("n"), first.alias("t")).first()
+    return r["n"], r["t"]

@@ -33,16 +33,18 @@ def write_messages(msgs: DataFrame, path: str, fmt: str = "parquet", mode: str =
 
 
 def write_sessions(records: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K3: one JSON object per session, UTF-8, NULL fields written explicitly."""
+    """K3: one JSON object per session, UTF-8, NULL fields written explicitly, in order of
+    conversation and session (as text): part files follow each other in that order (L2)."""
+    records = records.orderBy("conversation_id", "session_id")
     records.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def write_results(results: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4: extractor results as JSON lines (the response object plus metadata keys)."""
-    line = F.when(
-        F.col("result").isNotNull(),
-        F.to_json(F.col("result")),
-    ).otherwise(F.to_json(F.struct(F.col("error").alias("error"))))
+    """K4: extractor results as JSON lines (the response object plus metadata keys).  A response
+    that is no object becomes an error line."""
+    is_object = F.coalesce(F.schema_of_variant("result").startswith("OBJECT"), F.lit(False))
+    error = F.when(F.col("result").isNotNull(), F.coalesce("error", F.lit("response is not an object"))).otherwise(F.col("error"))
+    line = F.when(is_object, F.to_json(F.col("result"))).otherwise(F.to_json(F.struct(error.alias("error"))))
     meta = F.to_json(
         F.struct(
             F.col("session_id").alias("_session_id"),

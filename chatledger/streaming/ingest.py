@@ -2,9 +2,10 @@
 
 New chat files in a folder are picked up by name (the checkpoint is the ledger of files
 already read).  Each micro-batch cleans its rows (stage 1 without sessions) into a ledger
-partitioned by (bucket, batch), then recomputes 24-hour sessions only for the buckets of
-conversations it touched, replacing those bucket partitions of the sessions table
-(dynamic partition overwrite).  Both writes are idempotent on replay.
+partitioned by (bucket, batch), then recomputes 24-hour sessions of the conversations it touched:
+their buckets are the only partitions read, and they are semi-joined within them.  The result is
+the batch's own partition of the sessions table, and ``read_sessions`` takes each conversation from
+the latest batch that has it.  Both writes are idempotent on replay.
 """
 
 from __future__ import annotations
@@ -20,8 +21,7 @@ from chatledger.operators import messages as M
 from chatledger.sources.chat_csv import CSV_GLOB, field_count, is_chat_file
 
 FOREVER = "36500d"
-BUCKETS = 256  # sessions are recomputed per touched bucket; more buckets, less rework per batch
-BATCH_SHIFT = 2**42  # file_row = batch * 2^42 + per-batch increasing id
+BUCKETS = 256  # more buckets, less of the ledger read per batch
 
 
 def bucket_of(conversation_id, buckets: int = BUCKETS) -> F.Column:
@@ -59,7 +59,8 @@ def start(
             *S.RAW_CHAT_COLUMNS,
             name.alias("filename"),
             X.decoded_file_name(F.col("_fpath")).alias("file_path"),
-            (F.lit(batch_id).cast("bigint") * F.lit(BATCH_SHIFT) + F.monotonically_increasing_id()).alias("file_row"),
+            # orders by batch, then by the row's place in it
+            F.struct(F.lit(batch_id).cast("bigint").alias("batch"), F.monotonically_increasing_id().alias("row")).alias("file_row"),
         )
         clean = M.assign_ids_and_roles(M.clean_messages(raw, ts_format))
         clean = clean.withColumn("bucket", bucket_of(F.col("conversation_id"), buckets)).withColumn("batch", F.lit(batch_id))
@@ -68,9 +69,21 @@ def start(
         if not touched:
             return
         ledger = spark_.read.parquet(f"{out_dir}/messages").filter(F.col("bucket").isin(touched))
-        sess = M.sessionize(ledger.drop("batch"))
-        sess.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{out_dir}/sessions")
+        # A replayed batch must not see batches after it.
+        ledger = ledger.filter(F.col("batch") <= batch_id)
+        fresh = ledger.filter(F.col("batch") == batch_id).select("conversation_id").distinct()
+        sess = M.sessionize(ledger.drop("batch").join(fresh, "conversation_id", "left_semi"))
+        sess.write.mode("overwrite").parquet(f"{out_dir}/sessions/batch={batch_id}")
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
+
+
+def read_sessions(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The current sessions: every conversation as the latest batch that touched it has it.
+
+    The latest batch per conversation is a partial aggregation; only its rows go through the join."""
+    sess = spark.read.parquet(f"{out_dir}/sessions")
+    latest = sess.groupBy("conversation_id").agg(F.max("batch").alias("batch"))
+    return sess.join(latest, ["conversation_id", "batch"], "left_semi").drop("batch")

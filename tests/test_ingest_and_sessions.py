@@ -56,7 +56,7 @@ def test_incremental_ingest(spark, tmp_path):
     write(raw, "notas.txt", [row(text="ignored")])
     q = ingest.start(spark, str(raw), out, ckpt)
     q.awaitTermination(120)
-    s1 = spark.read.parquet(f"{out}/sessions").filter(F.col("conversation_id") == "WhatsApp - Ana")
+    s1 = ingest.read_sessions(spark, out).filter(F.col("conversation_id") == "WhatsApp - Ana")
     assert sorted(r.session_id for r in s1.collect()) == ["WhatsApp - Ana__s1", "WhatsApp - Ana__s2"]
     # a new file, however old its date; an already-read name is never read again
     write(raw, "WhatsApp - Bob.csv", [row(chat="WhatsApp - Bob", contact="", sent="2024-02-01 10:00:00", text="b1")])
@@ -65,7 +65,9 @@ def test_incremental_ingest(spark, tmp_path):
     write(raw, "WhatsApp - Cleo.csv", [])
     q = ingest.start(spark, str(raw), out, ckpt)
     q.awaitTermination(120)
-    sess = spark.read.parquet(f"{out}/sessions")
+    sess = ingest.read_sessions(spark, out)
+    # the second batch wrote the conversation that it touched, and no other
+    assert {r.conversation_id for r in spark.read.parquet(f"{out}/sessions").where("batch = 1").collect()} == {"WhatsApp - Bob"}
     assert {r.conversation_id for r in sess.collect()} == {"WhatsApp - Ana", "WhatsApp - Bob"}
     assert sess.count() == 3
     msgs = spark.read.parquet(f"{out}/messages")
