@@ -275,7 +275,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 )
 
     found = materialize(rows.mapInArrow(find, "dk bigint, t bigint, t2 bigint, g bigint, c1 bigint, c2 bigint, lo int, size int, left int"))
-    seen_again = found.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
+    # Small sides of joins are written: Spark splits a hot key's partition only between plain exchanges.
+    seen_again = materialize(found.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g"))
     repeated = found.join(seen_again, "g", "left_semi")
     key = ["g", "c1", "c2", "left"]
     # Grouped by one struct: by its parts, Spark would aggregate where the join has put a gram, hot or not.
@@ -285,7 +286,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # A context seen twice: all its windows repeat, from the first (distance left) to the last.
     whole = classes.where("n > 1").select(*key, (length - (F.col("rep.size") - F.col("left"))).alias("d1"), F.col("left").alias("d2"))
 
-    groups = classes.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    groups = materialize(classes.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
     wanted = classes.join(groups, "g").select("rep.dk", "rep.t", "rep.t2", F.struct("rep.lo", "rep.size", *key, "m").alias("a"))
     by_doc = wanted.groupBy("dk", "t", "t2").agg(F.collect_list("a").alias("list"))  # as many as a text has anchors
 
@@ -332,7 +333,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 )
 
     each = contexts.where(F.col("m") > max_group).select(*key, "ctx").dropDuplicates(key).mapInArrow(windows, "g bigint, c1 bigint, c2 bigint, left int, d int, w1 bigint, w2 bigint")
-    again = each.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
+    again = materialize(each.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2"))
     many = each.join(again, ["w1", "w2"], "left_semi").select(*key, F.col("d").alias("d1"), F.col("d").alias("d2"))
 
     shared = materialize(whole.unionByName(few).unionByName(many).groupBy(*key).agg(F.collect_set(F.struct("d1", "d2")).alias("ds")))
@@ -365,7 +366,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if not 0 < gram <= length:
         raise ValueError("gram must be from 1 to length")
-    repeats = find_repeats(docs, id_col, text_col, length, gram, max_group)
+    repeats = materialize(find_repeats(docs, id_col, text_col, length, gram, max_group))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.cast("binary").alias("data"), *_text_key(text))
     joined = rows.join(repeats, ["t", "t2"], "left").select("id", "data", "ivs")
