@@ -10,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatledger.llm.common import blocks_of
+from chatledger.llm.common import blocks_of, materialize
 
 
 def into_cells(rows: DataFrame, key: str, row_id: str, size: int) -> DataFrame:
     """``rows`` of groups of at least two, with ``cell`` (hash of key and pair of blocks) and ``side``:
     0 and 1 are rows of the cell's two blocks, 2 rows of a cell of one block."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # Written: Spark splits a hot key's partition only between plain exchanges.
+    counts = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
     dealt = rows.join(counts, key).withColumn("_k", blocks_of(F.col("_n"), size)).withColumn("_b", F.pmod(F.xxhash64(F.lit("block"), row_id), F.col("_k")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_o")
     side = F.when(F.col("_o") == F.col("_b"), 2).when(F.col("_b") < F.col("_o"), 0).otherwise(1).cast("int")

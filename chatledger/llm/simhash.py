@@ -179,7 +179,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = rows.groupBy("fp").agg(F.min("id").alias("least"))
     links = connected_components(link_fingerprints(nodes.select("fp"), budget)).select(F.col("node").alias("fp"), F.col("component").alias("root"))
     by_fp = nodes.join(links, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = by_fp.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written, so that the join can split a large component.
+    least = materialize(by_fp.groupBy("root").agg(F.min("least").alias("component_id")))
     of = by_fp.select("fp", "root").join(least, "root").select("fp", "component_id")
     return rows.join(of, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
