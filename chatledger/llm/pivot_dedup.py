@@ -154,7 +154,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     comps = connected_components(links.select(F.col("c").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("c"), F.col("component").alias("root"))
     counted = links.groupBy("c").agg(F.sum("links").alias("links"))
     known = classes.select("c", "n", "least").join(counted, "c", "left").join(comps, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    least = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written, so that the join can split a large component.
+    least = materialize(known.groupBy("root").agg(F.min("least").alias("component_id")))
     of = known.join(least, "root").select("c", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     out = keyed.select("id", F.when(F.col("v").isNotNull(), F.col("c")).alias("c")).join(of, "c", "left")
     component = F.coalesce("component_id", "id")
