@@ -48,6 +48,23 @@ def test_pivot_links_are_all_found_with_few_pivots(spark):
     assert {i: got[i].component_id for i in range(len(x))} == want
 
 
+@pytest.mark.parametrize("median", [0.94, 0.96, 0.9996])
+def test_links_in_a_near_copy_group_of_a_third(spark, median):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:1000] = x[0] * np.sqrt(median) + x[:1000] * np.sqrt(1 - median)
+    x[1000:1100] = x[1100:1200] + rng.normal(size=(100, 64)) * 0.02
+    x = x.astype(np.float32)
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.95).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], KIND)
+    got = {r.vec_id: r.n_links for r in pivot_dedup.near_duplicate_vectors(df).collect()}
+    assert [got[i] for i in range(1000)] == want[:1000].tolist()
+    assert all(got[i] <= want[i] for i in got) and sum(got.values()) >= 0.99 * want.sum()
+
+
 @pytest.mark.parametrize("block", [7, 512])
 def test_whole_search_is_exact(spark, block):
     x = clustered(3)
