@@ -1,12 +1,13 @@
 """Approximate nearest neighbours: a forest of random-projection trees.
 
-The trees are fitted on a bounded sample (``SAMPLE`` rows); every row is indexed in one leaf of each
+Equal vectors are one class with the smallest of its ids, as many as an answer can hold.  The trees are
+fitted on a bounded sample of the classes (``SAMPLE``); every class is indexed in one leaf of each
 tree.  A query goes down all trees through one shared priority queue, ordered by the margin to the
-planes crossed, and visits leaves until they hold ``share`` of the sample (counted over all trees).
+planes crossed, and visits leaves until they hold ``share`` of the sample, each vector counted once.
 The candidates of the visited leaves are reranked by exact Euclidean distance in double precision.
 
-Leaves are dealt into blocks, and so are the queries that visit a leaf, so neither a popular leaf nor
-a group of equal vectors meets in one task; each task keeps a query's best only.
+Leaves are dealt into blocks, and so are the queries that visit a leaf, so a popular leaf does not meet
+in one task; each task keeps a query's best only.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ NEIGHBOURS = 10
 TREES = 12
 SAMPLE = 32768
 LEAF = 64  # sample rows in a leaf
-SHARE = 0.8  # of the sample that a query's leaves hold, over all trees
-LEAST_VISITED = 4096  # sample rows visited at least
+SHARE = 0.6  # of the sample that a query's leaves hold, a vector in leaves of several trees counted once
+LEAST_VISITED = 4096  # sample vectors visited at least
 BLOCK = 512
 
 
@@ -34,7 +35,7 @@ class Forest:
     """Trees in arrays: a node has a plane and two children; a child below zero is leaf ``-1 - child``."""
 
     def __init__(self, sample: np.ndarray, trees: int = TREES, leaf: int = LEAF, seed: int = 0) -> None:
-        self.planes, self.offsets, self.children, self.held = [], [], [], []
+        self.planes, self.offsets, self.children, self.held = [], [], [], []  # held: sample rows of each leaf
         rng = np.random.default_rng(seed)
         self.roots = [self._grow(sample, np.arange(len(sample)), leaf, rng) for _ in range(trees)]
         dim = sample.shape[1]
@@ -51,7 +52,7 @@ class Forest:
             split = self._split(x, rows, rng) if len(rows) > leaf else None
             if split is None:
                 parent[side] = -1 - len(self.held)
-                self.held.append(len(rows))
+                self.held.append(rows)
                 continue
             plane, offset, left = split
             parent[side] = len(self.planes)
@@ -89,11 +90,13 @@ class Forest:
         return out
 
     def visit(self, q: np.ndarray, budget: int) -> list[int]:
-        """Leaves by the shared priority queue, until they hold ``budget`` sample rows."""
+        """Leaves by the shared priority queue, until they hold ``budget`` different sample rows, or all."""
+        budget = min(budget, self.sample_rows)
         margins = (self.planes @ q - self.offsets).tolist() if len(self.planes) else []
         queue = [(0.0, root) for root in self.roots]
         heapq.heapify(queue)
         seen, out = 0, []
+        known = np.zeros(self.sample_rows, bool)
         while queue and seen < budget:
             cost, node = heapq.heappop(queue)
             while node >= 0:
@@ -102,7 +105,9 @@ class Forest:
                 heapq.heappush(queue, (max(cost, abs(m)), far))
                 node = near
             out.append(-1 - node)
-            seen += max(1, self.held[-1 - node])
+            rows = self.held[-1 - node]
+            seen += len(rows) - int(np.count_nonzero(known[rows]))
+            known[rows] = True
         return out
 
     @property
@@ -135,13 +140,23 @@ def _best(q: np.ndarray, ids: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
 
 
 def fit_forests(vectors: DataFrame, trees: int = TREES, sample: int = SAMPLE, leaf: int = LEAF) -> dict[int, Forest]:
-    """A forest per vector length; the driver gets ``sample`` rows (of the smallest hash per bucket) at most."""
-    pick = vectors.groupBy(F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(sample)).alias("b")).agg(F.min_by(F.struct("dim", "v"), F.xxhash64("id", "v")).alias("x"))
+    """A forest per vector length; the driver gets ``sample`` classes (of the smallest hash per bucket) at most."""
+    pick = vectors.groupBy(F.pmod(F.xxhash64(F.lit("sample"), "c"), F.lit(sample)).alias("b")).agg(F.min_by(F.struct("dim", "v"), F.struct("c", "c2")).alias("x"))
     rows = pick.select("b", "x.dim", F.col("x.v").alias("v")).toArrow().combine_chunks().sort_by("b")
     dims = rows.column("dim").to_numpy()
     return {d: Forest(matrix(rows.filter(pa.array(dims == d)).column("v")), trees, leaf) for d in sorted(set(dims.tolist()))}
 
 
+def vector_classes(rows: DataFrame, ids: int) -> DataFrame:
+    """c, c2, dim, v of each different vector of ``rows`` (id, dim, v), and ``own``: its ``ids`` smallest ids."""
+    keyed = rows.withColumns({"c": F.xxhash64("v"), "c2": F.hash("v")})
+    # The rank's limit holds before the shuffle too, so a vector of very many rows sends few of them.
+    rank = F.row_number().over(Window.partitionBy("c", "c2").orderBy("id")).alias("k")
+    least = keyed.select("c", "c2", "id").distinct().select("c", "c2", "id", rank).where(F.col("k") <= ids)
+    least = least.groupBy("c", "c2").agg(F.sort_array(F.collect_list("id")).alias("own"))
+    return materialize(keyed.groupBy("c", "c2").agg(F.first("dim").alias("dim"), F.first("v").alias("v")).join(least, ["c", "c2"]))
+
+
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = NEIGHBOURS, trees: int = TREES, share: float = SHARE, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest rows found for each query.
 
@@ -152,9 +167,13 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "ve
     prepare(vectors.sparkSession)
     flat = lambda df: df.where(usable(vector_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.size(vector_col).alias("dim"), F.col(vector_col).alias("v"))
     rows, asked = flat(vectors), flat(queries)
-    forests = fit_forests(rows, trees, sample)
+    # One id more than is asked for, as a query's own id is no candidate.
+    classes = vector_classes(rows, k + 1)
+    forests = fit_forests(classes, trees, sample)
+    classes = classes.select(F.get("own", F.lit(0)).alias("id"), "dim", "v", "own")
+    asked = asked.withColumn("own", F.array().cast("array<bigint>"))
     kind = rows.schema["v"].dataType.simpleString()
-    ddl = f"leaf bigint, id bigint, v {kind}"
+    ddl = f"leaf bigint, id bigint, v {kind}, own array<bigint>"
 
     def each(batches, choose):
         for batch in batches:
@@ -164,10 +183,10 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "ve
                 for d in np.unique(dims).tolist():
                     if d not in forests:
                         continue
-                    own = part.filter(pa.array(dims == d))
-                    leaf, at = choose(forests[d], matrix(own.column("v")))
+                    same = part.filter(pa.array(dims == d))
+                    leaf, at = choose(forests[d], matrix(same.column("v")))
                     take = pa.array(at)
-                    yield pa.RecordBatch.from_arrays([pa.array(leaf * 65536 + d), own.column("id").take(take), own.column("v").take(take)], names=["leaf", "id", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(leaf * 65536 + d), *(same.column(x).take(take) for x in ("id", "v", "own"))], names=["leaf", "id", "v", "own"])
 
     def place(batches):
         yield from each(batches, lambda f, v: (f.leaves(v).ravel(), np.repeat(np.arange(len(v)), len(f.roots))))
@@ -179,7 +198,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "ve
 
         yield from each(batches, choose)
 
-    index, visits = rows.mapInArrow(place, ddl), asked.mapInArrow(visit, ddl)
+    index, visits = classes.mapInArrow(place, ddl), asked.mapInArrow(visit, ddl)
     per_leaf = index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).join(visits.groupBy("leaf").agg(F.count(F.lit(1)).alias("m")), "leaf")
     per_leaf = materialize(per_leaf.select("leaf", blocks_of(F.col("n"), block).alias("ki"), blocks_of(F.col("m"), block).alias("kq")))
 
@@ -187,14 +206,16 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "ve
         spread = df.join(per_leaf, "leaf").withColumn("b", F.pmod(F.xxhash64(F.lit("block"), "id"), F.col(own)))
         spread = spread.withColumn("o", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         i, q = ("b", "o") if side == 0 else ("o", "b")
-        return spread.select(F.xxhash64("leaf", F.col(i).cast("int"), F.col(q).cast("int")).alias("cell"), F.lit(side).alias("side"), "id", "v")
+        return spread.select(F.xxhash64("leaf", F.col(i).cast("int"), F.col(q).cast("int")).alias("cell"), F.lit(side).alias("side"), "id", "v", "own")
 
     cells = dealt(index, 0, "ki", "kq").union(dealt(visits, 1, "kq", "ki"))
 
     def rerank(batches):
         for group in whole_groups(batches, "cell", 4096):
             cell, side, ids = (group.column(x).to_numpy() for x in ("cell", "side", "id"))
-            vec = group.column("v").combine_chunks()
+            vec, held = group.column("v").combine_chunks(), group.column("own").combine_chunks()
+            size = held.value_lengths().to_numpy()
+            start, held = np.cumsum(size) - size, held.flatten().to_numpy()
             bounds = group_bounds(cell)
             out = []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -203,14 +224,18 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "ve
                 if not len(i) or not len(q):
                     continue
                 v = matrix(vec.slice(a, b - a))
-                x, own = v[i], ids[a:b][i]
+                x, least, many, first = v[i], ids[a:b][i], size[a:b][i], start[a:b][i]
                 for j in q:
                     d = distances(x, v[j])
-                    d[own == ids[a + j]] = np.inf
+                    d[(least == ids[a + j]) & (many == 1)] = np.inf
                     # All that tie with the k-th stay until ids decide.
                     near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
-                    near = near[own[near] != ids[a + j]]
-                    out.append((np.full(len(near), ids[a + j]), own[near], d[near]))
+                    # The ids of these classes.
+                    n = many[near]
+                    own = held[np.repeat(first[near] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                    d = np.repeat(d[near], n)[own != ids[a + j]]
+                    own = own[own != ids[a + j]]
+                    out.append((np.full(len(own), ids[a + j]), own, d))
             if out:
                 q, c, d = (np.concatenate(x) for x in zip(*out, strict=True))
                 keep = _best(q, c, d, k)

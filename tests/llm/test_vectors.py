@@ -104,6 +104,25 @@ def test_recall_on_a_share_of_the_leaves(spark):
     assert total and hit / total >= 0.9
 
 
+def test_recall_beside_a_third_of_equal_vectors(spark):
+    # More different vectors than LEAST_VISITED decides on, so that the share does.
+    x = np.random.default_rng(1).normal(size=(12_000, 64)).astype(np.float32)
+    x[:4000] = x[0]
+    assert ann.SHARE * 8001 > ann.LEAST_VISITED
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], KIND)
+    got = {}
+    for r in ann.nearest_neighbours(df, df.where("vec_id = 7 or vec_id % 120 = 1 and vec_id > 4000")).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    assert [got[7][k] for k in range(1, 11)] == [0, 1, 2, 3, 4, 5, 6, 8, 9, 10]
+    del got[7]
+    y, hit = x.astype(np.float64), 0
+    for q, found in got.items():
+        d = ((y - y[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hit += len(set(np.argsort(d, kind="stable")[:10].tolist()) & set(found.values()))
+    assert len(got) > 60 and hit / (10 * len(got)) >= 0.9
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], KIND)
     assert pivot_dedup.near_duplicate_vectors(none).count() == 0
