@@ -3,7 +3,9 @@
 Kinds ``email ip card phone`` follow fixed patterns: leftmost, non-overlapping per kind, and a match
 that fails its check is dropped without a retry.  These spans are always reported.  The method adds
 spans of two further kinds: ``iban`` (mod-97) and ``phone_local``, a telephone number without a
-``+`` whose score reaches the threshold only beside a context word.
+``+`` whose score reaches the threshold only beside a context word.  An ``iban`` pattern that takes in
+the next word is cut to its country's length, or group by group where the country is not listed, and a
+candidate without a valid cut does not hide one that starts inside it.
 
 Whole texts are searched.  Null or empty texts give no spans.
 """
@@ -49,6 +51,20 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9.-])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 
+# Characters of an IBAN by country, from the public registry.
+_IBAN_LENGTHS = {
+    c: int(n)
+    for n, codes in (
+        x.split(":")
+        for x in (
+            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,CR,HR,LI,LV "
+            "22:BG,BH,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST "
+            "26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+        ).split()
+    )
+    for c in codes.split(",")
+}
+
 SPAN_TYPE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
 SPAN_DDL = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
@@ -68,6 +84,20 @@ def mod97(iban: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    pos = 0
+    while m := _IBAN.search(text, pos):
+        start, s = m.start(), m.group()
+        # Ends of the words of the match: where the pattern may also stop.
+        ends = [k for k in range(15, len(s) + 1) if k == len(s) or s[k] == " "]
+        length = _IBAN_LENGTHS.get(s[:2])
+        cuts = [k for k in ends if k - s[:k].count(" ") == length] + [len(s)] if length else ends[::-1]
+        end = next((k for k in cuts if mod97(s[:k])), None)
+        if end:
+            yield start, start + end
+        pos = start + (end or 1)
+
+
 def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
@@ -119,7 +149,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
         return []
     found = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     found += _numbers(text)
-    found += [("iban", *m.span()) for m in _IBAN.finditer(text) if mod97(m.group())]
+    found += [("iban", a, b) for a, b in _ibans(text)]
     base = [(a, b) for kind, a, b in found if kind in BASE_KINDS]
     out = []
     for kind, a, b in found:

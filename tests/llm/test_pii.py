@@ -58,6 +58,25 @@ def test_context_and_checksums():
     assert near[3] > far[3]
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("ES91 2100 0418 4502 0005 1332 EUR", ["ES91 2100 0418 4502 0005 1332"]),
+        ("BE68 5390 0754 7034 BIC KREDBEBB", ["BE68 5390 0754 7034"]),
+        ("AT61 1904 3002 3457 3201 BKAUATWW", ["AT61 1904 3002 3457 3201"]),
+        ("PL61 1090 1014 0000 0712 1981 2874 1000 PLN", ["PL61 1090 1014 0000 0712 1981 2874"]),
+        ("DE89 3704 0044 0532 0130 00 2024", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE89370400440532013000 EUR", ["DE89370400440532013000"]),
+        ("AB12 3456 7890 ES91 2100 0418 4502 0005 1332", ["ES91 2100 0418 4502 0005 1332"]),
+        ("BE68 5390 0754 7034 ES91 2100 0418 4502 0005 1332", ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332"]),
+        ("ES92 2100 0418 4502 0005 1332 EUR", []),
+    ],
+)
+def test_iban_before_another_word(text, want):
+    assert [text[a:b] for k, a, b, _ in pii.find_spans(text) if k == "iban"] == want
+    assert all(w not in pii.masked(text, pii.find_spans(text)) for w in want)
+
+
 def test_masking():
     text = "mail a@b.co, pay 4111 1111 1111 1111."
     assert pii.masked(text, pii.find_spans(text)) == "mail [EMAIL], pay [CARD]."
