@@ -4,7 +4,14 @@ The dictionaries come from a bounded sample of labelled rows: per language at mo
 documents (those of the smallest hash in as many buckets), ``SAMPLE_CHARS`` characters of each and
 ``DICTIONARY_BYTES`` bytes in all.  Whole texts are compressed, in lower case like the dictionaries.
 Sizes are code lengths: with the language's share of the labelled rows as its prior, ``score`` is the
-posterior of the best language, and a document whose margin is too narrow for ``MIN_SCORE`` is rejected.
+posterior of the best language, and a document whose score is below ``MIN_SCORE`` is rejected.  So is one
+whose smallest size is hardly below its rival, the next language or the text compressed without any
+dictionary: by less than ``MIN_BYTES``, or than ``MIN_MARGIN`` of the text's bytes (of ``MARGIN_BYTES`` at
+most, as a dictionary says little about what is far behind it).  No prior counts there.  A narrow text of
+up to ``SHORT_BYTES``, too short for a frame to save anything, is taken by its words instead, if the letters in
+whole words of one dictionary outnumber those of any other by ``WORD_MARGIN`` of all its letters.  Unlearnt
+scripts, ties and most noise go, and so do short texts without known words.  Where one language is learnt, the
+text without a dictionary is the only rival, and long texts of another script may pass.
 
 Null texts and texts without a letter are ``und`` with score 0 and rejected.  Ties go to the language
 with more labelled rows, then to the smaller value.  With no labelled row every document is ``und``.
@@ -29,7 +36,13 @@ DICTIONARY_BYTES = 1 << 17
 ALL_DICTIONARY_BYTES = 1 << 25
 LEVEL = 7
 MIN_SCORE = 0.5
+MIN_BYTES = 2
+MIN_MARGIN = 0.0005
+MARGIN_BYTES = 1 << 14
+SHORT_BYTES = 32
+WORD_MARGIN = 0.5
 UNDETERMINED = "und"
+_WORD = re.compile(r"[^\W\d_]+")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -57,6 +70,20 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return {lang: Language(" ".join(t for _, t, _ in sorted(by[lang])).lower().encode()[:limit], sum(n for _, _, n in by[lang])) for lang in sorted(by)}
 
 
+def narrow(sizes: list[int], without: int, length: int) -> bool:
+    """Whether the smallest of ``sizes`` is too near to the next, or to the size ``without`` a dictionary."""
+    best, *others = sorted(sizes)
+    return min([*others[:1], without]) - best < max(MIN_BYTES, MIN_MARGIN * min(length, MARGIN_BYTES))
+
+
+def by_words(text: str, known: list[set[str]]) -> int | None:
+    """Which of the ``known`` words cover the text, if those of one language do clearly."""
+    words = _WORD.findall(text)
+    held = [sum(len(w) for w in words if w in k) for k in known]
+    best, second = [*sorted(held, reverse=True), 0][:2]
+    return held.index(best) if best - second >= WORD_MARGIN * sum(map(len, words)) else None
+
+
 def classify(docs: DataFrame, languages: dict[str, Language], text_col: str = "text", level: int = LEVEL, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` with columns ``lang_pred``, ``score`` and ``rejected`` (replacing columns of these names)."""
     prepare(docs.sparkSession)
@@ -67,6 +94,8 @@ def classify(docs: DataFrame, languages: dict[str, Language], text_col: str = "t
 
     def run(batches):
         tools = []
+        known = [set(_WORD.findall(languages[name].dictionary.decode(errors="ignore"))) for name in names]
+        plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
         total = sum(x.rows for x in languages.values())
         for name in names:
             d = zstandard.ZstdCompressionDict(languages[name].dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -77,10 +106,18 @@ def classify(docs: DataFrame, languages: dict[str, Language], text_col: str = "t
             if not names or not text or not _LETTER.search(text):
                 return UNDETERMINED, 0.0, True
             data = text.lower().encode()
-            bits = [8 * len(tool.compress(data)) + prior for tool, prior in tools]
+            sizes = [len(tool.compress(data)) for tool, _ in tools]
+            bits = [8 * size + prior for size, (_, prior) in zip(sizes, tools, strict=True)]
             best = min(bits)
             score = 1 / sum(2.0 ** max(best - b, -1000.0) for b in bits)
-            return names[bits.index(best)], score, score < min_score
+            at = bits.index(best)
+            if narrow(sizes, len(plain.compress(data)), len(data)):
+                clear = by_words(text.lower(), known) if len(data) <= SHORT_BYTES else None
+                if clear is None:
+                    return names[at], score, True
+                at, score = clear, 1 / sum(2.0 ** max(bits[clear] - b, -1000.0) for b in bits)
+                return names[at], score, False
+            return names[at], score, score < min_score
 
         for batch in batches:
             for k in range(0, batch.num_rows, 512):

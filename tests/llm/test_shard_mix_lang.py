@@ -159,6 +159,39 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_unlearnt_scripts_noise_and_ties_are_rejected(spark):
+    import random
+
+    rng = random.Random(3)
+    docs = table(spark, SF_SMALL.replace("0.001", "0.01"), "documents").select("doc_id", "text", "lang")
+    russian = "вот как мы жили в старом доме у реки где всегда было тихо и светло зимой летом".split()
+    japanese = "今日は天気がとても良いので公園へ散歩に行きました友達と本を読みます"
+    texts = {
+        "unlearnt": [" ".join(rng.choices(russian, k=n)) for n in (5, 60, 600)] + ["".join(rng.choices(japanese, k=n)) for n in (20, 300, 5000)],
+        "noise": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz" + " " * (i % 2 * 5), k=n)) for n in (30, 400, 3000, 50_000) for i in range(100)],
+        "ties": ["a", "xq", "OK?"],
+    }
+    rows = spark.createDataFrame([(i, t, kind) for i, (kind, t) in enumerate((k, t) for k, ts in texts.items() for t in ts)], "doc_id bigint, text string, kind string")
+    learnt = langid.learn(docs)
+    found = defaultdict(list)
+    for r in langid.classify(rows, learnt).collect():
+        found[r.kind].append(r.rejected)
+    assert all(found["unlearnt"]) and all(found["ties"])
+    assert sum(found["noise"]) >= 0.97 * len(found["noise"])
+    # A tie of equal priors, and one language against none.
+    same = langid.Language(b"one dictionary for both", 5)
+    assert [r.rejected for r in langid.classify(rows, {"a": same, "b": same}).collect()] == [True] * rows.count()
+    only = langid.classify(rows.unionByName(docs.where("length(text) > 1000 and lang = 'en'").limit(20).select("doc_id", "text", F.lit("en").alias("kind"))), {"en": learnt["en"]}).collect()
+    assert not any(r.rejected for r in only if r.kind == "en")
+    assert all(r.rejected for r in only if r.kind == "unlearnt" and len(r.text) < 1000)
+    # Short texts go by their words.
+    short = spark.createDataFrame([(2, "Von.", "de")], docs.schema)
+    assert {(r.lang, r.lang_pred, r.rejected) for r in langid.classify(short, learnt).collect()} == {("de", "de", False)}
+    # Long texts of a learnt language stay.
+    long = docs.where("lang = 'fr'").agg(F.repeat(F.concat_ws(" ", F.collect_list("text")), 2).alias("text"))
+    assert [(r.lang_pred, r.rejected) for r in langid.classify(long, learnt).collect()] == [("fr", False)]
+
+
 def test_labels_of_held_out_rows_teach_nothing(spark):
     docs = table(spark, SF_SMALL, "documents").select("doc_id", "text", "lang")
     other = docs.withColumn("lang", F.when(langid.held_out(F.col("doc_id")), F.lit("zz")).otherwise(F.col("lang")))
