@@ -1,11 +1,13 @@
 """Incremental chat ingest.
 
-New chat files in a folder are picked up by name (the checkpoint is the ledger of files
-already read).  Each micro-batch cleans its rows (stage 1 without sessions) into a ledger
-partitioned by (bucket, batch), then recomputes 24-hour sessions of the conversations it touched:
-their buckets are the only partitions read, and they are semi-joined within them.  The result is
-the batch's own partition of the sessions table, and ``read_sessions`` takes each conversation from
-the latest batch that has it.  Both writes are idempotent on replay.
+New chat files in a folder are picked up by name (the checkpoint is the ledger of files already read).
+Each micro-batch writes its cleaned messages into a ledger partitioned by (bucket, batch), and carries on
+the state of the conversations that it touched: per hour the messages, first and last time, and the running
+count and session number at its start.  It reads no earlier message: summaries of hours merge, and the
+rows before a conversation's first new message give the numbers to go on from.  A message that comes late
+renumbers the hours after it, a row an hour.  Writes are idempotent on replay.
+
+``read_sessions`` ranks messages within their hour and adds the numbers of the hour's latest state.
 """
 
 from __future__ import annotations
@@ -65,25 +67,36 @@ def start(
         clean = M.assign_ids_and_roles(M.clean_messages(raw, ts_format))
         clean = clean.withColumn("bucket", bucket_of(F.col("conversation_id"), buckets)).withColumn("batch", F.lit(batch_id))
         clean.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(f"{out_dir}/messages")
-        touched = [r.bucket for r in clean.select("bucket").distinct().collect()]  # at most `buckets` values
+        fresh = spark_.read.schema(clean.schema).parquet(f"{out_dir}/messages").filter(F.col("batch") == batch_id)
+        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most `buckets` values
         if not touched:
             return
-        ledger = spark_.read.parquet(f"{out_dir}/messages").filter(F.col("bucket").isin(touched))
-        # A replayed batch must not see batches after it.
-        ledger = ledger.filter(F.col("batch") <= batch_id)
-        fresh = ledger.filter(F.col("batch") == batch_id).select("conversation_id").distinct()
-        sess = M.sessionize(ledger.drop("batch").join(fresh, "conversation_id", "left_semi"))
-        sess.write.mode("overwrite").parquet(f"{out_dir}/sessions/batch={batch_id}")
+        # A replayed batch must not see itself or batches after it.
+        state = _state(spark_, out_dir, (F.col("batch") < batch_id) & F.col("bucket").isin(touched))
+        new = M.continue_buckets(state, M.bucket_summary(fresh))
+        new = new.withColumns({"bucket": bucket_of(F.col("conversation_id"), buckets), "batch": F.lit(batch_id)})
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(f"{out_dir}/hours")
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
-def read_sessions(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The current sessions: every conversation as the latest batch that touched it has it.
+_HOURS = "conversation_id string, _bucket bigint, _n bigint, _first_us bigint, _last_us bigint, _offset bigint, _prev_last_us bigint, _session_no bigint, bucket int, batch bigint"
+
 
-    The latest batch per conversation is a partial aggregation; only its rows go through the join."""
-    sess = spark.read.parquet(f"{out_dir}/sessions")
-    latest = sess.groupBy("conversation_id").agg(F.max("batch").alias("batch"))
-    return sess.join(latest, ["conversation_id", "batch"], "left_semi").drop("batch")
+def _state(spark: SparkSession, out_dir: str, which: F.Column) -> DataFrame:
+    """Each hour of each conversation as the latest batch has it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/hours")
+    if not path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+        return spark.createDataFrame([], _HOURS).select(*M.BUCKET_STATE)
+    hours = spark.read.schema(_HOURS).parquet(f"{out_dir}/hours").filter(which)
+    rest = [c for c in M.BUCKET_STATE if c not in ("conversation_id", "_bucket")]
+    latest = hours.groupBy("conversation_id", "_bucket").agg(F.max_by(F.struct(*rest), "batch").alias("s"))
+    return latest.select("conversation_id", "_bucket", "s.*")
+
+
+def read_sessions(spark: SparkSession, out_dir: str) -> DataFrame:
+    """All messages so far with index, gap and session: the messages of the ledger by the latest state of their hours."""
+    msgs = spark.read.parquet(f"{out_dir}/messages").drop("bucket", "batch")
+    return M.place_messages(msgs, _state(spark, out_dir, F.lit(True)))
