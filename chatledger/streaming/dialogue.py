@@ -2,9 +2,10 @@
 
 updates (JSON files) -> authorised / client lookup (stream-static joins) ->
 groupBy(chat).applyInPandasWithState(step) -> foreachBatch: replies and completed sales.
-Each micro-batch writes into folders named by its batch id with overwrite, so a batch
-replayed after a failure rewrites the same files instead of appending twice; ids of
-orders and items derive from (chat, update).
+Each micro-batch is one version of the tables under ``out_dir`` (``sources/versioned.py``): its replies, new
+clients, orders, items and rejected sales become visible together or not at all, and a batch replayed after a
+failure changes nothing that is committed.  The lookup by phone reads the clients that earlier batches
+registered anew in each batch, beside the given ones.  Ids of orders and items derive from (chat, update).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from chatledger import schemas as S
 from chatledger.operators import bot as B
 from chatledger.session import ship_package
+from chatledger.sources import versioned as V
 from chatledger.streaming.ingest import FOREVER
 
 UPDATE_FILE_SCHEMA = T.StructType(list(S.UPDATE_SCHEMA.fields) + [T.StructField("ts", T.TimestampNTZType())])
@@ -31,6 +33,22 @@ def dialogue_outputs(prepared_stream: DataFrame) -> DataFrame:
     )
 
 
+REGISTERED = "id string, phone string, name string, source_client_id string"
+
+
+def known_clients(spark: SparkSession, out_dir: str, clients: DataFrame | None) -> DataFrame:
+    """The given clients and those registered so far, which come after any given one of the same phone."""
+    new = V.read_anew(spark, out_dir, "clients", REGISTERED).select("id", "phone", "name", F.lit("9999-12-31").cast("timestamp_ntz").alias("created_at"))
+    return new if clients is None else clients.select("id", "phone", "name", F.col("created_at").cast("timestamp_ntz").alias("created_at")).unionByName(new)
+
+
+def registered_clients(spark: SparkSession, out_dir: str) -> DataFrame:
+    """A row for each client that the stream registered: as its last sale as a new one has it."""
+    rows = V.read_table(spark, out_dir, "clients", REGISTERED)
+    last = F.max_by(F.struct("phone", "name", "source_client_id"), "version").alias("r")
+    return rows.groupBy("id").agg(last).select("id", "r.*")
+
+
 def start(
     spark: SparkSession,
     updates_dir: str,
@@ -45,15 +63,14 @@ def start(
     if allowed_chats is not None and allowed_chats.isEmpty():
         allowed_chats = None  # an empty list admits everybody
     stream = spark.readStream.schema(UPDATE_FILE_SCHEMA).option("maxFileAge", FOREVER).json(updates_dir)
-    outputs = dialogue_outputs(B.prepare_updates(stream, clients, allowed_chats))
+    outputs = dialogue_outputs(B.prepare_updates(stream, known_clients(spark, out_dir, clients), allowed_chats))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        batch.write.mode("overwrite").parquet(f"{out_dir}/replies/batch={batch_id}")
-        rows = B.sale_rows(B.completed_sales(batch), products)
-        for name, df in rows.items():
-            df.write.mode("overwrite").parquet(f"{out_dir}/{name}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            V.write_version(out_dir, batch_id, {"replies": batch} | B.sale_rows(B.completed_sales(batch), products))
+        finally:
+            batch.unpersist()
 
     w = outputs.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")

@@ -4,9 +4,11 @@ import json
 import time
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from chatledger.operators import bot as B
+from chatledger.sources import versioned as V
 from chatledger.streaming import dialogue as D
 
 
@@ -130,6 +132,64 @@ def test_batch_replay_equals_stream_with_restart(spark, tmp_path):
     assert [(i.product_name, i.variant, i.quantity) for i in items] == [("Waffle", "Yuca y Queso", 4)] * 2
 
 
+def sale_updates(first_id, chat, phone, name=None):
+    """A whole sale: with a name where the phone is expected to be new."""
+    texts = ["/venta", phone, *([name] if name else [])]
+    rows = [{"message": {"message_id": 1, "chat": {"id": chat}, "text": t}} for t in texts]
+    rows += [{"callback_query": {"id": "1", "data": d, "message": {"message_id": 1, "chat": {"id": chat}}}} for d in ("prod_waffle_yuca_y_queso", "cant_2", "prod_finalizar")]
+    rows += [{"message": {"message_id": 1, "chat": {"id": chat}, "text": "9000"}}]
+    rows += [{"callback_query": {"id": "1", "data": "confirm_si", "message": {"message_id": 1, "chat": {"id": chat}}}}]
+    return [{"update_id": first_id + i} | r for i, r in enumerate(rows)]
+
+
+def test_a_client_registered_by_one_batch_is_found_by_the_next(spark, tmp_path):
+    base, out, ckpt = tmp_path / "updates", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    base.mkdir()
+    given = spark.createDataFrame([("g1", "+57 3110000000", "Given", None)], "id string, phone string, name string, created_at timestamp_ntz")
+    (base / "a.json").write_text("\n".join(json.dumps(u) for u in sale_updates(0, 1, "3001112233", "Ana")))
+    query = D.start(spark, str(base), out, ckpt, clients=given, available_now=False)
+    try:
+        query.processAllAvailable()
+        # the same running query: its static side is read anew in each batch
+        second = sale_updates(100, 2, "300 111 2233") + sale_updates(200, 3, "573110000000")
+        (base / "b.json").write_text("\n".join(json.dumps(u) for u in second))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    replies = V.read_table(spark, out, "replies", B.OUTPUT_SCHEMA).collect()
+    assert {r.chat_id for r in replies if r.reply == "new_client"} == {1}
+    assert {r.chat_id for r in replies if r.reply == "client_found"} == {2, 3}
+    assert {r.chat_id for r in replies if r.reply == "sale_saved"} == {1, 2, 3}
+    clients = D.registered_clients(spark, out).collect()
+    assert [(c.name, c.phone) for c in clients] == [("Ana", "3001112233")]
+    orders = spark.read.parquet(f"{out}/orders").collect()
+    assert sorted(o.client_id for o in orders) == sorted([clients[0].id, clients[0].id, "g1"])
+
+
+def test_a_version_is_seen_whole_or_not_at_all(spark, tmp_path):
+    root = str(tmp_path / "mart")
+    good = spark.createDataFrame([(1, "a")], "id int, name string")
+    bad = good.withColumn("name", F.raise_error(F.lit("no space left")).cast("string"))
+    assert V.write_version(root, 0, {"clients": good, "orders": good, "order_items": good})
+    for name in ("orders", "order_items"):  # a failure after the first or the second table
+        tables = {"clients": good, "orders": good, "order_items": good} | {name: bad}
+        with pytest.raises(Exception, match="no space left"):
+            V.write_version(root, 1, tables)
+        assert V.committed(spark, root) == [0]
+        for table in tables:
+            assert [r.version for r in V.read_table(spark, root, table, good.schema).collect()] == [0]
+            assert V.read_anew(spark, root, table, good.schema).count() == 1
+    anew = V.read_anew(spark, root, "orders", good.schema)
+    assert anew.count() == 1
+    more = spark.createDataFrame([(2, "b"), (3, None)], good.schema)
+    assert V.write_version(root, 1, {"clients": good, "orders": more, "order_items": good})
+    assert not V.write_version(root, 1, {"clients": bad, "orders": bad, "order_items": bad})  # replayed: nothing is written
+    assert sorted(anew.collect()) == [(1, "a"), (2, "b"), (3, None)]
+    assert V.read_table(spark, root, "orders", good.schema).count() == 3
+    assert V.read_table(spark, str(tmp_path / "none"), "orders", good.schema).collect() == []
+    assert V.read_anew(spark, str(tmp_path / "none"), "orders", good.schema).collect() == []
+
+
 def test_odd_quantities_and_totals_are_errors():
     st = B.initial_state() | {"state": "seleccionando_cantidad", "actual": ["Waffle", None]}
     for data in ("cant_3000000000", "cant_0", "cant_11", "cant_x", "cant_\u0663"):
