@@ -1,17 +1,16 @@
 """Language ID by compression: the language whose raw-content zstandard dictionary makes the text smallest.
 
 The dictionaries come from a bounded sample of labelled rows: per language at most ``SAMPLE_DOCS``
-documents (those of the smallest hash in as many buckets), ``SAMPLE_CHARS`` characters of each and
-``DICTIONARY_BYTES`` bytes in all.  Whole texts are compressed, in lower case like the dictionaries.
-Sizes are code lengths: with the language's share of the labelled rows as its prior, ``score`` is the
-posterior of the best language, and a document whose score is below ``MIN_SCORE`` is rejected.  So is one
-whose smallest size is hardly below its rival, the next language or the text compressed without any
-dictionary: by less than ``MIN_BYTES``, or than ``MIN_MARGIN`` of the text's bytes (of ``MARGIN_BYTES`` at
-most, as a dictionary says little about what is far behind it).  No prior counts there.  A narrow text of
-up to ``SHORT_BYTES``, too short for a frame to save anything, is taken by its words instead, if the letters in
-whole words of one dictionary outnumber those of any other by ``WORD_MARGIN`` of all its letters.  Unlearnt
-scripts, ties and most noise go, and so do short texts without known words.  Where one language is learnt, the
-text without a dictionary is the only rival, and long texts of another script may pass.
+documents (those of the smallest hash in as many buckets), ``SAMPLE_CHARS`` characters of each, from a place
+set by the id's hash, and ``DICTIONARY_BYTES`` bytes in all.  Whole texts are compressed, in lower case like the
+dictionaries.  Sizes are code lengths: with the language's share of the labelled rows as its prior, ``score``
+is the posterior of the best language, and a document whose score is below ``MIN_SCORE`` is rejected.  A text is
+narrow if its smallest size is hardly below its rival, the next language or the text compressed without any
+dictionary: by less than ``MIN_BYTES`` and a share of the square root of its bytes.  No prior counts there.
+A narrow text is taken by its words, if the letters in whole words of one dictionary outnumber those of any
+other by ``WORD_MARGIN`` of all its letters, and else rejected.  Unlearnt scripts, ties and most noise go, and so
+do short texts without known words.  Where one language is learnt, the text without a dictionary is the only
+rival, and long texts of another script may pass.  Letters are those of Unicode's letter classes.
 
 Null texts and texts without a letter are ``und`` with score 0 and rejected.  Ties go to the language
 with more labelled rows, then to the smaller value.  With no labelled row every document is ``und``.
@@ -20,10 +19,10 @@ with more labelled rows, then to the smaller value.  With no labelled row every
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +36,11 @@ ALL_DICTIONARY_BYTES = 1 << 25
 LEVEL = 7
 MIN_SCORE = 0.5
 MIN_BYTES = 2
-MIN_MARGIN = 0.0005
-MARGIN_BYTES = 1 << 14
-SHORT_BYTES = 32
+MIN_MARGIN = 0.03
 WORD_MARGIN = 0.5
 UNDETERMINED = "und"
-_WORD = re.compile(r"[^\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = regex.compile(r"\p{L}+")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(id_col: Column) -> Column:
@@ -60,7 +57,9 @@ class Language:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, Language]:
     """Dictionary and count per language.  The driver gets at most ``sample_docs`` pieces of ``SAMPLE_CHARS`` a language."""
     labelled = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}") & ~held_out(F.col("i")))
-    piece = F.struct(F.xxhash64(F.col("i").cast("string")).alias("h"), F.substring("t", 1, SAMPLE_CHARS).alias("t"))
+    places = F.greatest(F.lit(1), F.char_length("t") - SAMPLE_CHARS + 1)
+    start = F.pmod(F.xxhash64(F.lit("place"), F.col("i").cast("string")), places.cast("bigint")).cast("int") + 1
+    piece = F.struct(F.xxhash64(F.col("i").cast("string")).alias("h"), F.substring("t", start, F.lit(SAMPLE_CHARS)).alias("t"))
     bucket = F.pmod(F.xxhash64(F.lit("bucket"), F.col("i").cast("string")), F.lit(sample_docs))
     rows = labelled.select("l", bucket.alias("b"), piece.alias("p")).groupBy("l", "b").agg(F.min("p").alias("p"), F.count(F.lit(1)).alias("n")).select("l", "p.h", "p.t", "n").collect()
     by: dict[str, list] = {}
@@ -73,7 +72,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def narrow(sizes: list[int], without: int, length: int) -> bool:
     """Whether the smallest of ``sizes`` is too near to the next, or to the size ``without`` a dictionary."""
     best, *others = sorted(sizes)
-    return min([*others[:1], without]) - best < max(MIN_BYTES, MIN_MARGIN * min(length, MARGIN_BYTES))
+    return min([*others[:1], without]) - best < max(MIN_BYTES, MIN_MARGIN * math.sqrt(length))
 
 
 def by_words(text: str, known: list[set[str]]) -> int | None:
@@ -112,10 +111,10 @@ def classify(docs: DataFrame, languages: dict[str, Language], text_col: str = "t
             score = 1 / sum(2.0 ** max(best - b, -1000.0) for b in bits)
             at = bits.index(best)
             if narrow(sizes, len(plain.compress(data)), len(data)):
-                clear = by_words(text.lower(), known) if len(data) <= SHORT_BYTES else None
+                clear = by_words(text.lower(), known)
                 if clear is None:
                     return names[at], score, True
-                at, score = clear, 1 / sum(2.0 ** max(bits[clear] - b, -1000.0) for b in bits)
+                at, score = clear, 1 / sum(2.0 ** min(max(bits[clear] - b, -1000.0), 1000.0) for b in bits)
                 return names[at], score, False
             return names[at], score, score < min_score
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatledger.llm.common import WORD, materialize
+from chatledger.llm.common import WORD, least_row, materialize
 
 WEIGHTS = (5, 2, 1)  # by source in code point order, repeating
 SHARE = 1.5  # of all words
@@ -96,10 +96,15 @@ def pick_blocks(targets: DataFrame, total: int, shards: int = SHARDS) -> DataFra
     return each.select("s", "shard", epoch.alias("epoch"), permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.col("s"), epoch).alias("block"))
 
 
+def _source_hash(source_col: str) -> Column:
+    source = F.col(f"`{source_col}`").cast("string")
+    return F.xxhash64(source.isNull(), source)
+
+
 def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share, epochs, block) -> tuple[DataFrame, DataFrame, int]:
     """Rows (id, h, s, size, start) by place in their source, the targets, and the number of draws."""
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("bigint")
-    rows = materialize(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(source_col).cast("string").alias("source"), size.alias("size")))
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), _source_hash(source_col).alias("hs"), F.col(source_col).cast("string").alias("source"), size.alias("size")))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, share, epochs, block))
     total = targets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
@@ -110,7 +115,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weight
     before = held.withColumn("before", F.coalesce(F.sum("words").over(Window.partitionBy("s").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("s", "bin", "before")
     inner = F.coalesce(F.sum("size").over(Window.partitionBy("s", "bin").orderBy("k", "id", "size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = rows.withColumn("inner", inner).join(before, ["s", "bin"])
-    return placed.select("id", "h", "s", "source_size", "target", "size", (F.col("before") + F.col("inner")).alias("start")), targets, total
+    return placed.select("id", "h", "hs", "s", "source_size", "target", "size", (F.col("before") + F.col("inner")).alias("start")), targets, total
 
 
 def _pieces(placed: DataFrame, block: int) -> DataFrame:
@@ -136,23 +141,30 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str = "n_chars", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
-    """The mix as rows of ``docs``: for each epoch, the words of a document that are in blocks taken, in order.
+    """The mix as rows of ``docs``: for each place of a document and epoch, its words in blocks taken, in order.
 
     A document taken whole keeps its text; else its words are joined by single spaces.  Documents of which
-    nothing is taken do not appear.  Other columns are kept.
+    nothing is taken do not appear.  Other columns are kept.  Rows of equal id, text and source have a place
+    each in the mix, and the row of the smallest hash of its other columns stands for all of them.
     """
     placed, targets, total = _placed(docs, id_col, text_col, source_col, weights, share, epochs, block)
     picks = pick_blocks(targets, total, shards).select("s", "epoch", "block")
-    parts = _pieces(placed, block).join(picks, ["s", "block"]).groupBy("id", "h", "start", "epoch", "size").agg(F.sum("len").alias("words"), F.sort_array(F.collect_list(F.struct("lo", "len"))).alias("parts"))
-    k, h = "__llm_key", "__llm_hash"
-    parts = parts.select(F.xxhash64("id").alias(k), F.col("h").alias(h), F.col("parts").alias("__llm_parts"), (F.col("words") < F.col("size")).alias("__llm_cut"))
-    rows = docs.withColumns({k: F.xxhash64(id_col), h: F.xxhash64(text_col)}).dropDuplicates([k, h])
-    joined = rows.join(parts, [k, h])
-    words = F.regexp_extract_all(text_col, F.lit(f"({WORD})"))
-    some = F.array_join(F.flatten(F.transform("__llm_parts", lambda p: F.slice("__llm_words", (p.lo + 1).cast("int"), p.len.cast("int")))), " ")
-    joined = joined.withColumn("__llm_words", F.when(F.col("__llm_cut"), words))
-    text = F.when(F.col("__llm_cut"), some).otherwise(F.col(text_col))
-    out = joined.withColumn(text_col, text)
+    one = ["id", "h", "hs", "start", "epoch", "size"]
+    parts = _pieces(placed, block).join(picks, ["s", "block"]).groupBy(*one).agg(F.sum("len").alias("words"), F.sort_array(F.collect_list(F.struct("lo", "len"))).alias("parts"))
+    k, h, hs, row, times, words, time = (f"__llm_{n}" for n in ("key", "hash", "source", "row", "times", "words", "time"))
+    taken = F.struct((F.col("words") < F.col("size")).alias("cut"), "parts")
+    parts = parts.groupBy(F.xxhash64("id").alias(k), F.col("h").alias(h), F.col("hs").alias(hs)).agg(F.collect_list(taken).alias(times))
+    keyed = docs.withColumns({k: F.xxhash64(F.col(f"`{id_col}`")), h: F.xxhash64(F.col(f"`{text_col}`")), hs: _source_hash(source_col)})
+    joined = least_row(keyed, [k, h, hs], text_col, row).join(parts, [k, h, hs])
+    # The text is split once for all its places and epochs.
+    split = F.when(F.exists(times, lambda t: t.cut), F.regexp_extract_all(F.col(f"{row}.`{text_col}`"), F.lit(f"({WORD})")))
+    each = joined.withColumn(words, split).select(row, words, F.explode(times).alias(time))
+    some = F.array_join(F.flatten(F.transform(f"{time}.parts", lambda p: F.slice(words, (p.lo + 1).cast("int"), p.len.cast("int")))), " ")
+    cut = F.col(f"{time}.cut")
+    text = F.when(cut, some).otherwise(F.col(f"{row}.`{text_col}`"))
+    out = each.select(text.alias(words), cut.alias(time), row)
+    kept = {c: F.col(f"{row}.`{c}`") for c in docs.columns}
+    kept[text_col] = F.col(words)
     if length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(F.col("__llm_cut"), F.length(text_col).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)))
-    return out.select(*docs.columns)
+        kept[length_col] = F.when(F.col(time), F.length(words).cast(docs.schema[length_col].dataType)).otherwise(kept[length_col])
+    return out.select(*(c.alias(n) for n, c in kept.items()))

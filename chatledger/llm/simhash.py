@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatledger.llm.blocks import into_cells
-from chatledger.llm.common import group_bounds, materialize, prepare, whole_groups, with_fields
+from chatledger.llm.common import group_bounds, least_row, materialize, prepare, whole_groups, with_fields
 from chatledger.llm.components import connected_components, star_edges
 
 SHINGLE = 4
@@ -188,7 +188,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, budget: int = MAX_DISTANCE) -> DataFrame:
     """The rows of ``docs`` less all but one of each component: the one of the smallest id (a null id comes last).
 
-    Where rows share that id, the one of the smallest text hash stays; rows equal in both are one.
+    Where rows share that id, the one of the smallest text hash stays, and of rows equal in both that of the
+    smallest hash of the other columns.
     """
     # Names that no input column has.
     k, h = "__llm_key", "__llm_hash"
@@ -197,4 +198,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     first = keys.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "h", "k")).alias("x"))
     links = connected_components(link_fingerprints(first.select("fp"), budget)).select(F.col("node").alias("fp"), F.col("component").alias("root"))
     kept = first.join(links, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("x").alias("x")).select(F.col("x.k").alias(k), F.col("x.h").alias(h))
-    return rows.join(kept, [k, h], "left_semi").dropDuplicates([k, h]).select(*docs.columns)
+    return least_row(rows.join(kept, [k, h], "left_semi"), [k, h], text_col, "__llm_row").select(*(F.col(f"__llm_row.`{c}`").alias(c) for c in docs.columns))

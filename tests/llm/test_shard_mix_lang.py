@@ -132,6 +132,26 @@ def test_mix_of_odd_rows(odd_docs, no_docs, clashing):
     assert sorted(v for v in per.values() if v) == sorted(v for v in want.values() if v)
 
 
+def test_rows_of_one_id_and_text_keep_their_source(spark):
+    rows = [(1, words(9, 1), "A", 1), (1, words(9, 1), "B", 2), (1, words(9, 1), "B", 3), (2, words(30, 2), "A", 4), (3, words(12, 3), None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, note int")
+    want = Counter()
+    source_of = {}
+    for r in mixing.mix(docs, block=4).collect():
+        source_of[round(r.target, 6)] = r.source_size
+        want[r.source_size] += r.taken
+    size_of = {"A": 39, "B": 18, None: 12}
+    seen = []
+    for part in (docs, docs.orderBy(F.desc("note")).repartition(5)):
+        out = sorted(mixing.mixed_documents(part, block=4).collect(), key=str)
+        per = Counter()
+        for r in out:
+            per[size_of[r.source]] += len(WORD.findall(r.text))
+        assert {k: v for k, v in per.items() if v} == {k: v for k, v in want.items() if v}
+        seen.append(out)
+    assert seen[0] == seen[1]
+
+
 def test_mixed_documents_hold_the_words_taken(spark):
     docs = table(spark, SF_SMALL, "documents")
     taken = {r.doc_id: r.taken for r in mixing.mix(docs).collect()}
@@ -198,6 +218,61 @@ def test_labels_of_held_out_rows_teach_nothing(spark):
     assert langid.learn(docs) == langid.learn(other)
 
 
+def test_letters_are_unicode_letters(spark):
+    rows = [(1, "½ ²"), (2, "①② Ⅳ"), (3, "12_3 ٣"), (4, "é"), (5, "the ½")]
+    learnt = {"en": langid.Language(b"the and of to in that", 5)}
+    found = {r.doc_id: (r.lang_pred, r.rejected) for r in langid.classify(spark.createDataFrame(rows, "doc_id bigint, text string"), learnt).collect()}
+    assert [found[i] for i in (1, 2, 3)] == [("und", True)] * 3
+    assert found[4][0] == found[5][0] == "en"
+    odd = spark.createDataFrame([(i, "½ ²", "zz") for i in range(8)], "doc_id bigint, text string, lang string")
+    assert langid.learn(odd) == {}
+
+
+def test_a_shared_opening_does_not_fill_the_dictionary(spark):
+    opening = "licence text in another tongue " * 100
+    rows = [(i, opening + words(600, i), "xx") for i in range(60)]
+    learnt = langid.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))["xx"].dictionary.decode(errors="ignore")
+    assert len(learnt) > 50_000 and learnt.count("tongue") < 0.5 * 60 * 66
+
+
+def test_sizes_scores_and_rejections_against_plain(spark):
+    """Each text compressed by itself, costs and posterior by their definition."""
+    import math
+
+    import regex
+    import zstandard
+
+    docs = table(spark, SF_SMALL, "documents")
+    learnt = langid.learn(docs)
+    total = sum(x.rows for x in learnt.values())
+    names = sorted(learnt, key=lambda n: (-learnt[n].rows, n))
+    vocabulary = [set(regex.findall(r"\p{L}+", learnt[n].dictionary.decode(errors="ignore"))) for n in names]
+    held = []
+    for r in langid.classify(docs, learnt).collect():
+        if not r.text or not regex.search(r"\p{L}", r.text):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        data = r.text.lower().encode()
+        sizes = []
+        for n in names:
+            d = zstandard.ZstdCompressionDict(learnt[n].dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            sizes.append(len(zstandard.ZstdCompressor(level=7, dict_data=d, write_content_size=False, write_dict_id=False).compress(data)))
+        bare = len(zstandard.ZstdCompressor(level=7, write_content_size=False).compress(data))
+        cost = [8 * s - math.log2(learnt[n].rows / total) for s, n in zip(sizes, names, strict=True)]
+        post = [1 / sum(2.0 ** min(max(-1000.0, c - d), 1000.0) for d in cost) for c in cost]
+        best, rejected = min(range(len(names)), key=lambda i: (cost[i], i)), None
+        if min(sorted(sizes)[1], bare) - min(sizes) < max(2, 0.03 * math.sqrt(len(data))):
+            found = regex.findall(r"\p{L}+", r.text.lower())
+            cover = [sum(len(w) for w in found if w in v) for v in vocabulary]
+            clear = sorted(cover)[-1] - sorted(cover)[-2] >= 0.5 * sum(map(len, found))
+            best, rejected = (cover.index(max(cover)), False) if clear else (best, True)
+        rejected = post[best] < 0.5 if rejected is None else rejected
+        assert (r.lang_pred, r.rejected) == (names[best], rejected)
+        assert r.score == pytest.approx(post[best], abs=1e-9)
+        held.append(r.rejected)
+    assert len(held) > 150
+
+
 def test_language_of_odd_rows(odd_docs, no_docs, clashing):
     rows = langid.identify_language(odd_docs).collect()
     assert len(rows) == odd_docs.count()
