@@ -49,7 +49,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written as Parquet and read again."""
+    """All stages over ``documents``; each stage's rows are written as Parquet and read again.  Runs jobs while it is built."""
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
@@ -58,5 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-# Compression, suffixes of shared context and Viterbi paths are not SQL; tests hold each stage against a brute-force version.
+# Compression, bit distances over components and Viterbi paths are not SQL; tests/llm/test_pipeline.py holds the
+# stages against plain versions on a fixture.
 ORACLE_SQL = None
