@@ -151,20 +151,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     picks = pick_blocks(targets, total, shards).select("s", "epoch", "block")
     one = ["id", "h", "hs", "start", "epoch", "size"]
     parts = _pieces(placed, block).join(picks, ["s", "block"]).groupBy(*one).agg(F.sum("len").alias("words"), F.sort_array(F.collect_list(F.struct("lo", "len"))).alias("parts"))
-    k, h, hs, row, times, words, time = (f"__llm_{n}" for n in ("key", "hash", "source", "row", "times", "words", "time"))
+    k, h, hs, row, times, words = (f"__llm_{n}" for n in ("key", "hash", "source", "row", "times", "words"))
     taken = F.struct((F.col("words") < F.col("size")).alias("cut"), "parts")
     parts = parts.groupBy(F.xxhash64("id").alias(k), F.col("h").alias(h), F.col("hs").alias(hs)).agg(F.collect_list(taken).alias(times))
     keyed = docs.withColumns({k: F.xxhash64(F.col(f"`{id_col}`")), h: F.xxhash64(F.col(f"`{text_col}`")), hs: _source_hash(source_col)})
     joined = least_row(keyed, [k, h, hs], text_col, row).join(parts, [k, h, hs])
-    # The text is split once for all its places and epochs.
+    # The text is split once for all its places and epochs, and only the texts made from it leave the expression.
     split = F.when(F.exists(times, lambda t: t.cut), F.regexp_extract_all(F.col(f"{row}.`{text_col}`"), F.lit(f"({WORD})")))
-    each = joined.withColumn(words, split).select(row, words, F.explode(times).alias(time))
-    some = F.array_join(F.flatten(F.transform(f"{time}.parts", lambda p: F.slice(words, (p.lo + 1).cast("int"), p.len.cast("int")))), " ")
-    cut = F.col(f"{time}.cut")
-    text = F.when(cut, some).otherwise(F.col(f"{row}.`{text_col}`"))
-    out = each.select(text.alias(words), cut.alias(time), row)
+    some = lambda t, w: F.array_join(F.flatten(F.transform(t.parts, lambda p: F.slice(w, (p.lo + 1).cast("int"), p.len.cast("int")))), " ")
+    texts = F.transform(F.array(split), lambda w: F.transform(times, lambda t: F.when(t.cut, some(t, w))))[0]
+    out = joined.select(row, F.explode(texts).alias(words))
+    cut = F.col(words).isNotNull()
     kept = {c: F.col(f"{row}.`{c}`") for c in docs.columns}
-    kept[text_col] = F.col(words)
+    kept[text_col] = F.coalesce(F.col(words), kept[text_col])
     if length_col in docs.columns:
-        kept[length_col] = F.when(F.col(time), F.length(words).cast(docs.schema[length_col].dataType)).otherwise(kept[length_col])
+        kept[length_col] = F.when(cut, F.length(words).cast(docs.schema[length_col].dataType)).otherwise(kept[length_col])
     return out.select(*(c.alias(n) for n, c in kept.items()))
