@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from chatledger import schemas as S
 from chatledger.functions import rules as RU
 from chatledger.functions import text as X
+from chatledger.functions.dates import mentioned_date
 from chatledger.operators.messages import BUCKET_US
 from chatledger.operators.sessions import exportable
 from chatledger.session import ship_package
@@ -45,6 +46,7 @@ def message_features(msgs: DataFrame) -> DataFrame:
         RU.term(RU.CITY_TERMS, f).alias("city_term"),
         F.when(f.contains("total"), X.blank_to_null(F.regexp_extract("text", RU.AMOUNT, 1))).alias("amount_text"),
         X.blank_to_null(F.regexp_extract("text", RU.NAME_INTRO, 1)).alias("intro_name"),
+        mentioned_date(f, F.col("sent_at")).alias("named_date"),
     )
 
 
@@ -77,7 +79,7 @@ def _bucket(ts: str) -> Column:
 # F19 product mentions
 # ---------------------------------------------------------------------------
 def product_mentions(feats: DataFrame) -> DataFrame:
-    """One row per product mention: canonical name, catalogue variant, quantity."""
+    """One row per product mention: canonical name, catalogue variant, quantity, unit."""
     m = feats.select(
         "conversation_id",
         "session_id",
@@ -97,6 +99,7 @@ def product_mentions(feats: DataFrame) -> DataFrame:
         name.alias("name"),
         RU.resolve_variant(name, F.get("_between", F.col("pos") + 1)).alias("variant"),
         X.blank_to_null(F.regexp_extract("mention", "^([0-9]+)", 1)).try_cast("bigint").alias("quantity"),
+        X.blank_to_null(F.regexp_extract("mention", "^[0-9]+ (caja|paquete)", 1)).alias("unit"),
     )
 
 
@@ -119,6 +122,7 @@ def session_facts(feats: DataFrame) -> DataFrame:
         _first_by_index(F.col("city_term")).alias("city"),
         _first_by_index(F.when(F.col("delivery"), F.col("text"))).alias("address"),
         _first_by_index(F.col("amount_text")).alias("_amount"),
+        _first_by_index(F.col("named_date")).alias("order_date"),
         _first_by_index(F.when(F.col("role") == S.ROLE_USER, F.col("intro_name"))).alias("customer_name"),
     )
     c = {n: F.col(n) for n in SIGNAL_NAMES}
@@ -134,7 +138,8 @@ def session_facts(feats: DataFrame) -> DataFrame:
     return g.select(
         "*",
         order_type.alias("order_type"),
-        order_type.isin(*S.EXPORTED_ORDER_TYPES).alias("has_order"),
+        # any of the five conditions, whatever became of the order
+        (c["intent"] | c["product_qty"] | c["delivery"] | c["payment"] | c["followup"]).alias("has_order"),
         estado.alias("sale_state"),
         X.money_text_to_number(F.col("_amount")).alias("approx_total"),
         F.when(F.col("client_id").rlike(RU.PHONE_LIKE), F.col("client_id")).alias("customer_phone"),
@@ -178,7 +183,7 @@ def extract_orders(msgs: DataFrame) -> DataFrame:
     facts = session_facts(feats)
     prods = product_mentions(feats).groupBy("session_id").agg(
         F.array_sort(
-            F.collect_list(F.struct("message_index", "pos", "name", "variant", "quantity"))
+            F.collect_list(F.struct("message_index", "pos", "name", "variant", "quantity", "unit"))
         ).alias("_p")
     )
     j = facts.join(prods, "session_id", "left")
@@ -190,7 +195,7 @@ def extract_orders(msgs: DataFrame) -> DataFrame:
                 p["variant"].alias("variant"),
                 F.lit(None).cast("string").alias("presentation"),
                 p["quantity"].alias("quantity_units"),
-                F.lit(None).cast("string").alias("unit"),
+                p["unit"].alias("unit"),
                 F.lit(None).cast("double").alias("unit_price_approx"),
             ),
         ),
@@ -201,7 +206,7 @@ def extract_orders(msgs: DataFrame) -> DataFrame:
     order = F.struct(
         F.col("has_order"),
         F.col("order_type"),
-        F.lit(None).cast("string").alias("order_date"),
+        F.date_format("order_date", "yyyy-MM-dd").alias("order_date"),
         F.col("city"),
         F.col("address"),
         F.col("payment_method"),
@@ -219,6 +224,7 @@ def extract_orders(msgs: DataFrame) -> DataFrame:
         "client_id",
         "has_order",
         "order_type",
+        "order_date",
         "city",
         "address",
         "payment_method",

@@ -676,6 +676,32 @@ feats AS (
     nullif(regexp_extract(text, {q(RU.NAME_INTRO)}, 1), '') AS intro_name
   FROM feats0
 ),
+days AS (
+  SELECT session_id, message_index, CAST(sent_at AS DATE) AS base,
+    regexp_extract(regexp_replace(_f, '\\bla manana\\b', ' ', 'g'),
+      '\\bpasado manana\\b|\\bmanana\\b|\\bhoy\\b|\\b[0-9]{{1,2}} de (?:enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|setiembre|octubre|noviembre|diciembre)\\b(?: del? [0-9]{{4}}\\b)?|\\b[0-9]{{1,2}}[/-][0-9]{{1,2}}[/-][0-9]{{4}}\\b|\\bel [0-9]{{1,2}}/[0-9]{{1,2}}(?:/[0-9]{{4}})?\\b|\\b(?:el|este|proximo) (?:lunes|martes|miercoles|jueves|viernes|sabado|domingo)\\b') AS hit
+  FROM feats
+),
+days1 AS (
+  SELECT *, list_position(['lunes', 'martes', 'miercoles', 'jueves', 'viernes', 'sabado', 'domingo'], regexp_extract(hit, '[a-z]+$')) AS wd,
+    TRY_CAST(regexp_extract(hit, '^(?:el )?([0-9]+)', 1) AS INTEGER) AS dd,
+    coalesce(list_position(['enero', 'febrero', 'marzo', 'abril', 'mayo', 'junio', 'julio', 'agosto', 'septiembre', 'octubre', 'noviembre', 'diciembre'],
+      replace(regexp_extract(hit, ' de ([a-z]+)', 1), 'setiembre', 'septiembre')), TRY_CAST(regexp_extract(hit, '[0-9]+[/-]([0-9]+)', 1) AS INTEGER)) AS mm,
+    TRY_CAST(regexp_extract(hit, '[0-9]{{4}}$') AS INTEGER) AS yy
+  FROM days WHERE hit <> ''
+),
+days2 AS (
+  SELECT *, TRY_CAST(format('{{:04d}}-{{:02d}}-{{:02d}}', year(base), mm, dd) AS DATE) AS this,
+    TRY_CAST(format('{{:04d}}-{{:02d}}-{{:02d}}', year(base) + 1, mm, dd) AS DATE) AS following
+  FROM days1
+),
+named AS (
+  SELECT session_id, arg_min(d, message_index) AS order_date FROM (
+    SELECT session_id, message_index, CASE WHEN hit = 'hoy' THEN base WHEN hit = 'manana' THEN base + 1 WHEN hit = 'pasado manana' THEN base + 2
+      WHEN wd > 0 THEN base + CAST(1 + (wd - 1 - (isodow(base) - 1) + 6) % 7 AS INTEGER)
+      WHEN yy IS NOT NULL THEN TRY_CAST(format('{{:04d}}-{{:02d}}-{{:02d}}', yy, mm, dd) AS DATE)
+      WHEN mm > 0 THEN CASE WHEN this >= base THEN this ELSE following END END AS d FROM days2) WHERE d IS NOT NULL GROUP BY session_id
+),
 facts0 AS (
   SELECT conversation_id, session_id, arg_min(client_id, message_index) AS client_id,
     bool_or(intent) AS intent, bool_or(product_qty) AS product_qty, bool_or(delivery) AS delivery,
@@ -727,16 +753,16 @@ faqn AS (SELECT session_id, count(*) AS n_faqs FROM pairs GROUP BY session_id)""
     W4 = f"{MSGS}, {feats}"
     out = {}
     out["order_signals"] = f"""{W4} SELECT session_id, intent, product_qty, delivery, payment, followup, cancel, info,
-        order_type IN ('confirmed', 'delivery_followup') AS has_order, order_type FROM facts"""
-    out["mention_extract"] = f"{W4} SELECT session_id, payment_method, city, address, approx_total FROM facts"
+        (intent OR product_qty OR delivery OR payment OR followup) AS has_order, order_type FROM facts"""
+    out["mention_extract"] = f"{W4} SELECT f.session_id, payment_method, city, address, approx_total, strftime(n.order_date, '%Y-%m-%d') AS order_date FROM facts f LEFT JOIN named n ON f.session_id = n.session_id"
     out["customer_mention"] = f"{W4} SELECT session_id, customer_phone, customer_name FROM facts"
     out["sale_state"] = f"{W4} SELECT session_id, sale_state AS estado FROM facts"
-    out["catalog_canonical"] = f"{W4} SELECT session_id, message_index, pos, mention, name, variant, quantity FROM pm"
+    out["catalog_canonical"] = f"{W4} SELECT session_id, message_index, pos, mention, name, variant, quantity, nullif(regexp_extract(mention, '^[0-9]+ (caja|paquete)', 1), '') AS unit FROM pm"
     out["faq_pairs"] = f"{W4} SELECT session_id, pos, pregunta, respuesta, categoria FROM pairs"
-    out["extract_orders_rules"] = f"""{W4} SELECT f.session_id, f.order_type IN ('confirmed', 'delivery_followup') AS has_order,
-        f.order_type, f.city, f.address, f.payment_method, f.approx_total, f.customer_phone, f.customer_name,
+    out["extract_orders_rules"] = f"""{W4} SELECT f.session_id, (f.intent OR f.product_qty OR f.delivery OR f.payment OR f.followup) AS has_order,
+        f.order_type, n.order_date, f.city, f.address, f.payment_method, f.approx_total, f.customer_phone, f.customer_name,
         CAST(coalesce(p.n_products, 0) AS INTEGER) AS n_products
-      FROM facts f LEFT JOIN prodn p ON f.session_id = p.session_id"""
+      FROM facts f LEFT JOIN prodn p ON f.session_id = p.session_id LEFT JOIN named n ON f.session_id = n.session_id"""
     out["extract_faq_rules"] = f"""{W4} SELECT f.session_id, coalesce(q.n_faqs, 0) AS n_faqs,
         f.sale_state AS venta_estado, CASE WHEN f.sale_state IS NOT NULL THEN f.approx_total END AS venta_total,
         CASE WHEN f.sale_state IS NOT NULL THEN coalesce(p.n_products, 0) END AS venta_n_productos,

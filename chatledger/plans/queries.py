@@ -380,7 +380,7 @@ def q_order_signals(spark, sf):
 
 @query("mention_extract")
 def q_mention_extract(spark, sf):
-    return EX.session_facts(_feats(spark, sf)).select("session_id", "payment_method", "city", "address", "approx_total")
+    return EX.session_facts(_feats(spark, sf)).select("session_id", "payment_method", "city", "address", "approx_total", F.date_format("order_date", "yyyy-MM-dd").alias("order_date"))
 
 
 @query("customer_mention")
@@ -395,7 +395,7 @@ def q_sale_state(spark, sf):
 
 @query("catalog_canonical")
 def q_catalog_canonical(spark, sf):
-    return EX.product_mentions(_feats(spark, sf)).select("session_id", "message_index", "pos", "mention", "name", "variant", "quantity")
+    return EX.product_mentions(_feats(spark, sf)).select("session_id", "message_index", "pos", "mention", "name", "variant", "quantity", "unit")
 
 
 @query("faq_pairs")
