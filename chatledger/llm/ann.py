@@ -3,8 +3,10 @@
 Equal vectors are one class with the smallest of its ids, as many as an answer can hold.  The trees are
 fitted on a bounded sample of the classes (``SAMPLE``); every class is indexed in one leaf of each
 tree.  A query goes down all trees through one shared priority queue, ordered by the margin to the
-planes crossed, and visits leaves until they hold ``share`` of the sample, each vector counted once.
-The candidates of the visited leaves are reranked by exact Euclidean distance in double precision.
+planes crossed, and visits leaves until they hold a share of the sample, each vector counted once.
+That share is measured: held-out vectors of the sample go down the trees, and the share is the least one
+at which ``RECALL`` of their true neighbours in the sample are met.  Flat data of many dimensions so
+gets more leaves than data with structure, at every table size by the same rule.  The candidates of the visited leaves are reranked by exact Euclidean distance in double precision.
 
 Leaves are dealt into blocks, and so are the queries that visit a leaf, so a popular leaf does not meet
 in one task; each task keeps a query's best only.
@@ -13,6 +15,8 @@ in one task; each task keeps a query's best only.
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +30,8 @@ NEIGHBOURS = 10
 TREES = 12
 SAMPLE = 32768
 LEAF = 64  # sample rows in a leaf
-SHARE = 0.6  # of the sample that a query's leaves hold, a vector in leaves of several trees counted once
-LEAST_VISITED = 4096  # sample vectors visited at least
+RECALL = 0.95  # of the held-out vectors' neighbours, sets the share of the sample that a query's leaves hold
+HELD_OUT = 256  # sample vectors that the share is measured with
 BLOCK = 512
 
 
@@ -89,25 +93,70 @@ class Forest:
             out[:, t] = -1 - at
         return out
 
-    def visit(self, q: np.ndarray, budget: int) -> list[int]:
-        """Leaves by the shared priority queue, until they hold ``budget`` different sample rows, or all."""
-        budget = min(budget, self.sample_rows)
+    def walk(self, q: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Leaves by the shared priority queue, and how many different sample rows the leaves up to each hold."""
         margins = (self.planes @ q - self.offsets).tolist() if len(self.planes) else []
         queue = [(0.0, root) for root in self.roots]
         heapq.heapify(queue)
-        seen, out = 0, []
+        seen = 0
         known = np.zeros(self.sample_rows, bool)
-        while queue and seen < budget:
+        while queue:
             cost, node = heapq.heappop(queue)
             while node >= 0:
                 m = margins[node]
                 near, far = self.children_list[node][::-1] if m > 0 else self.children_list[node]
                 heapq.heappush(queue, (max(cost, abs(m)), far))
                 node = near
-            out.append(-1 - node)
             rows = self.held[-1 - node]
             seen += len(rows) - int(np.count_nonzero(known[rows]))
             known[rows] = True
+            yield -1 - node, seen
+
+    def visit(self, q: np.ndarray, budget: int) -> list[int]:
+        """Leaves until they hold ``budget`` different sample rows; all leaves of the first tree where that is every row."""
+        if budget >= self.sample_rows:
+            return self.first_tree
+        out = []
+        for leaf, seen in self.walk(q):
+            out.append(leaf)
+            if seen >= budget:
+                break
+        return out
+
+    def budget_for(self, sample: np.ndarray, recall: float, k: int, held_out: int = HELD_OUT) -> int:
+        """Sample rows to visit so that ``recall`` of the ``k`` nearest of held-out sample rows are met.
+
+        What a query looks for in the whole table lies nearer to it than what it finds in the sample, so the
+        recall on the table is at least about that measured.  Rows too few to measure with: all."""
+        n = len(sample)
+        if n <= k + 1:
+            return n
+        needed = []
+        squares = np.einsum("ij,ij->i", sample, sample)
+        for j in np.linspace(0, n - 1, min(held_out, n)).astype(np.int64).tolist():
+            d = squares - 2 * (sample @ sample[j])  # in the order of the distances
+            d[j] = np.inf
+            left = set(np.argpartition(d, k - 1)[:k].tolist())
+            before = 0
+            for leaf, seen in self.walk(sample[j]):
+                met = left.intersection(self.held[leaf].tolist())
+                needed += [before + 1] * len(met)
+                left -= met
+                before = seen
+                if not left:
+                    break
+        return int(np.quantile(needed, recall, method="higher"))
+
+    @property
+    def first_tree(self) -> list[int]:
+        """All leaves of one tree, which hold every vector once."""
+        out, todo = [], [self.roots[0]]
+        while todo:
+            node = todo.pop()
+            if node < 0:
+                out.append(-1 - node)
+            else:
+                todo += self.children_list[node]
         return out
 
     @property
@@ -139,12 +188,17 @@ def _best(q: np.ndarray, ids: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
     return order[rank < k]
 
 
-def fit_forests(vectors: DataFrame, trees: int = TREES, sample: int = SAMPLE, leaf: int = LEAF) -> dict[int, Forest]:
-    """A forest per vector length; the driver gets ``sample`` classes (of the smallest hash per bucket) at most."""
+def fit_forests(vectors: DataFrame, trees: int = TREES, sample: int = SAMPLE, leaf: int = LEAF, k: int = NEIGHBOURS, recall: float = RECALL, share: float | None = None) -> dict[int, Forest]:
+    """A forest per vector length, with the ``budget`` of its visits; the driver gets ``sample`` classes (of the smallest hash per bucket) at most."""
     pick = vectors.groupBy(F.pmod(F.xxhash64(F.lit("sample"), "c"), F.lit(sample)).alias("b")).agg(F.min_by(F.struct("dim", "v"), F.struct("c", "c2")).alias("x"))
     rows = pick.select("b", "x.dim", F.col("x.v").alias("v")).toArrow().combine_chunks().sort_by("b")
     dims = rows.column("dim").to_numpy()
-    return {d: Forest(matrix(rows.filter(pa.array(dims == d)).column("v")), trees, leaf) for d in sorted(set(dims.tolist()))}
+    out = {}
+    for d in sorted(set(dims.tolist())):
+        x = matrix(rows.filter(pa.array(dims == d)).column("v"))
+        out[d] = f = Forest(x, trees, leaf)
+        f.budget = f.budget_for(x, recall, k) if share is None else math.ceil(share * len(x))
+    return out
 
 
 def vector_classes(rows: DataFrame, ids: int) -> DataFrame:
@@ -157,9 +211,11 @@ def vector_classes(rows: DataFrame, ids: int) -> DataFrame:
     return materialize(keyed.groupBy("c", "c2").agg(F.first("dim").alias("dim"), F.first("v").alias("v")).join(least, ["c", "c2"]))
 
 
-def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = NEIGHBOURS, trees: int = TREES, share: float = SHARE, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = NEIGHBOURS, trees: int = TREES, recall: float = RECALL, share: float | None = None, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest rows found for each query.
 
+    ``share`` of the sample is visited where it is given (1: every row), else what ``recall`` asks for.
+
     Rows with the query's own id are no candidates.  Null, zero and non-finite vectors take no part;
     vectors meet those of their own length only.  Ties go to the smaller id.  A vector id that is given
     several times counts once, at its smallest distance.  No vectors: no rows.
@@ -169,7 +225,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "ve
     rows, asked = flat(vectors), flat(queries)
     # One id more than is asked for, as a query's own id is no candidate.
     classes = vector_classes(rows, k + 1)
-    forests = fit_forests(classes, trees, sample)
+    forests = fit_forests(classes, trees, sample, k=k, recall=recall, share=share)
     classes = classes.select(F.get("own", F.lit(0)).alias("id"), "dim", "v", "own")
     asked = asked.withColumn("own", F.array().cast("array<bigint>"))
     kind = rows.schema["v"].dataType.simpleString()
@@ -193,7 +249,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "ve
 
     def visit(batches):
         def choose(f, v):
-            found = [f.visit(q, max(LEAST_VISITED, int(share * f.sample_rows))) for q in v]
+            found = [f.visit(q, f.budget) for q in v]
             return np.array([x for r in found for x in r], np.int64), np.repeat(np.arange(len(v)), [len(r) for r in found])
 
         yield from each(batches, choose)

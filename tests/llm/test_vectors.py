@@ -71,7 +71,7 @@ def test_whole_search_is_exact(spark, block):
     x[50:60] = x[40]  # ties
     df = frame(spark, x)
     got = {}
-    for r in ann.nearest_neighbours(df, df.where("vec_id % 10 = 0"), block=block).collect():
+    for r in ann.nearest_neighbours(df, df.where("vec_id % 10 = 0"), share=1.0, block=block).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     y = x.astype(np.float64)
     for q in range(0, len(x), 10):
@@ -104,23 +104,39 @@ def test_recall_on_a_share_of_the_leaves(spark):
     assert total and hit / total >= 0.9
 
 
-def test_recall_beside_a_third_of_equal_vectors(spark):
-    # More different vectors than LEAST_VISITED decides on, so that the share does.
-    x = np.random.default_rng(1).normal(size=(12_000, 64)).astype(np.float32)
-    x[:4000] = x[0]
-    assert ann.SHARE * 8001 > ann.LEAST_VISITED
+def recall_of(spark, x, where, near_rows=None):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], KIND)
     got = {}
-    for r in ann.nearest_neighbours(df, df.where("vec_id = 7 or vec_id % 120 = 1 and vec_id > 4000")).collect():
+    for r in ann.nearest_neighbours(df, df.where(where)).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
-    assert [got[7][k] for k in range(1, 11)] == [0, 1, 2, 3, 4, 5, 6, 8, 9, 10]
-    del got[7]
-    y, hit = x.astype(np.float64), 0
-    for q, found in got.items():
+    y, hit, asked = x.astype(np.float64), 0, [q for q in got if q != near_rows]
+    for q in asked:
         d = ((y - y[q]) ** 2).sum(axis=1)
         d[q] = np.inf
-        hit += len(set(np.argsort(d, kind="stable")[:10].tolist()) & set(found.values()))
-    assert len(got) > 60 and hit / (10 * len(got)) >= 0.9
+        hit += len(set(np.argsort(d, kind="stable")[:10].tolist()) & set(got[q].values()))
+    return hit / (10 * len(asked)), got
+
+
+def test_recall_beside_a_third_of_equal_vectors(spark):
+    x = np.random.default_rng(1).normal(size=(12_000, 64)).astype(np.float32)
+    x[:4000] = x[0]
+    recall, got = recall_of(spark, x, "vec_id = 7 or vec_id % 120 = 1 and vec_id > 4000", 7)
+    assert [got[7][k] for k in range(1, 11)] == [0, 1, 2, 3, 4, 5, 6, 8, 9, 10]
+    assert len(got) > 60 and recall >= 0.9
+
+
+@pytest.mark.parametrize("dim", [64, 256, 768])
+def test_recall_at_any_width(spark, dim):
+    x = np.random.default_rng(dim).normal(size=(11_000, dim)).astype(np.float32)
+    assert recall_of(spark, x, "vec_id % 200 = 0")[0] >= 0.9
+
+
+def test_structure_needs_fewer_leaves():
+    rng = np.random.default_rng(3)
+    flat = rng.normal(size=(6000, 64))
+    lines = rng.normal(size=(6000, 4)) @ rng.normal(size=(4, 64))
+    budgets = [ann.Forest(x).budget_for(x, 0.95, 10) for x in (flat, lines)]
+    assert budgets[1] < 0.2 * 6000 < budgets[0] < 6000
 
 
 def test_empty_tables(spark):
