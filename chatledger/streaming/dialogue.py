@@ -20,6 +20,7 @@ from chatledger import schemas as S
 from chatledger.operators import bot as B
 from chatledger.session import ship_package
 from chatledger.sources import versioned as V
+from chatledger.streaming import dialogue_state as DS
 from chatledger.streaming.ingest import FOREVER
 
 UPDATE_FILE_SCHEMA = T.StructType(list(S.UPDATE_SCHEMA.fields) + [T.StructField("ts", T.TimestampNTZType())])
@@ -58,12 +59,21 @@ def start(
     products: DataFrame | None = None,
     allowed_chats: DataFrame | None = None,
     available_now: bool = True,
+    typed_state: bool = False,
+    idle_seconds: float | None = None,
 ) -> StreamingQuery:
+    """Start the stream.  With ``typed_state`` the dialogue is kept in typed variables (``dialogue_state``), where it can be
+    queried and, with ``idle_seconds``, ends by a timer (not with ``available_now``: a batch follows as long as
+    timers may run out); a checkpoint of one kind is not one of the other."""
     ship_package(spark)
     if allowed_chats is not None and allowed_chats.isEmpty():
         allowed_chats = None  # an empty list admits everybody
     stream = spark.readStream.schema(UPDATE_FILE_SCHEMA).option("maxFileAge", FOREVER).json(updates_dir)
-    outputs = dialogue_outputs(B.prepare_updates(stream, known_clients(spark, out_dir, clients), allowed_chats))
+    prepared = B.prepare_updates(stream, known_clients(spark, out_dir, clients), allowed_chats)
+    if idle_seconds is not None and (available_now or not typed_state):
+        raise ValueError("idle_seconds needs typed_state and a stream that goes on (available_now=False)")
+    idle_ms = None if idle_seconds is None else int(idle_seconds * 1000)
+    outputs = DS.typed_outputs(prepared, idle_ms) if typed_state else dialogue_outputs(prepared)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -74,4 +84,12 @@ def start(
 
     w = outputs.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
-    return w.start()
+    if not typed_state:
+        return w.start()
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    was = spark.conf.get(provider)
+    spark.conf.set(provider, DS.ROCKSDB)  # the query keeps the setting it is started with
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(provider, was)
