@@ -420,6 +420,30 @@ sql(
         {iso(f"CASE WHEN t.id IS NOT NULL THEN t.created_at ELSE {RUN_TS_SQL} END")} AS created_at
       FROM mi t FULL OUTER JOIN bi s ON t.id = s.id""",
 )
+# The views over the tables as a load leaves them: nothing of changes or stored sums here.
+ORDERS_AFTER = f"""{W}, {BATCH_ORDERS},
+oa AS (SELECT {_pick_s('client_id')}, {_pick_s('order_date')}, {_pick_s('total')}, coalesce(s.id, t.id) AS id
+       FROM mo t FULL OUTER JOIN bo s ON t.id = s.id)"""
+sql(
+    "maintained_client_summary",
+    f"""{ORDERS_AFTER} SELECT c.id, c.name, c.phone, count(o.id) AS total_orders,
+        CAST(coalesce(sum(o.total), 0) AS DOUBLE) AS total_spent, {d('max(o.order_date)')} AS last_order_date
+      FROM mc c LEFT JOIN oa o ON c.id = o.client_id GROUP BY c.id, c.name, c.phone""",
+)
+sql(
+    "maintained_sales_by_month",
+    f"""{ORDERS_AFTER} SELECT {d("date_trunc('month', order_date)")} AS month, count(*) AS total_orders,
+        CAST(coalesce(sum(total), 0) AS DOUBLE) AS total_revenue
+      FROM oa WHERE order_date IS NOT NULL GROUP BY date_trunc('month', order_date)""",
+)
+sql(
+    "maintained_top_products",
+    f"""{W}, {BATCH_ITEMS},
+      ia AS (SELECT {_pick_s('product_name')}, {_pick_s('variant')}, {_pick_s('quantity')}, {_pick_s('order_id')}
+             FROM mi t FULL OUTER JOIN bi s ON t.id = s.id)
+      SELECT product_name, variant, sum(quantity) AS total_quantity, count(DISTINCT order_id) AS order_count
+      FROM ia GROUP BY product_name, variant""",
+)
 sql(
     "delete_propagation",
     f"""{W},

@@ -17,6 +17,7 @@ from chatledger.functions import text as X
 from chatledger.operators import access as AC
 from chatledger.operators import bot as B
 from chatledger.operators import extract as EX
+from chatledger.operators import maintained as MV
 from chatledger.operators import manifest as MF
 from chatledger.operators import mart as MT
 from chatledger.operators import messages as M
@@ -256,6 +257,30 @@ def q_upsert_items(spark, sf):
     return MT.upsert_items(target, _last(A.batch_items(spark, sf)), A.run_ts())
 
 
+def _maintained_orders(spark, sf):
+    """What the orders before a load and the changes of the load add up to."""
+    before, batch = A.mart_orders(spark, sf), _last(A.batch_orders(spark, sf))
+    changed = MV.changes(before, MT.upsert_orders(before, batch, A.run_ts()), batch)
+    return MV.merged(MV.contributions(orders=MV.whole(before)), MV.contributions(orders=changed))
+
+
+@query("maintained_client_summary")
+def q_maintained_client_summary(spark, sf):
+    return MV.client_summary(A.mart_clients(spark, sf), _maintained_orders(spark, sf))
+
+
+@query("maintained_sales_by_month")
+def q_maintained_sales_by_month(spark, sf):
+    return MV.sales_by_month(_maintained_orders(spark, sf))
+
+
+@query("maintained_top_products")
+def q_maintained_top_products(spark, sf):
+    before, batch = MT.valid_items(A.mart_items(spark, sf)), _last(A.batch_items(spark, sf))
+    changed = MV.changes(before, MT.upsert_items(before, batch, A.run_ts()), batch)
+    return MV.top_products(MV.merged(MV.contributions(order_items=MV.whole(before)), MV.contributions(order_items=changed)))
+
+
 @query("delete_propagation")
 def q_delete_propagation(spark, sf):
     c, o, p, i = _mart(spark, sf)
