@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -328,6 +330,27 @@ class RateLimited(Exception):
     """Raise from an extractor to request a retry with back-off."""
 
 
+def _caller(extractor: Callable[[str], str], max_retries: int, base_delay: float, retry_on_rate_limit: bool) -> Callable[[str], tuple[str | None, str | None]]:
+    """One call with its retries: (response, error), one of them None."""
+
+    def call(text: str) -> tuple[str | None, str | None]:
+        for attempt in range(max_retries):
+            try:
+                out = extractor(text)
+                json.loads(out)  # a non-JSON reply is an error row
+                return out, None
+            except Exception as e:  # noqa: BLE001
+                msg = str(e)
+                limited = isinstance(e, RateLimited) or "429" in msg or "rate_limit" in msg.lower()
+                if limited and retry_on_rate_limit:
+                    time.sleep(base_delay * (2**attempt))
+                    continue
+                return None, msg
+        return None, "Max retries exceeded (rate limit)"
+
+    return call
+
+
 def run_extractor(
     transcripts: DataFrame,
     extractor: Callable[[str], str],
@@ -345,20 +368,7 @@ def run_extractor(
     The output is the (metadata, response, error) contract consumed by ``parse_results``.
     """
 
-    def call(text: str) -> tuple[str | None, str | None]:
-        for attempt in range(max_retries):
-            try:
-                out = extractor(text)
-                json.loads(out)  # a non-JSON reply is an error row
-                return out, None
-            except Exception as e:  # noqa: BLE001
-                msg = str(e)
-                limited = isinstance(e, RateLimited) or "429" in msg or "rate_limit" in msg.lower()
-                if limited and retry_on_rate_limit:
-                    time.sleep(base_delay * (2**attempt))
-                    continue
-                return None, msg
-        return None, "Max retries exceeded (rate limit)"
+    call = _caller(extractor, max_retries, base_delay, retry_on_rate_limit)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(max_workers=concurrency) as pool:
@@ -382,7 +392,10 @@ def run_extractor(
 def run_faq_extractor(transcripts: DataFrame, extractor: Callable[[str], str], concurrency: int = FAQ_CONCURRENCY) -> DataFrame:
     """``run_extractor`` for the FAQ contract: no retries; a failed session has the empty result
     (no faqs, no sale, no client) with its error, in ``response`` as in ``error``."""
-    out = run_extractor(transcripts, extractor, concurrency=concurrency, max_retries=1, retry_on_rate_limit=False)
+    return _with_empty_faqs(run_extractor(transcripts, extractor, concurrency=concurrency, max_retries=1, retry_on_rate_limit=False))
+
+
+def _with_empty_faqs(out: DataFrame) -> DataFrame:
     empty = F.to_json(
         F.struct(
             F.array().cast("array<string>").alias("faqs"),
@@ -395,6 +408,77 @@ def run_faq_extractor(transcripts: DataFrame, extractor: Callable[[str], str], c
     return out.withColumn("response", F.coalesce("response", empty))
 
 
+CALL = "transcript_hash string, response string, error string"
+
+
+def _ledger_files(ledger: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(ledger if "://" in ledger else f"file://{ledger}")
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """transcript_hash, response, error of every call kept under ``ledger``."""
+    fs, root = _ledger_files(ledger)
+    fs.create_dir(f"{root}/calls", recursive=True)
+    return spark.read.schema(CALL).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(f"{ledger}/calls")
+
+
+def run_extractor_resumable(
+    transcripts: DataFrame,
+    extractor: Callable[[str], str],
+    ledger: str,
+    in_flight: int = 5,
+    max_retries: int = 5,
+    base_delay: float = 1.0,
+    retry_on_rate_limit: bool = True,
+) -> DataFrame:
+    """``run_extractor`` with one cap for the whole job, and a ledger that a run started again goes on from.
+
+    The calls are spread over ``in_flight`` tasks that call one after the other, so no more than that many are in flight
+    however many executors there are (a job with speculative execution apart).  Each answer is kept in a file of its own
+    under ``ledger`` (a folder that all machines share and pyarrow opens), named by the transcript's hash, before the next
+    call begins; neither a lost task nor a rerun calls for it again.  Equal transcripts are one call.  Failed calls are
+    rows of this run with their error and are tried again by the next.  Runs its calls while the result is built; a cap
+    this low, not the ledger's number of files, bounds what a run can do.
+    """
+    spark = transcripts.sparkSession
+    call = _caller(extractor, max_retries, base_delay, retry_on_rate_limit)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, root = _ledger_files(ledger)
+        for b in batches:
+            failed = []
+            for h, text in zip(b["transcript_hash"], b["transcript"], strict=True):
+                folder = f"{root}/calls/{h[:2]}"
+                path = f"{folder}/{h}.json"
+                if fs.get_file_info(path).type == pafs.FileType.File:
+                    continue  # an earlier attempt at this task
+                response, error = call(text)
+                if error is not None:
+                    failed.append((h, None, error))
+                    continue
+                fs.create_dir(folder, recursive=True)
+                made = f"{folder}/.{h}.{uuid.uuid4().hex}"
+                with fs.open_output_stream(made) as f:
+                    f.write(json.dumps({"transcript_hash": h, "response": response}).encode())
+                fs.move(made, path)
+            yield pd.DataFrame(failed, columns=["transcript_hash", "response", "error"], dtype="object")
+
+    ship_package(spark)
+    keyed = transcripts.select("session_id", "conversation_id", "client_id", "transcript", F.sha2(F.coalesce("transcript", F.lit("")), 256).alias("transcript_hash"))
+    known = read_ledger(spark, ledger).select("transcript_hash")
+    asked = keyed.groupBy("transcript_hash").agg(F.first(F.coalesce("transcript", F.lit(""))).alias("transcript")).join(known, "transcript_hash", "left_anti")
+    # A stated number of partitions is one that adaptive execution keeps.
+    failures = f"{ledger}/failures/{uuid.uuid4().hex}"
+    asked.repartition(in_flight, "transcript_hash").mapInPandas(run, CALL).write.parquet(failures)
+    answers = read_ledger(spark, ledger).unionByName(spark.read.schema(CALL).parquet(failures))
+    return keyed.join(answers, "transcript_hash", "left").select(*RESULT_SCHEMA.names)
+
+
+def run_faq_extractor_resumable(transcripts: DataFrame, extractor: Callable[[str], str], ledger: str, in_flight: int = FAQ_CONCURRENCY) -> DataFrame:
+    """``run_extractor_resumable`` for the FAQ contract (see ``run_faq_extractor``)."""
+    return _with_empty_faqs(run_extractor_resumable(transcripts, extractor, ledger, in_flight, max_retries=1, retry_on_rate_limit=False))
+
+
 def dry_run(transcripts: DataFrame) -> tuple[int, str | None]:
     """What an extraction would process: the number of sessions, and the first one's transcript.
 

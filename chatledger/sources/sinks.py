@@ -3,9 +3,12 @@ is JSON lines / CSV / Parquet folders rather than single local files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+# The export's columns.
 SALES_COLUMNS = [
     "conversation_id",
     "session_id",
@@ -75,3 +78,15 @@ def write_results_table(results: DataFrame, path: str, mode: str = "overwrite")
     """Parsed extractor results as Parquet with a ``VARIANT`` column: responses are parsed
     once here, and every later stage reads binary variants instead of re-parsing JSON."""
     results.select("session_id", "conversation_id", "client_id", "result", "error").write.mode(mode).parquet(path)
+
+
+def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Rows that ``write`` wrote of ``df``, counted while they are written."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
+def export_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, int]:
+    """K7: each table as JSON lines under ``folder``; the rows written of each."""
+    return {name: counted(df, lambda d, n=name: write_json(d, f"{folder}/{n}")) for name, df in tables.items()}
