@@ -588,3 +588,18 @@ def bot_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     phone = F.when(k % 9 == 0, F.lit("12 34")).otherwise(F.concat(F.lit("+57 (300) "), F.lpad((k % 10000000).cast("string"), 7, "0")))
     return o.select(k.alias("o_orderkey"), total.alias("total_text"), phone.alias("phone_text"))
+
+
+def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part", "p_name").select(F.col("p_name").alias("name"))
+
+
+def typed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names as a client writes them: a character is missing, for every third part one is wrong at the
+    end, and every seventh name has a word before it that makes it no catalogue name."""
+    k, n = F.col("p_partkey"), F.col("p_name")
+    at = (1 + k % F.length(n)).cast("int")
+    cut = F.concat(F.substring(n, F.lit(1), at - 1), F.substring(n, at + 1, F.length(n)))
+    short = F.when(k % 3 == 0, F.concat(F.expr("left(_s, length(_s) - 1)"), F.lit("x"))).otherwise(F.col("_s"))
+    text = F.when(k % 7 == 0, F.concat(F.lit("otro "), short)).otherwise(short)
+    return table(spark, sf_dir, "part", "p_partkey", "p_name").withColumn("_s", cut).select("p_partkey", text.alias("mention"))

@@ -420,6 +420,16 @@ sql(
         {iso(f"CASE WHEN t.id IS NOT NULL THEN t.created_at ELSE {RUN_TS_SQL} END")} AS created_at
       FROM mi t FULL OUTER JOIN bi s ON t.id = s.id""",
 )
+sql(
+    "catalog_match",
+    """WITH cut AS (SELECT p_partkey, substr(p_name, 1, p_partkey % length(p_name)) || substr(p_name, 2 + p_partkey % length(p_name)) AS s FROM part),
+      m AS (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'otro ' ELSE '' END
+              || CASE WHEN p_partkey % 3 = 0 THEN left(s, length(s) - 1) || 'x' ELSE s END AS mention FROM cut),
+      near AS (SELECT mention, name, levenshtein(mention, name) AS e
+               FROM (SELECT DISTINCT mention FROM m), (SELECT DISTINCT p_name AS name FROM part)),
+      best AS (SELECT mention, name, e FROM near WHERE e <= 2 QUALIFY row_number() OVER (PARTITION BY mention ORDER BY e, name) = 1)
+      SELECT m.p_partkey, m.mention, best.name, CAST(best.e AS BIGINT) AS edits FROM m LEFT JOIN best ON m.mention = best.mention""",
+)
 # The views over the tables as a load leaves them: nothing of changes or stored sums here.
 ORDERS_AFTER = f"""{W}, {BATCH_ORDERS},
 oa AS (SELECT {_pick_s('client_id')}, {_pick_s('order_date')}, {_pick_s('total')}, coalesce(s.id, t.id) AS id

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from chatledger.functions import text as X
 from chatledger.operators import access as AC
 from chatledger.operators import bot as B
+from chatledger.operators import catalogue as CT
 from chatledger.operators import extract as EX
 from chatledger.operators import maintained as MV
 from chatledger.operators import manifest as MF
@@ -281,6 +282,12 @@ def q_maintained_top_products(spark, sf):
     return MV.top_products(MV.merged(MV.contributions(order_items=MV.whole(before)), MV.contributions(order_items=changed)))
 
 
+@query("catalog_match")
+def q_catalog_match(spark, sf):
+    """Every part's name as written with typing errors, and the part name it is nearest to."""
+    return CT.match_names(A.typed_names(spark, sf), A.part_names(spark, sf))
+
+
 @query("delete_propagation")
 def q_delete_propagation(spark, sf):
     c, o, p, i = _mart(spark, sf)
