@@ -16,13 +16,13 @@ from chatledger.functions import text as X
 
 # Per-message signals (folded text).
 SIGNALS = {
-    "intent": r"quiero (hacer|pedir|comprar|encargar|reservar|[0-9])|quisiera|(manda|deja|apunta|pon|envia|aparta|confirma|separa)me ([0-9]|el pedido)|te encargo|me quedo con|dejalo asi|me das [0-9]|apuntame",
+    "intent": r"(quiero|me gustaria) (hacer|pedir|comprar|encargar|reservar|[0-9])|quisiera|(manda|deja|apunta|pon|envia|aparta|confirma|separa)me ([0-9]|el pedido)|te encargo|me quedo con|dejalo asi|me das [0-9]|apuntame",
     "product_qty": r"[0-9]+ (de )?(cajas?|paquetes?|unidades?|mufins?|muffins?|arepas?|arepitas?|brownies?|wafles?|waffles?)|(^|[^a-z])un (bronwie|brownie|muffin|waffle|arepa)",
     "delivery": r"barrio|carrera|calle |apto|edificio|torre|porteria|conjunto|estacion del metro",
-    "payment": r"pagar|pago |transferencia|transferi|nequi|daviplata|bancolombia|efectivo|comprobante",
+    "payment": r"pagar|pago |transferencia|transferi|nequi|daviplata|bancolombia|efectivo|comprobante|consigne|consignar|consignacion",
     "followup": r"llega el pedido|domiciliario|en camino|llego bien|no me ha llegado",
     "cancel": r"cancela|ya no lo necesito",
-    "info": r"que productos|la carta|precios",
+    "info": r"que productos|la carta|precios|catalogo",
     "question": r"[?¿]",
 }
 
@@ -44,19 +44,21 @@ CITY_TERMS = [
     ("sabaneta", "Sabaneta"),
 ]
 AMOUNT = r"\$ ?([0-9][0-9.]*)"
-NAME_INTRO = r"(?:[Ss]oy|[Hh]abla|[Mm]e llamo) ([A-ZÁÉÍÓÚÑ][a-záéíóúñ]+)"
+# An introduction and up to three capitalised words.
+NAME_INTRO = r"(?:[Ss]oy|[Hh]abla|[Ee]scribe|[Mm]e llamo|[Mm]i nombre es|[Aa] nombre de) ([A-ZÁÉÍÓÚÑ][a-záéíóúñ]+(?: [A-ZÁÉÍÓÚÑ][a-záéíóúñ]+){0,2})"
 PHONE_LIKE = r"^\+?[0-9]{7,}$"
 
 # FAQ category by keywords of the folded question; first rule that matches wins.
 FAQ_CATEGORY_RULES = [
-    ("diabeticos", r"diabetic|azucar"),
-    ("envio", r"envio|domicilio|llega"),
-    ("precios", r"cuanto|precio|vale|cuesta"),
-    ("horarios", r"hora|abren|cierran|horario"),
-    ("ubicacion", r"donde estan|donde quedan|ubicad"),
+    ("diabeticos", r"diabetic|azucar|endulz"),
+    ("envio", r"envio|domicilio|llega|entreg"),
+    ("precios", r"cuanto|precio|vale|valor|cuesta|costo"),
+    ("horarios", r"(^|[^a-z])horas?([^a-z]|$)|abren|cierran|horario|atiend|atencion"),
+    ("ubicacion", r"donde estan|donde queda|ubicad|direccion|punto fisico"),
     ("productos", r"productos|sabores|carta|catalogo"),
-    ("proceso_compra", r"pedido|pagar|comprar|transferencia"),
+    ("proceso_compra", r"pedido|pagar|comprar|transferencia|consign|nequi|daviplata|tarjeta"),
     ("info_general", r"quien(es)? son|informacion|que venden|redes"),
+    ("productos", r"arepa|muf+in|brownie|bronwie|waf+le"),
 ]
 
 # Product mention: optional quantity (and box/pack) before a product alias.
