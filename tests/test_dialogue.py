@@ -216,3 +216,15 @@ def test_segmented_replay_equals_whole_chat_replay(spark):
     seg = sorted(map(tuple, B.replay(prepared).collect()), key=str)
     assert whole == seg
     assert B.segments(prepared).select("chat_id", "_seg_id").distinct().count() > prepared.select("chat_id").distinct().count()
+
+
+def test_many_short_segments_take_no_group_each(spark):
+    upd = [{"update_id": i, "message": {"chat": {"id": i % 7}, "text": "/venta" if i % 14 < 7 else "12"}} for i in range(1, 4000)]
+    upd.append({"update_id": 5000})  # names no chat: ignored
+    df = spark.read.schema(D.UPDATE_FILE_SCHEMA).json(spark.sparkContext.parallelize([json.dumps(u) for u in upd]))
+    out = B.replay(B.prepare_updates(df, None, None))
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.update_id: (r.chat_id, r.reply) for r in out.collect()}
+    assert got.pop(5000) == (None, "ignored")
+    # Chat 0 gets its first command with update 14.
+    assert got == {i: (i % 7, "ask_phone" if i % 14 < 7 else "hint" if i == 7 else "bad_phone") for i in range(1, 4000)}
