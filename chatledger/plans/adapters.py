@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from chatledger import schemas as S
 from chatledger.functions.text import uuid_from
+from chatledger.llm.common import materialize
 from chatledger.sources.tables import table
 
 RAW_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -229,10 +230,13 @@ def mart_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct non-blank (name, variant) of the items (the loader's products table)."""
+    """Distinct non-blank (name, variant) of the items (the loader's products table).
+
+    It is written as a table: a distinct of the items is taken for as large as they are, and items joined
+    with it would be dealt out by product, a few huge keys."""
     items = mart_items(spark, sf_dir).filter(F.coalesce(F.col("product_name"), F.lit("")) != "")
     d = items.select(F.col("product_name").alias("name"), "variant").distinct()
-    return d.select(product_uuid(F.col("name"), F.col("variant")).alias("id"), "name", "variant", run_ts().alias("created_at"))
+    return materialize(d.select(product_uuid(F.col("name"), F.col("variant")).alias("id"), "name", "variant", run_ts().alias("created_at")))
 
 
 # ---------------------------------------------------------------------------

@@ -103,3 +103,18 @@ def test_clients_by_phone_digits(spark):
     lk = spark.createDataFrame([("57 3001",), ("999",)], "p string")
     out = {r.p: r.client_id for r in MT.clients_by_phone(c, lk, "p").collect()}
     assert out == {"57 3001": "c1", "999": None}
+
+
+def test_items_are_not_dealt_out_by_product(spark):
+    from chatledger.plans.queries import QUERIES
+    from tests.conftest import SF_SMALL
+
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(limit)
+    spark.conf.set(limit, "20k")  # below the items, above the products
+    try:
+        for name in ("item_product_id", "upsert_items"):
+            df = QUERIES[name](spark, SF_SMALL)
+            assert "hashpartitioning(product_name" not in df._jdf.queryExecution().executedPlan().toString(), name
+    finally:
+        spark.conf.set(limit, was)
