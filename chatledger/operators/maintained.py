@@ -41,6 +41,11 @@ def changes(before: DataFrame, after: DataFrame, ids: DataFrame) -> DataFrame:
     return old.unionByName(after.join(ids, "id", "left_semi").withColumn("sign", F.lit(1)))
 
 
+def touched(before: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of a table that a load of ``ids`` may change: an upsert of these alone gives the same changes as one of the whole table."""
+    return before.join(ids.select("id").distinct(), "id", "left_semi").select(*before.columns)
+
+
 def deleted_ids(orders: DataFrame, items: DataFrame, deleted_clients: DataFrame, deleted_orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Ids of the orders and items that ``mart.propagate_deletes`` changes where the views see it."""
     do, dc = deleted_orders.select("id").distinct(), deleted_clients.select(F.col("id").alias("client_id")).distinct()

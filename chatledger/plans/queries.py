@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatledger.functions import text as X
+from chatledger.llm.common import materialize
 from chatledger.operators import access as AC
 from chatledger.operators import bot as B
 from chatledger.operators import catalogue as CT
@@ -259,9 +260,12 @@ def q_upsert_items(spark, sf):
 
 
 def _maintained_orders(spark, sf):
-    """What the orders before a load and the changes of the load add up to."""
-    before, batch = A.mart_orders(spark, sf), _last(A.batch_orders(spark, sf))
-    changed = MV.changes(before, MT.upsert_orders(before, batch, A.run_ts()), batch)
+    """What the orders before a load and the changes of the load add up to.  The batch and the changes are written:
+    each stored table reads them, and would join anew."""
+    before, batch = A.mart_orders(spark, sf), materialize(_last(A.batch_orders(spark, sf)))
+    old = MV.touched(before, batch)
+    changed = MV.changes(old, MT.upsert_orders(old, batch, A.run_ts()), batch)
+    changed = materialize(changed.select("client_id", "order_date", "total", "sign"))
     return MV.merged(MV.contributions(orders=MV.whole(before)), MV.contributions(orders=changed))
 
 
@@ -277,8 +281,10 @@ def q_maintained_sales_by_month(spark, sf):
 
 @query("maintained_top_products")
 def q_maintained_top_products(spark, sf):
-    before, batch = MT.valid_items(A.mart_items(spark, sf)), _last(A.batch_items(spark, sf))
-    changed = MV.changes(before, MT.upsert_items(before, batch, A.run_ts()), batch)
+    before, batch = MT.valid_items(A.mart_items(spark, sf)), materialize(_last(A.batch_items(spark, sf)))
+    old = MV.touched(before, batch)
+    changed = MV.changes(old, MT.upsert_items(old, batch, A.run_ts()), batch)
+    changed = materialize(changed.select("product_name", "variant", "order_id", "quantity", "sign"))
     return MV.top_products(MV.merged(MV.contributions(order_items=MV.whole(before)), MV.contributions(order_items=changed)))
 
 

@@ -112,3 +112,20 @@ def test_a_load_is_recorded_from_its_folders(spark, tmp_path):
     assert sorted_rows(M.top_products(st)) == [("Waffle", None, 5, 1)]
     assert sorted_rows(M.table_counts(st)) == sorted_rows(R.table_counts(t))
     assert M.total_sales(st).first()[0] == Decimal("14.00")
+
+
+def test_changes_come_from_touched_orders_alone(spark):
+    from chatledger.operators import mart as MT
+    from chatledger.operators import maintained as MV
+    from chatledger.plans import adapters as A
+    from chatledger.plans import queries as Q
+    from tests.conftest import SF_SMALL
+
+    before, batch = A.mart_orders(spark, SF_SMALL), Q._last(A.batch_orders(spark, SF_SMALL))
+    old = MV.touched(before, batch)
+    assert 0 < old.count() < before.count()
+    rows = lambda b: sorted(map(str, MV.changes(b, MT.upsert_orders(b, batch, A.run_ts()), batch).select("id", "client_id", "order_date", "total", "status", "sign").collect()))
+    assert rows(old) == rows(before)
+    # No stored table joins the load with the orders anew.
+    plan = Q.q_maintained_client_summary(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "LeftSemi" not in plan
