@@ -100,10 +100,13 @@ def resolve_product_ids(items: DataFrame, products: DataFrame) -> DataFrame:
     return j.select(*[F.col("_pid").alias("product_id") if c == "product_id" else items[c] for c in items.columns])
 
 
+LOOKUP_SPREAD = 1 << 12  # keys over which rows without a number are dealt out
+
+
 def clients_by_phone(clients: DataFrame, lookups: DataFrame, phone_col: str = "phone", digits_match: bool = True) -> DataFrame:
     """For each lookup phone: the first client (by created_at, id) with that phone, or NULLs.
 
-    ``digits_match`` also matches '+57300…' to '57300…' (bot input is digits only).
+    ``digits_match`` also matches '+57300…' to '57300…' (bot input is digits only).  A NULL looks up nothing.
     """
     key = F.regexp_replace("phone", r"[^\p{Nd}]", "") if digits_match else F.col("phone")
     one = (
@@ -113,6 +116,11 @@ def clients_by_phone(clients: DataFrame, lookups: DataFrame, phone_col: str = "p
         .agg(F.min_by(F.struct("id", "name"), F.struct("created_at", "id")).alias("_c"))
     )
     lk = F.regexp_replace(phone_col, r"[^\p{Nd}]", "") if digits_match else F.col(phone_col)
+    # Rows that look up no number (NULL) match nothing; they are dealt out over many keys, where the one key NULL would
+    # send them all to one task.
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c, kind in lookups.dtypes if "map<" not in kind and "variant" not in kind]), F.lit(LOOKUP_SPREAD))
+    lk = F.coalesce(F.concat(F.lit("="), lk), F.concat(F.lit("-"), spread.cast("string")))
+    one = one.select(F.concat(F.lit("="), F.col("_k")).alias("_k"), "_c")
     j = lookups.withColumn("_lk", lk).join(one, F.col("_lk") == F.col("_k"), "left")
     return j.select(
         *[F.col(c) for c in lookups.columns],

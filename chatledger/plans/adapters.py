@@ -519,8 +519,9 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def allowed_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The allow-list, written as a table for the reason given at ``mart_products``."""
     ev = table(spark, sf_dir, "events", "user_id")
-    return ev.filter(F.col("user_id") % 10 != 9).select(F.col("user_id").alias("chat_id")).distinct()
+    return materialize(ev.filter(F.col("user_id") % 10 != 9).select(F.col("user_id").alias("chat_id")).distinct())
 
 
 def bot_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -528,43 +529,52 @@ def bot_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     buttons, totals and confirmations, chosen from the event type and value.  Two of three
     purchases are whole dialogues of eight updates, some of which go wrong at one step."""
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
-    scripted = (F.col("event_type") == "purchase") & (F.col("event_id") % 3 != 0)
-    steps = F.when(scripted, F.sequence(F.lit(0), F.lit(7))).otherwise(F.array(F.lit(-1)))
-    ev = ev.select("*", F.explode(steps).alias("i"))
-    e, u, v, t, i = F.col("event_id"), F.col("user_id"), F.col("value"), F.col("event_type"), F.col("i")
+    e, u, v, t = F.col("event_id"), F.col("user_id"), F.col("value"), F.col("event_type")
+    scripted = (t == "purchase") & (e % 3 != 0)
     buttons = [f"prod_{n.lower()}_{(vv or '').lower().replace(' ', '_')}" for n, vv in S.CATALOGUE]
     caller = F.when(e % 5 == 0, u + 5_000_000).otherwise(u)  # a fifth are nobody's number yet
-    text = (
-        F.when(i == 0, F.lit("/venta"))
-        .when(i == 1, F.when(e % 37 == 0, F.lit("12")).otherwise(F.concat(F.lit("+57 300 "), F.lpad(caller.cast("string"), 7, "0"))))
-        .when(i == 2, F.when(e % 31 == 0, F.lit("A")).otherwise(F.concat(F.lit("Cliente "), e.cast("string"))))
-        .when(
-            i == 6,
-            F.when(e % 23 == 0, F.lit("abc")).when(e % 29 == 0, F.lit("99999999999")).otherwise(F.concat(F.lit("$"), (20 + e % 900).cast("string"), F.lit(".000"))),
-        )
-        .when((t == "signup") & (v < 8), F.lit("/venta"))
+    # What an event says is chosen before it becomes updates, and each choice stands once: all of it for every update, nested
+    # into the structs below, makes one generated method too long for the JVM to compile.
+    ev = ev.select(
+        (e * 8).alias("_first"),
+        u.alias("_chat"),
+        "ts",
+        scripted.alias("_scripted"),
+        F.when(e % 37 == 0, F.lit("12")).otherwise(F.concat(F.lit("+57 300 "), F.lpad(caller.cast("string"), 7, "0"))).alias("_phone"),
+        F.when(e % 31 == 0, F.lit("A")).otherwise(F.concat(F.lit("Cliente "), e.cast("string"))).alias("_name"),
+        F.when(e % 23 == 0, F.lit("abc")).when(e % 29 == 0, F.lit("99999999999")).otherwise(F.concat(F.lit("$"), (20 + e % 900).cast("string"), F.lit(".000"))).alias("_total"),
+        F.when((t == "signup") & (v < 8), F.lit("/venta"))
         .when(t == "signup", F.concat(F.lit("+57 300 "), F.lpad(u.cast("string"), 7, "0")))
         .when((t == "view") & (v < 3), F.lit("123"))
         .when((t == "view") & (v > 250), F.lit("A"))
         .when(t == "view", F.concat(F.lit("Cliente "), u.cast("string")))
         .when((t == "error") & (v < 60) & (e % 7 == 0), F.lit("abc"))
         .when((t == "error") & (v < 60), F.lit("$66.000"))
-    )
-    data = (
-        F.when(i == 3, _pick(buttons, e % len(buttons)))
-        .when(i == 4, F.when(e % 19 == 0, F.lit("cant_3000000000")).otherwise(F.concat(F.lit("cant_"), (1 + e % 10).cast("string"))))
-        .when(i == 5, F.lit("prod_finalizar"))
-        .when(i == 7, F.when(e % 11 == 0, F.lit("confirm_no")).otherwise(F.lit("confirm_si")))
-        .when((t == "purchase") & (i < 0) & (e % 4 == 0), F.lit("prod_finalizar"))
-        .when((t == "purchase") & (i < 0) & (e % 17 == 0), F.lit("prod_desconocido"))
-        .when((t == "purchase") & (i < 0), _pick(buttons, e % len(buttons)))
+        .alias("_own_text"),
+        F.when(scripted, _pick(buttons, e % len(buttons))).alias("_button"),
+        F.when(e % 19 == 0, F.lit("cant_3000000000")).otherwise(F.concat(F.lit("cant_"), (1 + e % 10).cast("string"))).alias("_quantity"),
+        F.when(e % 11 == 0, F.lit("confirm_no")).otherwise(F.lit("confirm_si")).alias("_confirm"),
+        F.when((t == "purchase") & (e % 4 == 0), F.lit("prod_finalizar"))
+        .when((t == "purchase") & (e % 17 == 0), F.lit("prod_desconocido"))
+        .when(t == "purchase", _pick(buttons, e % len(buttons)))
         .when((t == "click") & (e % 13 == 0), F.lit("cant_cancelar"))
         .when(t == "click", F.concat(F.lit("cant_"), (1 + e % 10).cast("string")))
         .when((t == "error") & (v >= 60) & (e % 5 == 0), F.lit("confirm_no"))
         .when((t == "error") & (v >= 60), F.lit("confirm_si"))
+        .alias("_own_data"),
     )
-    update_id = e * 8 + F.greatest(i, F.lit(0))
-    chat = F.struct(u.alias("id"))
+    steps = F.when(F.col("_scripted"), F.sequence(F.lit(0), F.lit(7))).otherwise(F.array(F.lit(-1)))
+    ev = ev.select("*", F.explode(steps).alias("i"))
+    i = F.col("i")
+    text = F.when(i == 0, F.lit("/venta"))
+    for at, said in ((1, "_phone"), (2, "_name"), (6, "_total"), (-1, "_own_text")):
+        text = text.when(i == at, F.col(said))
+    data = F.when(i == 5, F.lit("prod_finalizar"))
+    for at, said in ((3, "_button"), (4, "_quantity"), (7, "_confirm"), (-1, "_own_data")):
+        data = data.when(i == at, F.col(said))
+    ev = ev.select((F.col("_first") + F.greatest(i, F.lit(0))).alias("update_id"), "_chat", text.alias("_text"), data.alias("_data"), "ts")
+    update_id, text, data = F.col("update_id"), F.col("_text"), F.col("_data")
+    chat = F.struct(F.col("_chat").alias("id"))
     message = F.when(
         text.isNotNull(),
         F.struct(update_id.alias("message_id"), chat.alias("chat"), F.struct(F.lit("Ana").alias("first_name")).alias("from"), text.alias("text")),
@@ -573,7 +583,7 @@ def bot_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         data.isNotNull(),
         F.struct(update_id.cast("string").alias("id"), data.alias("data"), F.struct(update_id.alias("message_id"), chat.alias("chat")).alias("message")),
     )
-    return ev.select(update_id.alias("update_id"), message.alias("message"), callback.alias("callback_query"), F.col("ts"))
+    return ev.select("update_id", message.alias("message"), callback.alias("callback_query"), "ts")
 
 
 def bot_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Sale dialogue: transition table, batch replay, and the stream with a restart."""
 
 import json
+import re
 import time
 
 import pandas as pd
@@ -228,3 +229,49 @@ def test_many_short_segments_take_no_group_each(spark):
     assert got.pop(5000) == (None, "ignored")
     # Chat 0 gets its first command with update 14.
     assert got == {i: (i % 7, "ask_phone" if i % 14 < 7 else "hint" if i == 7 else "bad_phone") for i in range(1, 4000)}
+
+
+def test_updates_without_a_phone_do_not_meet_in_one_task(spark):
+    texts = {0: "Ana", 1: "$66.000", 2: "/venta", 3: "+57 300 0000001", 4: "\u00b2\u00b2\u00b2\u00b2\u00b2\u00b212"}
+    upd = [{"update_id": i, "message": {"chat": {"id": i % 7}, "text": texts[i % 5]}} for i in range(2000)]
+    upd += [{"update_id": 2000 + i, "callback_query": {"data": "cant_2", "message": {"chat": {"id": i % 7}}}} for i in range(2000)]
+    df = spark.read.schema(D.UPDATE_FILE_SCHEMA).json(spark.sparkContext.parallelize([json.dumps(u) for u in upd]))
+    clients = spark.createDataFrame([("c1", "+573000000001", "Ana", None), ("c2", "12", "Eva", None), ("c3", "none", "Bea", None)], "id string, phone string, name string, created_at timestamp_ntz")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = B.prepare_updates(df, clients, None).select("text", "found_client_id", F.spark_partition_id().alias("p")).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    found = [r for r in out if r.found_client_id]
+    assert {(r.text, r.found_client_id) for r in found} == {(texts[3], "c1"), (texts[4], "c2")} and len(found) == 800
+    rest = [r.p for r in out if not r.found_client_id]
+    assert len(rest) == 3200 and max(rest.count(p) for p in set(rest)) < 800  # before: all of a text in one
+
+
+def test_updates_are_made_by_methods_that_the_jvm_compiles(spark, capfd):
+    from chatledger.plans import adapters as A
+    from tests.conftest import SF_SMALL
+
+    A.bot_updates(spark, SF_SMALL).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capfd.readouterr().out)]
+    assert sizes and max(sizes) < 8000  # longer ones are interpreted
+
+
+def test_the_last_reset_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(B, "SEGMENT_BUCKET", 4)
+    texts = ["/venta", "hola", "/cancelar", "hola", "x", "/start", "y", "/venta", "z", "300 111 2233", "Ana", "w", "/id"]
+    upd = [{"update_id": i, "message": {"chat": {"id": i % 2}, "text": texts[i * 5 % len(texts)]}} for i in range(120)]
+    df = spark.read.schema(D.UPDATE_FILE_SCHEMA).json(spark.sparkContext.parallelize([json.dumps(u) for u in upd]))
+    prepared = B.prepare_updates(df, None, None)
+    assert sorted(map(tuple, B.replay(prepared).collect()), key=str) == sorted(map(tuple, B.replay_whole(prepared).collect()), key=str)
+    want, last = {}, {}
+    for i, u in enumerate(upd):
+        chat, text = i % 2, u["message"]["text"]
+        want[i] = last.get(chat, (-1, "idle"))
+        if text in B.RESET_MESSAGES:
+            last[chat] = (i, B.RESET_MESSAGES[text])
+    assert {r.update_id: (r["_seg_id"], r["_seg_state"]) for r in B.segments(prepared).collect()} == want
