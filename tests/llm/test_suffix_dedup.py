@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from chatledger.llm import suffix_dedup as sd
+from chatledger.llm.queries import QUERIES
 
 
 def brute(texts, length):
@@ -64,3 +65,26 @@ def test_odd_rows(odd_docs, no_docs, clashing):
     assert by[1] == {(0, 0)} and by[7] == {(200_000, 200_000)}
     assert sd.remove_repeats(no_docs).count() == 0
     assert sd.remove_repeats(clashing).count() == odd_docs.count()
+
+
+def test_planted_passages_go_from_400_bytes_on(spark, tmp_path):
+    # Passages of over 50 words in two documents each: n_removed tells which are cut, n_bytes is the size as given.
+    rng = random.Random(400)
+    prose = lambda n: " ".join("".join(rng.choice("abcdeilmnorstué") for _ in range(rng.randint(3, 6))) for _ in range(n))
+    texts, want = [], []
+    for size in [399, 400] * 6 + [401, 700]:
+        raw = prose(200).encode()[:size]
+        passage = raw.decode(errors="ignore")
+        passage += "z" * (size - len(passage.encode()))
+        assert len(passage.encode()) == size and len(passage.split()) > 50
+        for a, b in ("<>", "[]"):  # other bytes beside it, so nothing longer repeats
+            texts.append(prose(rng.randint(0, 300)) + a + passage + b + prose(rng.randint(0, 300)))
+            want.append(size if size >= 400 else 0)
+    for _ in range(20):  # clean ones
+        texts.append(prose(rng.randint(51, 600)))
+        want.append(0)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: tuple(r)[1:5] for r in QUERIES["op2_suffix_dedup"](spark, str(tmp_path)).collect()}
+    raws = [t.encode() for t in texts]
+    assert {k: v[:2] for k, v in got.items()} == {k: (len(t), n) for k, (t, n) in enumerate(zip(raws, want, strict=True))}
+    assert got == dict(enumerate(brute(raws, sd.LENGTH)))
